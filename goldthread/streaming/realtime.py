@@ -92,9 +92,9 @@ def run_batch(
         rows = table_rows(found, mapping, job)
         checked = job.required if job.required in rows.columns else None
         accepted = rows.filter(F.col(checked).isNotNull()) if checked else rows
-        write_batch(accepted.drop(*PASSED_ON), job.table_path, batch_id)
+        write_batch(accepted, job.table_path, batch_id, drop=PASSED_ON)
         windowed = with_window_partitions(file_rows(found, mapping, job), "publish_time", job.window, job.month)
-        write_batch(windowed.drop(*PASSED_ON), job.files_path, batch_id, PARTITIONS)
+        write_batch(windowed, job.files_path, batch_id, PARTITIONS, spread_by="message_id", drop=PASSED_ON)
         if job.dead_letter_path:
             unreadable = keyed.filter(F.col("persona_id").isNull()).select(
                 "message_id", F.lit("no key in the message").alias("error"),

@@ -9,14 +9,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from goldthread.functions.calendar import PARTITIONS, WINDOW_MONTH, partition_columns, window_end
-from goldthread.sources.sinks import write_parquet
 
 BATCH = "batch_id"
+ROWS_PER_TASK = 1_000_000
+FOLDERS_PER_TASK = 16
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Append a micro-batch. Its folders carry the batch number, so a replay replaces them."""
-    write_parquet(df.withColumn(BATCH, F.lit(batch_id)), path, partition_by=[*partition_by, BATCH])
+def write_batch(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    partition_by: Sequence[str] = (),
+    spread_by: str | None = None,
+    drop: Sequence[str] = (),
+) -> None:
+    """Append a micro-batch. Its folders carry the batch number, so a replay replaces them.
+
+    With folders, rows are ranged by folder and then by ``spread_by``: ranges have equal size, so a
+    folder with most of the rows is shared by several tasks, and a folder is touched by few tasks.
+    ``df`` is read twice for that and should be persisted. ``drop`` names columns not to write.
+    """
+    if partition_by:
+        rows, folders = df.agg(
+            F.count(F.lit(1)), F.approx_count_distinct(F.struct(*partition_by))).head()
+        by_files = min(folders // FOLDERS_PER_TASK, df.sparkSession.sparkContext.defaultParallelism)
+        tasks = max(1, by_files, rows // ROWS_PER_TASK)
+        order = [*partition_by, *([F.xxhash64(spread_by)] if spread_by else [])]
+        df = df.repartitionByRange(int(tasks), *order)
+    else:
+        df = df.hint("rebalance")
+    (df.drop(*drop).withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
+     .option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, BATCH).parquet(path))
 
 
 def with_window_partitions(df: DataFrame, ts: str, size: str = "5 minutes", month: str = WINDOW_MONTH) -> DataFrame:
@@ -36,11 +60,16 @@ def start_window_files(
 ) -> StreamingQuery:
     """Write a stream as Parquet files in the folders of its windows.
 
-    Each micro-batch is rebalanced by folder first. The plain file sink would leave one file per
-    task in every open folder, whatever the amount of rows.
+    Rows are brought together by folder before the write. The plain file sink would leave one file
+    per task in every open folder, whatever the amount of rows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(with_window_partitions(batch, ts, size, month), path, batch_id, PARTITIONS)
+        batch.persist()
+        try:
+            framed = with_window_partitions(batch, ts, size, month)
+            write_batch(framed, path, batch_id, PARTITIONS, spread_by="message_id")
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
