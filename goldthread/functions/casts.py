@@ -101,13 +101,17 @@ def to_long(value: Column, source: T.DataType, text: Column) -> Column:
         return value.try_cast("bigint")
     if isinstance(source, (T.DateType, *INSTANTS)):
         return F.lit(None).cast("bigint")
-    from_text = F.when(text.rlike(WHOLE_SHAPE), text.try_cast("bigint"))
     if isinstance(source, T.VariantType):
         kind = variant_kind(value)
-        return (F.when(is_fractional(kind), F.try_variant_get(value, ROOT, "double").try_cast("bigint"))
-                .when(kind == "BOOLEAN", F.try_variant_get(value, ROOT, "boolean").cast("bigint"))
-                .otherwise(from_text))
-    return from_text
+        text = F.try_variant_get(value, ROOT, "string")
+        return (F.when(is_fractional(kind), text.try_cast("double").try_cast("bigint"))
+                .when(kind == "BOOLEAN", (text == "true").cast("bigint"))
+                .otherwise(_whole(text)))
+    return _whole(text)
+
+
+def _whole(text: Column) -> Column:
+    return F.when(text.rlike(WHOLE_SHAPE), text.try_cast("bigint"))
 
 
 def to_double(value: Column, source: T.DataType, text: Column) -> Column:
@@ -116,12 +120,15 @@ def to_double(value: Column, source: T.DataType, text: Column) -> Column:
         return value.cast("double")
     if isinstance(source, (T.DateType, *INSTANTS)):
         return F.lit(None).cast("double")
-    from_text = F.when(text.rlike(FLOAT_SHAPE), text.try_cast("double"))
     if isinstance(source, T.VariantType):
-        return (F.when(variant_kind(value) == "BOOLEAN",
-                       F.try_variant_get(value, ROOT, "boolean").cast("double"))
-                .otherwise(from_text))
-    return from_text
+        text = F.try_variant_get(value, ROOT, "string")
+        return (F.when(variant_kind(value) == "BOOLEAN", (text == "true").cast("double"))
+                .otherwise(_fraction(text)))
+    return _fraction(text)
+
+
+def _fraction(text: Column) -> Column:
+    return F.when(text.rlike(FLOAT_SHAPE), text.try_cast("double"))
 
 
 def to_decimal(value: Column, source: T.DataType, text: Column, target: T.DecimalType) -> Column:

@@ -1,19 +1,20 @@
 """Reading values at nested paths of documents, many paths per parse.
 
 Paths of one document column are merged into a tree and every document text is parsed once per
-tree level, whatever the number of paths. Leaves are read as VARIANT, so the JSON type survives.
+tree level, whatever the number of paths. A leaf is read as text, or as VARIANT where its JSON type
+matters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldthread.functions.text import col, variant_scalar, variant_text
+from goldthread.functions.text import col, leaf_text, variant_scalar, variant_text
 
 STAGED = "__doc_"
 # Documents are strict JSON: a single-quoted string makes the document invalid.
@@ -40,14 +41,15 @@ def extract_paths(
     *,
     keep: Sequence[str] = (),
     parse_embedded: bool = True,
-    as_text: bool = True,
+    typed: Collection[str] = (),
 ) -> DataFrame:
     """Project ``df`` to ``keep`` plus one column per target, read at the target's path.
 
     The first step names a column exactly (case matters); later steps go through structs, maps,
     variants and JSON text. A missing key, a non-object on the way or an invalid document gives
     null. With ``parse_embedded`` a JSON string met on the way is parsed as well; without it only
-    the column itself is a document. Values are text, or VARIANT with ``as_text=False``.
+    the column itself is a document. JSON values come as text, or as VARIANT for the targets in
+    ``typed``; values of typed columns keep their type.
     """
     found: dict[str, Column] = {}
     documents: dict[tuple[str, ...], tuple[Column, _Step]] = {}
@@ -55,9 +57,10 @@ def extract_paths(
         value, dtype, walked = _walk_typed(df, path)
         rest = path[walked:]
         if value is None or (rest and not isinstance(dtype, (T.StringType, T.VariantType))):
-            found[target] = F.lit(None).cast("string" if as_text else "variant")
+            found[target] = F.lit(None).cast("variant" if target in typed else "string")
         elif not rest:
-            found[target] = _leaf(value, dtype, as_text)
+            as_is = target in typed or not isinstance(dtype, T.VariantType)
+            found[target] = value if as_is else variant_text(value)
         else:
             text = variant_text(value) if isinstance(dtype, T.VariantType) else value
             documents.setdefault(tuple(path[:walked]), (text, _Step()))[1].add(rest, target)
@@ -69,23 +72,39 @@ def extract_paths(
         parsed: dict[str, Column] = {}
         following: list[tuple[Column, _Step]] = []
         for text, tree in pending:
-            layouts = _embedded_layouts(tree) if parse_embedded else _nested_layouts(tree)
+            layouts = _embedded_layouts(tree, typed) if parse_embedded else _nested_layouts(tree, typed)
             for schema, reads in layouts:
                 name = f"{STAGED}{count}"
                 count += 1
                 parsed[name] = F.from_json(text, schema, STRICT_JSON)
-                for steps, outcome in reads:
-                    value = F.col(name)
-                    for key in steps:
-                        value = value.getField(key)
+                for keys, outcome in reads:
+                    value = _at(F.col(name), keys)
                     if isinstance(outcome, _Step):
                         following.append((value, outcome))
-                    else:
-                        found.update({t: _leaf(value, T.VariantType(), as_text) for t in outcome})
+                        continue
+                    for target in outcome:
+                        found[target] = value if target in typed else leaf_text(value, _json_leaf(text, keys))
         staged = staged.withColumns(parsed)
         pending = following
-    return staged.select(*[col(c) for c in keep],
-                         *[found[target].alias(target) for target in targets])
+    return staged.select(*[col(c) for c in keep], *[found[target].alias(target) for target in targets])
+
+
+def _at(value: Column, keys: Sequence[str]) -> Column:
+    for key in keys:
+        value = value.getField(key)
+    return value
+
+
+def _json_leaf(document: Column, keys: Sequence[str]) -> Column:
+    """One leaf of a JSON text as VARIANT, by a parse of its own."""
+    return _at(F.from_json(document, _leaf_schema(keys), STRICT_JSON), keys)
+
+
+def _leaf_schema(keys: Sequence[str]) -> T.DataType:
+    schema: T.DataType = T.VariantType()
+    for key in reversed(keys):
+        schema = T.StructType([T.StructField(key, schema)])
+    return schema
 
 
 def with_json_value(
@@ -97,23 +116,12 @@ def with_json_value(
     is off. JSON strings met on the way are not parsed.
     """
     staged = f"{STAGED}{name}"
-    value = F.col(staged)
-    for key in path:
-        value = value.getField(key)
-    schema: T.DataType = T.VariantType()
-    for key in reversed(path):
-        schema = T.StructType([T.StructField(key, schema)])
-    return (df.withColumn(staged, F.from_json(document, schema, STRICT_JSON))
+    value = _at(F.col(staged), path)
+    return (df.withColumn(staged, F.from_json(document, _leaf_schema(path), STRICT_JSON))
             .withColumn(name, variant_scalar(value) if scalar else variant_text(value))
             .drop(staged))
 
 
-def _leaf(value: Column, dtype: T.DataType, as_text: bool) -> Column:
-    if isinstance(dtype, T.VariantType):
-        return variant_text(value) if as_text else value
-    return value
-
-
 def _walk_typed(df: DataFrame, path: Sequence[str]) -> tuple[Column | None, T.DataType | None, int]:
     """Follow ``path`` through columns, structs and maps; stop where the static type ends."""
     dtype: T.DataType = df.schema
@@ -132,18 +140,24 @@ def _walk_typed(df: DataFrame, path: Sequence[str]) -> tuple[Column | None, T.Da
     return value, dtype, len(path)
 
 
-def _embedded_layouts(tree: _Step):
-    """Flat one-level schemas: inner keys as text for the next level, leaves as VARIANT."""
+def _kinds(step: _Step, typed: Collection[str]) -> list[tuple[T.DataType, list[str]]]:
+    """The targets of a leaf by the type they are read as."""
+    variants = [t for t in step.targets if t in typed]
+    texts = [t for t in step.targets if t not in typed]
+    return [(dtype, targets) for dtype, targets in ((T.VariantType(), variants), (T.StringType(), texts)) if targets]
+
+
+def _embedded_layouts(tree: _Step, typed: Collection[str]):
+    """Flat one-level schemas: inner keys as text for the next level, leaves as text or VARIANT."""
     fields: list[tuple[str, T.DataType, object]] = []
     for key, step in tree.below.items():
         if step.below:
             fields.append((key, T.StringType(), step))
-        if step.targets:
-            fields.append((key, T.VariantType(), step.targets))
+        fields.extend((key, dtype, targets) for dtype, targets in _kinds(step, typed))
+    # Struct fields are found without regard to case, so keys that differ only by case, or that
+    # are read in two ways, go to a parse of their own.
     batches: list[dict[str, tuple[str, T.DataType, object]]] = []
     for entry in fields:
-        # Struct fields are found without regard to case, so keys that differ only by case,
-        # or that are both a leaf and an inner key, go to a parse of their own.
         slot = next((b for b in batches if entry[0].lower() not in b), None)
         if slot is None:
             slot = {}
@@ -154,40 +168,41 @@ def _embedded_layouts(tree: _Step):
         yield schema, [([key], outcome) for key, _, outcome in batch.values()]
 
 
-def _nested_layouts(tree: _Step):
+def _nested_layouts(tree: _Step, typed: Collection[str]):
     """Nested struct schemas: a string where an object is expected gives null."""
-    leaves: list[tuple[list[str], list[str]]] = []
+    leaves: list[tuple[list[str], T.DataType, list[str]]] = []
 
-    def collect(step: _Step, steps: list[str]) -> None:
-        if step.targets:
-            leaves.append((steps, step.targets))
+    def gather(step: _Step, keys: list[str]) -> None:
+        leaves.extend((keys, dtype, targets) for dtype, targets in _kinds(step, typed))
         for key, child in step.below.items():
-            collect(child, [*steps, key])
+            gather(child, [*keys, key])
 
-    collect(tree, [])
-    batches: list[list[tuple[list[str], list[str]]]] = []
+    gather(tree, [])
+    batches: list[list[tuple[list[str], T.DataType, list[str]]]] = []
     for leaf in leaves:
-        slot = next((b for b in batches if all(_compatible(leaf[0], other) for other, _ in b)), None)
+        slot = next((b for b in batches if all(_compatible(leaf[0], other) for other, _, _ in b)), None)
         if slot is None:
             batches.append([leaf])
         else:
             slot.append(leaf)
     for batch in batches:
-        root = _Step()
-        for steps, targets in batch:
-            for target in targets:
-                root.add(steps, target)
-        yield _struct_of(root), batch
+        schema: dict = {}
+        for keys, dtype, _ in batch:
+            level = schema
+            for key in keys[:-1]:
+                level = level.setdefault(key, {})
+            level[keys[-1]] = dtype
+        yield _struct_of(schema), [(keys, targets) for keys, _, targets in batch]
 
 
 def _compatible(left: Sequence[str], right: Sequence[str]) -> bool:
+    """Whether two leaves fit in one schema: neither is above the other, and no keys clash by case."""
     for a, b in zip(left, right):
         if a != b:
             return a.lower() != b.lower()
-    return len(left) == len(right)
+    return False
 
 
-def _struct_of(step: _Step) -> T.StructType:
+def _struct_of(level: dict) -> T.StructType:
     return T.StructType([
-        T.StructField(key, _struct_of(child) if child.below else T.VariantType())
-        for key, child in step.below.items()])
+        T.StructField(key, _struct_of(below) if isinstance(below, dict) else below) for key, below in level.items()])

@@ -46,23 +46,41 @@ def variant_kind(value: Column) -> Column:
 
 
 def is_fractional(kind: Column) -> Column:
-    return kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-
-
-def is_container(kind: Column) -> Column:
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    # DECIMAL(p,s) or DOUBLE: JSON gives no other kind that begins with D.
+    return kind.startswith("D")
 
 
 def variant_text(value: Column) -> Column:
     """Text of a variant: strings unquoted, objects and arrays as JSON, JSON null as null."""
+    # The rules run inside a lambda. Written out per column they would make the generated code of
+    # a wide projection too long to be compiled to machine code.
+    return F.transform(F.array(value), _variant_text).getItem(0)
+
+
+def variant_scalar(value: Column) -> Column:
+    """Text of a scalar variant; objects and arrays give null."""
+    kind = variant_kind(value)
+    return (F.when(kind == "STRING", F.try_variant_get(value, ROOT, "string"))
+            .when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), variant_text(value)))
+
+
+def _variant_text(value: Column) -> Column:
     number = F.try_variant_get(value, ROOT, "double")
     return (F.when(is_fractional(variant_kind(value)), float_text(number))
             .otherwise(F.try_variant_get(value, ROOT, "string")))
 
 
-def variant_scalar(value: Column) -> Column:
-    """Text of a scalar variant; objects and arrays give null."""
-    return F.when(~is_container(variant_kind(value)), variant_text(value))
+# Fixed value: how a number token comes out of a JSON read as text once it needs an exponent.
+EXPONENT_SHAPE = r"^-?\d\.\d+E-?\d{1,3}$"
+
+
+def leaf_text(text: Column, variant: Column) -> Column:
+    """Text of a JSON leaf that was read as text, with ``variant`` as the same leaf's typed value.
+
+    Only text that looks like a rewritten number consults the variant, to tell it from a string.
+    """
+    rewritten = F.contains(text, F.lit("E")) & text.rlike(EXPONENT_SHAPE)
+    return F.when(rewritten, variant_text(variant)).otherwise(text)
 
 
 def plain_text(value: Column, dtype: T.DataType) -> Column:

@@ -6,7 +6,7 @@ the data never meet it at run time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -93,16 +93,16 @@ def map_records(
     mode: str = "reconcile",
     *,
     keep: Sequence[str] = (),
-    as_text: bool = True,
+    typed: Collection[str] = (),
 ) -> DataFrame:
-    """Project records to the mapped columns.
+    """Project records to the mapped columns: text, or VARIANT for the destinations in ``typed``.
 
     A destination whose flag is off for ``mode``, or whose path is empty, is left out. One whose
     path is missing in a record is null there.
     """
     paths = {row.dest: split_path(row.path) for row in mapping if row.applies(mode)}
     return extract_paths(df, {d: p for d, p in paths.items() if p and d not in keep},
-                         keep=keep, as_text=as_text)
+                         keep=keep, typed=typed)
 
 
 def map_by_segment(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, keep: Sequence[str] = ()) -> DataFrame:

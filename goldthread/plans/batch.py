@@ -94,6 +94,8 @@ def _reconciled(
 ) -> DataFrame:
     """The common part. ``unkeyed`` keeps a persona without a member id if the mapping gives it a key."""
     rows = compile_mapping(latest_snapshot(mapping, job.mapping), job.mapping)
+    # Number columns need the JSON type: 12.9 is cut to 12 and true is 1, but the text "12.9" is null.
+    typed = {f.name for f in job.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))}
     # Rows without a usable member id are one or two groups that shrink to a row per task before
     # the shuffle. Dropping them after the ranking, by a column the ranking does not partition on,
     # keeps the document parse out of a pushed-down filter, which would run it once more.
@@ -106,13 +108,13 @@ def _reconciled(
         # its hash partitions, so the join with the members needs no further shuffle. Members
         # that were not seen fall out of the join.
         keyed = ranked.filter(KNOWN).withColumnRenamed(MEMBER, job.pk)
-        new = map_records(keyed, rows, job.mode, keep=[job.pk], as_text=False)
+        new = map_records(keyed, rows, job.mode, keep=[job.pk], typed=typed)
     else:
         latest_personas = ranked if unkeyed else ranked.filter(KNOWN)
         seen = latest_personas.select(F.col(MEMBER).alias(job.pk))
         latest_members = latest_members.join(seen, job.pk, "left_semi")
         order = {f"__order_{i}": F.col(c) for i, c in enumerate(job.persona_order)}
-        mapped = map_records(latest_personas.withColumns(order), rows, job.mode, keep=list(order), as_text=False)
+        mapped = map_records(latest_personas.withColumns(order), rows, job.mode, keep=list(order), typed=typed)
         if job.pk not in mapped.columns:
             raise ValueError(f"the mapping gives no column {job.pk}")
         key_schema = T.StructType([T.StructField(job.pk, members.schema[job.pk].dataType)])
