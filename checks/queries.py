@@ -181,7 +181,8 @@ def change_record_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mapped_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_records(
-        views.personas(spark, sf_dir), views.mapping_rows(spark), "reconcile", keep=["event_id", "timestamp"])
+        views.personas(spark, sf_dir), views.mapping_rows(spark), "reconcile", keep=["event_id", "timestamp"],
+        filtered=["member_number"])
 
 
 def drop_null_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,8 +349,7 @@ def flatten_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enrich_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = event_keys(views.messages(spark, sf_dir)).select("message_id", "persona_id")
-    found = wide.enrich_by_key(
-        keyed, views.profile_cells(spark, sf_dir), "persona_id", broadcast_rows=BROADCAST_ROWS)
+    found = wide.enrich_by_key(keyed, views.profile_cells(spark, sf_dir), "persona_id")
     member = with_json_value(found, "member_id", F.col("profiles"), ["memberId"], scalar=False)
     return wide.has_text(member, F.col("member_id")).select("message_id", "persona_id", "member_id")
 

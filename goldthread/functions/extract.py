@@ -42,6 +42,7 @@ def extract_paths(
     keep: Sequence[str] = (),
     parse_embedded: bool = True,
     typed: Collection[str] = (),
+    filtered: Collection[str] = (),
 ) -> DataFrame:
     """Project ``df`` to ``keep`` plus one column per target, read at the target's path.
 
@@ -49,7 +50,8 @@ def extract_paths(
     variants and JSON text. A missing key, a non-object on the way or an invalid document gives
     null. With ``parse_embedded`` a JSON string met on the way is parsed as well; without it only
     the column itself is a document. JSON values come as text, or as VARIANT for the targets in
-    ``typed``; values of typed columns keep their type.
+    ``typed``; values of typed columns keep their type. Name the targets that later steps filter,
+    join or rank on in ``filtered``: see ``once``.
     """
     found: dict[str, Column] = {}
     documents: dict[tuple[str, ...], tuple[Column, _Step]] = {}
@@ -86,7 +88,20 @@ def extract_paths(
                         found[target] = value if target in typed else leaf_text(value, _json_leaf(text, keys))
         staged = staged.withColumns(parsed)
         pending = following
-    return staged.select(*[col(c) for c in keep], *[found[target].alias(target) for target in targets])
+    guarded = [target for target in targets if target in filtered]
+    plain = [found[target].alias(target) for target in targets if target not in filtered]
+    ready = staged.select(*[col(c) for c in keep], *plain, *once({t: found[t] for t in guarded}))
+    return ready.select(*[col(c) for c in (*keep, *targets)]) if guarded else ready
+
+
+def once(values: Mapping[str, Column]) -> list[Column]:
+    """Columns, for one ``select``, that are computed once per row.
+
+    The planner moves a filter on a projected column below the projection and repeats the column's
+    expression there, so a filter on a value of a document would parse the document again. It does
+    not move a filter below a generator; this one makes one row of one row.
+    """
+    return [F.stack(F.lit(1), *values.values()).alias(*values)] if values else []
 
 
 def _at(value: Column, keys: Sequence[str]) -> Column:
@@ -117,9 +132,10 @@ def with_json_value(
     """
     staged = f"{STAGED}{name}"
     value = _at(F.col(staged), path)
+    text = variant_scalar(value) if scalar else variant_text(value)
+    others = [col(c) for c in df.columns if c != name]
     return (df.withColumn(staged, F.from_json(document, _leaf_schema(path), STRICT_JSON))
-            .withColumn(name, variant_scalar(value) if scalar else variant_text(value))
-            .drop(staged))
+            .select(*others, *once({name: text})))
 
 
 def _walk_typed(df: DataFrame, path: Sequence[str]) -> tuple[Column | None, T.DataType | None, int]:

@@ -94,15 +94,16 @@ def map_records(
     *,
     keep: Sequence[str] = (),
     typed: Collection[str] = (),
+    filtered: Collection[str] = (),
 ) -> DataFrame:
     """Project records to the mapped columns: text, or VARIANT for the destinations in ``typed``.
 
     A destination whose flag is off for ``mode``, or whose path is empty, is left out. One whose
-    path is missing in a record is null there.
+    path is missing in a record is null there. ``filtered`` names destinations used as keys later.
     """
     paths = {row.dest: split_path(row.path) for row in mapping if row.applies(mode)}
     return extract_paths(df, {d: p for d, p in paths.items() if p and d not in keep},
-                         keep=keep, typed=typed)
+                         keep=keep, typed=typed, filtered=filtered)
 
 
 def map_by_segment(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, keep: Sequence[str] = ()) -> DataFrame:

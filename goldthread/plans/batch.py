@@ -21,7 +21,6 @@ from goldthread.operators.sizing import BROADCAST_ROWS, fits
 from goldthread.sources.sinks import write_parquet
 
 MEMBER = "__member_id"
-KNOWN = "__has_member_id"
 PERIOD = "2 hours"
 
 
@@ -68,12 +67,11 @@ def incremental(
     """
     reference = F.current_timestamp() if now is None else now
     recent = with_member_id(personas.filter(in_period(job.timestamp, reference, period)), job)
-    recent = recent.withColumn(KNOWN, F.col(MEMBER).isNotNull())
     if broadcast_rows is not None:
         keys = recent.select(F.col(MEMBER).alias(job.pk)).distinct()
         if fits(keys, broadcast_rows):
             members = members.join(F.broadcast(keys), job.pk, "left_semi")
-    return _reconciled(recent, members, mapping, job, unkeyed=True)
+    return _reconciled(recent, members, mapping, job)
 
 
 def backfill(
@@ -81,25 +79,18 @@ def backfill(
 ) -> DataFrame:
     """Reconcile all personas up to a cut-off that carry a member id."""
     known = with_member_id(personas.filter(F.col(job.timestamp) <= cutoff), job)
-    known = known.withColumn(KNOWN, F.coalesce(F.col(MEMBER) != "", F.lit(False)))
-    return _reconciled(known, members, mapping, job, unkeyed=False)
+    return _reconciled(known.filter(F.col(MEMBER) != ""), members, mapping, job)
 
 
 def with_member_id(personas: DataFrame, job: BatchJob) -> DataFrame:
     return with_json_value(personas, MEMBER, F.col(job.document), job.member_path)
 
 
-def _reconciled(
-    personas: DataFrame, members: DataFrame, mapping: DataFrame, job: BatchJob, unkeyed: bool,
-) -> DataFrame:
-    """The common part. ``unkeyed`` keeps a persona without a member id if the mapping gives it a key."""
+def _reconciled(personas: DataFrame, members: DataFrame, mapping: DataFrame, job: BatchJob) -> DataFrame:
     rows = compile_mapping(latest_snapshot(mapping, job.mapping), job.mapping)
     # Number columns need the JSON type: 12.9 is cut to 12 and true is 1, but the text "12.9" is null.
     typed = {f.name for f in job.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))}
-    # Rows without a usable member id are one or two groups that shrink to a row per task before
-    # the shuffle. Dropping them after the ranking, by a column the ranking does not partition on,
-    # keeps the document parse out of a pushed-down filter, which would run it once more.
-    ranked = latest_per_key(personas, [MEMBER], newest(*job.persona_order))
+    order = newest(*job.persona_order)
     latest_members = latest_per_key(members, [job.pk], newest(*job.member_order))
 
     pk_path = next((split_path(r.path) for r in rows if r.dest == job.pk and r.applies(job.mode)), [])
@@ -107,19 +98,22 @@ def _reconciled(
         # The key column is the member id itself: the rows are unique on it and already lie in
         # its hash partitions, so the join with the members needs no further shuffle. Members
         # that were not seen fall out of the join.
-        keyed = ranked.filter(KNOWN).withColumnRenamed(MEMBER, job.pk)
+        known = personas.filter(F.col(MEMBER).isNotNull())
+        keyed = latest_per_key(known, [MEMBER], order).withColumnRenamed(MEMBER, job.pk)
         new = map_records(keyed, rows, job.mode, keep=[job.pk], typed=typed)
     else:
-        latest_personas = ranked if unkeyed else ranked.filter(KNOWN)
+        # The member id only ranks the personas here; those without one are one group.
+        latest_personas = latest_per_key(personas, [MEMBER], order)
         seen = latest_personas.select(F.col(MEMBER).alias(job.pk))
         latest_members = latest_members.join(seen, job.pk, "left_semi")
-        order = {f"__order_{i}": F.col(c) for i, c in enumerate(job.persona_order)}
-        mapped = map_records(latest_personas.withColumns(order), rows, job.mode, keep=list(order), typed=typed)
+        ranks = {f"__order_{i}": F.col(c) for i, c in enumerate(job.persona_order)}
+        mapped = map_records(latest_personas.withColumns(ranks), rows, job.mode, keep=list(ranks),
+                             typed=typed - {job.pk}, filtered=[job.pk])
         if job.pk not in mapped.columns:
             raise ValueError(f"the mapping gives no column {job.pk}")
         key_schema = T.StructType([T.StructField(job.pk, members.schema[job.pk].dataType)])
         keyed = cast_present(mapped, key_schema).filter(F.col(job.pk).isNotNull())
-        new = latest_per_key(keyed, [job.pk], newest(*order)).drop(*order)
+        new = latest_per_key(keyed, [job.pk], newest(*ranks)).drop(*ranks)
     for step in job.steps:
         new = new.transform(step)
     chosen = choose_values(
