@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldthread.functions.formats import DATE_FORMATS, TIMESTAMP_FORMATS, parse_first
+from goldthread.functions.formats import (
+    DATE_FORMATS, TIMESTAMP_FORMATS, compile_format, parse_first, single_blanks)
 from goldthread.functions.text import ROOT, is_fractional, plain_text, strip, variant_kind
 
 # Fixed values.
@@ -16,7 +17,9 @@ TRUE_WORDS = ("true", "1", "yes")
 EPOCH_SECONDS_MAX_LENGTH = 10
 # Number text: no type suffix, no hexadecimal.
 FLOAT_SHAPE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
-WHOLE_SHAPE = r"^\s*[+-]?\d+\s*$"
+WHOLE_SHAPE = r"^[+-]?\d+$"
+# At most 19 digits that count: more never fit 64 bits.
+PADDED_WHOLE_SHAPE = r"^\s*[+-]?0*\d{1,19}\s*$"
 # Seconds of 0001-01-01 and of 9999-12-31 23:59:59.
 FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
 
@@ -60,7 +63,7 @@ def to_date(value: Column, source: T.DataType, text: Column, formats: Sequence[s
     """First format that fits; typed dates and instants are taken as they are."""
     if isinstance(source, (T.DateType, *INSTANTS)):
         return value.cast("date")
-    return parse_first(strip(text), formats, lambda s, p: F.try_to_timestamp(s, F.lit(p)).cast("date"))
+    return parse_first(single_blanks(strip(text)), formats, lambda s, p: F.try_to_timestamp(s, F.lit(p)).cast("date"))
 
 
 def to_timestamp(
@@ -72,20 +75,23 @@ def to_timestamp(
     if isinstance(source, (T.DateType, T.TimestampType)):
         return value.cast("timestamp_ntz")
     bare = F.regexp_replace(strip(text), "Z$", "")
-    parsed = parse_first(bare, formats, lambda s, p: F.try_to_timestamp(s, F.lit(p)).cast("timestamp_ntz"))
-    return F.coalesce(parsed, from_epoch_text(bare))
+    parsed = parse_first(
+        single_blanks(bare), formats, lambda s, p: F.try_to_timestamp(s, F.lit(p)).cast("timestamp_ntz"))
+    is_number, epoch = bare.rlike(WHOLE_SHAPE), from_epoch_text(bare)
+    if any(compile_format(f).digits_only for f in formats):
+        return F.coalesce(parsed, F.when(is_number, epoch))
+    # No format fits a plain number, so numbers need not be held against the formats first.
+    return F.when(is_number, epoch).otherwise(parsed)
 
 
 def from_epoch_text(text: Column) -> Column:
-    number = F.when(text.rlike(WHOLE_SHAPE), text.try_cast("decimal(20,0)"))
-    seconds = (F.when(F.length(text) > EPOCH_SECONDS_MAX_LENGTH, number / F.lit(1000).cast("decimal(4,0)"))
-               .otherwise(number).cast("decimal(24,6)"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    # The whole part goes in as days: the seconds of an interval are limited to 18 digits.
-    inside = F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
-    days = F.floor(inside / 86400).cast("int")
-    rest = (inside - days * F.lit(86400).cast("decimal(5,0)")).cast("decimal(18,6)")
-    return epoch + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
+    number = text.try_cast("bigint")
+    millis = F.length(text) > EPOCH_SECONDS_MAX_LENGTH
+    micros = (
+        F.when(millis & number.between(FIRST_SECOND * 1000, LAST_SECOND * 1000 + 999), number * 1000)
+        .when(~millis & number.between(FIRST_SECOND, LAST_SECOND), number * 1_000_000))
+    # An interval on wall-clock time: the session's time zone has no part in it.
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.expr("INTERVAL '0.000001' SECOND") * micros
 
 
 def to_boolean(value: Column, source: T.DataType, text: Column) -> Column:
@@ -111,7 +117,8 @@ def to_long(value: Column, source: T.DataType, text: Column) -> Column:
 
 
 def _whole(text: Column) -> Column:
-    return F.when(text.rlike(WHOLE_SHAPE), text.try_cast("bigint"))
+    # The shape first: a try_cast that fails throws and catches an exception.
+    return F.when(text.rlike(PADDED_WHOLE_SHAPE), text.try_cast("bigint"))
 
 
 def to_double(value: Column, source: T.DataType, text: Column) -> Column:

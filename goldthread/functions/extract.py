@@ -82,7 +82,7 @@ def extract_paths(
                 for keys, outcome in reads:
                     value = _at(F.col(name), keys)
                     if isinstance(outcome, _Step):
-                        following.append((value, outcome))
+                        following.append((F.when(_may_be_object(value), value), outcome))
                         continue
                     for target in outcome:
                         found[target] = value if target in typed else leaf_text(value, _json_leaf(text, keys))
@@ -104,6 +104,12 @@ def once(values: Mapping[str, Column]) -> list[Column]:
     return [F.stack(F.lit(1), *values.values()).alias(*values)] if values else []
 
 
+def _may_be_object(text: Column) -> Column:
+    # Parsing a text that is no JSON throws and catches an exception; most such texts are told
+    # by their first character.
+    return text.startswith("{") | text.rlike(r"^\s+\{")
+
+
 def _at(value: Column, keys: Sequence[str]) -> Column:
     for key in keys:
         value = value.getField(key)

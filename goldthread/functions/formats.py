@@ -36,54 +36,53 @@ DIRECTIVES = {
     "B": ("MMMM", r"[A-Za-z]+"),
     "j": ("D", r"\d{1,3}"),
 }
+WORDS = "pbB"
 
 
 @dataclass(frozen=True)
 class ParseFormat:
     pattern: str
     shape: str
-    # Shape with any run of white space where the format has a blank, or "" when it has none.
-    loose_shape: str
+    # Whether text of nothing but digits and a sign can fit.
+    digits_only: bool
 
 
 def compile_format(text: str) -> ParseFormat:
-    pattern, shape, loose, literal = "", "", "", ""
-
-    def flush() -> None:
-        nonlocal pattern, literal
+    """Numbers next to each other (``%Y%m%d``) have their full width, others may lack a leading zero."""
+    tokens = [
+        ("", " ") if blank else (directive if directive != "%" else "", other or "%")
+        for directive, blank, other in re.findall(r"%(.)|(\s+)|(.)", text, flags=re.DOTALL)]
+    pattern, shape, literal = "", "", ""
+    for i, (directive, char) in enumerate([*tokens, ("", "")]):
+        if not directive and char:
+            literal += char
+            shape += re.escape(char)
+            continue
         if literal:
-            pattern += "'" + literal.replace("'", "''") + "'" if re.search(r"[A-Za-z'\[\]{}#]", literal) else literal
+            quoted = re.search(r"[A-Za-z'\[\]{}#]", literal)
+            pattern += "'" + literal.replace("'", "''") + "'" if quoted else literal
             literal = ""
-
-    for directive, blank, other in re.findall(r"%(.)|(\s+)|(.)", text, flags=re.DOTALL):
-        if directive and directive != "%":
+        if directive:
             if directive not in DIRECTIVES:
                 raise ValueError(f"unsupported directive %{directive} in format {text!r}")
-            flush()
-            letters, digits = DIRECTIVES[directive]
+            letters, fits = DIRECTIVES[directive]
+            neighbours = tokens[max(i - 1, 0):i] + tokens[i + 1:i + 2]
+            if fits == r"\d{1,2}" and any(d and d not in WORDS for d, _ in neighbours):
+                letters, fits = letters * 2, r"\d{2}"
             pattern += letters
-            shape += digits
-            loose += digits
-        elif blank:
-            literal += " "
-            shape += " "
-            loose += r"\s+"
-        else:
-            char = other or "%"
-            literal += char
-            shape += re.escape(char)
-            loose += re.escape(char)
-    flush()
-    return ParseFormat(pattern, f"^{shape}$", f"^{loose}$" if loose != shape else "")
+            shape += fits
+    literals = [char for directive, char in tokens if not directive]
+    words = any(directive in WORDS for directive, _ in tokens if directive)
+    return ParseFormat(pattern, f"^{shape}$", not words and all(char in "+-0123456789" for char in literals)
+                       and not any(char in "+-" for char in literals[1:]))
+
+
+def single_blanks(text: Column) -> Column:
+    """Every run of white space as one blank: a blank in a format stands for any run."""
+    return F.when(text.rlike(r"\s\s|[\t\n\r\x0b\x0c]"), F.regexp_replace(text, r"\s+", " ")).otherwise(text)
 
 
 def parse_first(text: Column, formats, parse) -> Column:
     """First format that fits the whole text; ``parse(text, pattern)`` builds the value."""
-    attempts = []
-    for source in formats:
-        fmt = compile_format(source)
-        attempts.append(F.when(text.rlike(fmt.shape), parse(text, fmt.pattern)))
-        if fmt.loose_shape:
-            single_blanks = F.regexp_replace(text, r"\s+", " ")
-            attempts.append(F.when(text.rlike(fmt.loose_shape), parse(single_blanks, fmt.pattern)))
-    return F.coalesce(*attempts)
+    compiled = [compile_format(source) for source in formats]
+    return F.coalesce(*[F.when(text.rlike(f.shape), parse(text, f.pattern)) for f in compiled])

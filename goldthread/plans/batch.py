@@ -126,4 +126,6 @@ def write_run(
     df: DataFrame, path: str, run_time: datetime, shards: int | None = None, month: str = BATCH_MONTH,
 ) -> None:
     """Write a run under its ``par_month=/par_day=/par_hour=/run_dt=`` folder; a rerun replaces it."""
-    write_parquet(with_run_partitions(df, run_time, month), path, shards=shards, partition_by=PARTITIONS)
+    framed = with_run_partitions(df, run_time, month)
+    # All rows go to one folder, so there is nothing to gather by.
+    write_parquet(framed, path, shards=shards, partition_by=PARTITIONS, gather=())

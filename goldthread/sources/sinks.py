@@ -80,33 +80,35 @@ def write_parquet(
     *,
     shards: int | None = None,
     partition_by: Sequence[str] = (),
+    gather: Sequence[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
     """Snappy Parquet files, ``shards`` of them or as many as the data needs.
 
     Without a count Spark rebalances the rows before the write: small partitions are merged, and a
-    folder that holds much of the data is split over several tasks. With ``partition_by`` only
-    the folders that get rows are replaced.
+    folder that holds much of the data is split over several tasks. Rows with equal ``gather``
+    columns are brought together for that, by default those of one folder. With ``partition_by``
+    only the folders that get rows are replaced.
     """
     if shards is not None:
         df = df.repartition(shards)
     else:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df = df.hint("rebalance", *[F.col(c) for c in (partition_by if gather is None else gather)])
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
-def write_lines(df: DataFrame, path: str, fmt: str = "text", single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Text or JSON lines, replacing what is there.
+def write_lines(df: DataFrame, path: str, fmt: str = "text", single_file: bool = False) -> None:
+    """Text or JSON lines, replacing what is there; every task writes a part file of the folder.
 
-    The result is one file while it has at most ``single_file_rows`` rows (run state, small
-    documents). Larger output is written by all tasks as several part files of the same folder.
+    ``single_file`` is for run state and small documents: the rows are counted, and up to
+    ``SINGLE_FILE_ROWS`` of them become one file. More rows stay in several part files.
     """
     if fmt not in ("text", "json"):
         raise ValueError(f"unsupported format {fmt}")
-    if fits(df, single_file_rows):
+    if single_file and fits(df, SINGLE_FILE_ROWS):
         df = df.coalesce(1)
     if fmt == "json":
         # Null members are kept: an absent key and a null are not the same.

@@ -69,6 +69,12 @@ def test_epochs(spark):
     assert cast_json(spark, ['{"v":1700000000123}'], T.TimestampNTZType()) == [t.replace(microsecond=123000)]
 
 
+def test_formats_of_digits_come_before_epochs(spark):
+    formats = Formats(timestamp=["%Y%m%d%H", "%d %b %Y"])
+    assert cast(spark, ["2024010203", "1700000000", "02  Jan\t2024"], "string", T.TimestampNTZType(), formats) == [
+        datetime(2024, 1, 2, 3), datetime(2023, 11, 14, 22, 13, 20), datetime(2024, 1, 2)]
+
+
 def test_booleans(spark):
     texts = ["true", "TRUE", "1", "yes", "no", "false", "0", " true", "x", "", None]
     assert cast(spark, texts, "string", T.BooleanType()) == [True] * 4 + [False] * 5 + [None, None]
@@ -126,6 +132,8 @@ def test_fill_and_ignore(spark):
 
 def test_formats():
     assert compile_format("%Y-%m-%dT%H:%M:%S.%f").pattern == "yyyy-M-d'T'H:m:s.SSSSSS"
-    assert compile_format("%d %b %Y").loose_shape
+    assert compile_format("%d %b  %Y").pattern == "d' 'MMM' 'yyyy".replace("' '", " ")
+    assert [compile_format(f).digits_only for f in ("%Y%m%d", "%Y-%m-%d", "%H%M %p", "%Y.%m")] == [
+        True, False, False, False]
     with pytest.raises(ValueError):
         compile_format("%Y-%q")

@@ -2,12 +2,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from goldthread.operators.cells import (
     cells_by_keys, cells_by_ranges, enrich_by_key, flatten_cells, latest_cells, of_families, row_documents)
 from goldthread.operators.changes import apply_changes, change_records
+from goldthread.operators.latest import latest_per_key, newest
 from goldthread.operators.keyed import cogroup_counts, cogroup_rows, drop_null_keys
 from goldthread.operators.routing import attempt, split_routes
 
@@ -118,3 +120,29 @@ def test_routes_conserve_messages(spark):
     dead = routes.dead.collect()
     assert {(r.message_id, r.retry_count) for r in dead} == {(str(i), tries(i)) for i in range(0, 60, 3) if tries(i) >= 3}
     assert all(r.final_failure and r.error == "no" for r in dead)
+
+
+def test_routing_takes_a_pandas_function(spark):
+    @F.pandas_udf("result string, error string")
+    def work(data: pd.Series) -> pd.DataFrame:
+        good = data.map(lambda raw: bytes(raw).isdigit())
+        return pd.DataFrame({"result": data.map(lambda raw: bytes(raw).decode()).where(good),
+                             "error": pd.Series("not a number", index=data.index).where(~good)})
+
+    messages = spark.createDataFrame(
+        [("a", bytearray(b"12"), None), ("b", bytearray(b"x"), {"retry_count": "3"})],
+        "message_id string, data binary, attributes map<string,string>")
+    attempted = attempt(messages, lambda df: df.withColumn("out", work("data")).select("*", "out.*").drop("out"))
+    routes = split_routes(attempted)
+    assert [tuple(r) for r in routes.success.collect()] == [("a", "12")]
+    assert [r.message_id for r in routes.dead.collect()] == ["b"] and routes.retry.count() == 0
+
+
+def test_one_key_with_most_rows_leaves_each_task_as_one_row(spark):
+    """A member with two thirds of all versions: what is shuffled is bounded by the number of tasks."""
+    df = spark.range(0, 90_000, 1, 8).selectExpr("CASE WHEN id % 3 < 2 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id")
+    got = latest_per_key(df, ["k"], newest("id"))
+    assert got.count() == 30_001
+    assert got.filter("k = 'hot'").first().id == 89_998
+    counts = cogroup_counts({"new": df, "old": df.filter("id < 10")}, "k").filter("k = 'hot'").first()
+    assert (counts.n_new, counts.n_old) == (60_000, 7)

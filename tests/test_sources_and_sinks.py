@@ -104,7 +104,7 @@ def test_lines(spark):
     df = people(spark, ("a", 1), ("b", None))
     text, json_path = shared_dir(spark, "text"), shared_dir(spark, "json")
     sinks.write_lines(df.select("k"), text)
-    sinks.write_lines(df.select("k"), text)
+    sinks.write_lines(df.select("k"), text, single_file=True)
     assert content(readers.read_text_lines(spark, text)) == [("a",), ("b",)]
     assert readers.read_text_lines(spark, text).select("_metadata.file_name").distinct().count() == 1
     sinks.write_lines(df, json_path, "json")
@@ -115,9 +115,11 @@ def test_lines(spark):
         sinks.write_lines(df, text, "csv")
 
 
-def test_lines_beyond_the_bound_stay_whole(spark):
+def test_lines_beyond_the_bound_stay_whole(spark, monkeypatch):
     path = shared_dir(spark, "many")
-    sinks.write_lines(spark.range(0, 1000, 1, 4).selectExpr("CAST(id AS STRING) AS line"), path, single_file_rows=10)
+    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
+    lines = spark.range(0, 1000, 1, 4).selectExpr("CAST(id AS STRING) AS line")
+    sinks.write_lines(lines, path, single_file=True)
     written = readers.read_text_lines(spark, path)
     assert written.count() == 1000
     assert written.select("_metadata.file_name").distinct().count() == 4
