@@ -274,9 +274,9 @@ ORACLES: dict[str, str] = {
         FROM events WHERE dayofmonth(ts) >= 6 GROUP BY ALL""",
     "stream_realtime": f"""
         SELECT sink, member, tier, count(*) AS n_rows FROM (
-          SELECT 'rows' AS sink, member_id AS member, CASE WHEN event_id % 2 = 0 THEN event_type END AS tier FROM ({FOUND})
+          SELECT 'rows' AS sink, member_id AS member, CASE WHEN dayofmonth(ts) <= 15 THEN event_type END AS tier FROM ({FOUND})
           UNION ALL
-          SELECT 'windows', member_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE {VALUE} END FROM ({FOUND})
+          SELECT 'windows', member_id, CASE WHEN dayofmonth(ts) <= 15 THEN event_type ELSE {VALUE} END FROM ({FOUND})
           UNION ALL
           SELECT 'dead', NULL, 'processing_error' FROM events WHERE event_id % 13 IN (0, 1))
         GROUP BY ALL""",

@@ -536,16 +536,17 @@ def reconcile_with_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message stream with repeats and late rows, deduplicated and written by window.
 
-    Arrivals: the events up to day 20 but without the first five days, the later events, the later
-    events again, and at last the first five days, which the watermark has long passed.
+    Arrivals: the events of days 6 to 20, the later events, the later events again, and at last the
+    first five days, which the watermark has long passed.
     """
     source, files, checkpoint = (shared_dir(spark, n) for n in ("arrivals", "windows", "progress"))
     messages = views.messages(spark, sf_dir)
     day = F.dayofmonth("publish_time")
     later = messages.filter(day > 20)
-    for slice_ in (messages.filter(day.between(6, 20)), later, later, later.filter(day > 25), messages.filter(day < 6)):
+    for slice_ in (messages.filter(day.between(6, 20)), later, later, messages.filter(day < 6)):
         slice_.write.mode("append").parquet(source)
-        start_window_files(deduplicate(file_messages(spark, source), "1 day"), files, checkpoint).awaitTermination()
+        start_window_files(deduplicate(file_messages(spark, source), "1 day"), files, checkpoint,
+                           state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     written = spark.read.schema(
         "message_id string, publish_time timestamp, par_month string, par_day string, par_hour string, run_dt string"
     ).parquet(files)
@@ -555,11 +556,14 @@ def stream_dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def realtime_job(table_path: str, files_path: str, dead_letter_path: str) -> RealtimeJob:
     return RealtimeJob(
-        table_path, files_path, dead_letter_path, table_columns=("memberId", "tier", "fullName"))
+        table_path, files_path, "ms_member", dead_letter_path, table_columns=("memberId", "tier", "fullName"))
 
 
 def stream_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The realtime job over two arrivals; the mapping gets another path for tier in between."""
+    """The realtime job over two arrivals, the first and the second half of the month.
+
+    In between the mapping gets another path for tier.
+    """
     source, checkpoint, table_path, files_path, dead_path = (
         shared_dir(spark, n) for n in ("arrivals", "progress", "rows", "windows", "dead"))
     first = views.mapping(spark).filter("updated_date IS NOT NULL").withColumn("path", F.expr(
@@ -571,7 +575,7 @@ def stream_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = realtime_job(table_path, files_path, dead_path)
     messages = views.messages(spark, sf_dir)
     for arrival in (0, 1):
-        messages.filter(F.col("message_id").cast("bigint") % 2 == arrival).write.mode("append").parquet(source)
+        messages.filter((F.dayofmonth("publish_time") > 15) == bool(arrival)).write.mode("append").parquet(source)
         start_realtime(file_messages(spark, source), lambda: views.profile_cells(spark, sf_dir), refresh, job,
                        checkpoint, {"availableNow": True}).awaitTermination()
     rows = spark.read.parquet(table_path)

@@ -32,7 +32,7 @@ PASSED_ON = ("message_id", "publish_time")
 
 @dataclass(frozen=True)
 class RealtimeJob:
-    """Where the job writes and what it maps.
+    """Where the job writes and which table's mapping rows it applies.
 
     ``file_schema`` fixes the columns of the window files. Without it they are the mapping's
     columns as text, which is only safe while the mapping keeps its columns.
@@ -40,8 +40,8 @@ class RealtimeJob:
 
     table_path: str
     files_path: str
+    mapped_table: str
     dead_letter_path: str | None = None
-    mapped_table: str = "ms_member"
     families: Sequence[str] = ("profiles",)
     member_id: Sequence[str] = ("profiles", "memberId")
     key_path: Sequence[str] = KEY_PATH

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from goldthread.functions.calendar import PARTITIONS, WINDOW_MONTH, partition_columns, window_end
 
 BATCH = "batch_id"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 ROWS_PER_TASK = 1_000_000
 FOLDERS_PER_TASK = 16
 
@@ -57,9 +58,13 @@ def start_window_files(
     size: str = "5 minutes",
     month: str = WINDOW_MONTH,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Write a stream as Parquet files in the folders of its windows.
 
+    ``state_partitions`` sizes the state of a deduplicated stream. The first start fixes it for the
+    life of the checkpoint, so it is given here and not taken from a setting made for batch jobs.
+
     Rows are brought together by folder before the write. The plain file sink would leave one file
     per task in every open folder, whatever the amount of rows.
     """
@@ -71,5 +76,14 @@ def start_window_files(
         finally:
             batch.unpersist()
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    writer = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or {"availableNow": True})))
+    if state_partitions is None:
+        return writer.start()
+    conf = stream.sparkSession.conf
+    before = conf.get(SHUFFLE_PARTITIONS)
+    conf.set(SHUFFLE_PARTITIONS, state_partitions)
+    try:
+        return writer.start()  # a stream keeps the settings of its start
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, before)

@@ -114,7 +114,8 @@ def test_event_keys(spark):
 
 
 def realtime_tables(spark):
-    return RealtimeJob(*(shared_dir(spark, n) for n in ("rows", "files", "dead")), table_columns=("memberId", "email", "x"))
+    rows, files, dead = (shared_dir(spark, n) for n in ("rows", "files", "dead"))
+    return RealtimeJob(rows, files, "ms_member", dead, table_columns=("memberId", "email", "x"))
 
 
 def test_realtime_batch_and_replay(spark):
@@ -140,8 +141,8 @@ def test_realtime_fixed_file_schema_and_required_column(spark):
     schema = T.StructType([T.StructField("member_number", T.StringType()), T.StructField("age", T.LongType()),
                            T.StructField("extra", T.StringType()), T.StructField("born", T.DateType())])
     base = realtime_tables(spark)
-    job = RealtimeJob(base.table_path, base.files_path, base.dead_letter_path, table_columns=("email", "memberId"),
-                      required="email", file_schema=schema)
+    job = RealtimeJob(base.table_path, base.files_path, "ms_member", base.dead_letter_path,
+                      table_columns=("email", "memberId"), required="email", file_schema=schema)
     docs = cells(spark, {"k1": '{"memberId": "1", "age": 5, "born": "2024-01-02"}'})
     run_batch(spark.createDataFrame([message("k1", 1, NOW)], MESSAGE_SCHEMA), 3, docs,
               MappingRefresh(lambda: mapping(spark)).current(), job)
