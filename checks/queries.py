@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views
-from goldthread.functions.calendar import PARTITIONS, drop_window_columns, with_window_path
+from goldthread.functions.calendar import PARTITIONS, with_window_path
 from goldthread.functions.extract import extract_paths, with_json_value
 from goldthread.functions.paths import last_segment, split_path_column
 from goldthread.functions.text import variant_kind

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldthread.functions.text import col
 from goldthread.operators.latest import latest_per_key, newest
+from goldthread.operators.sizing import fits
 
 CHANGE_TYPE = "_CHANGE_TYPE"  # fixed value
-IS_CHANGE = "__is_change"
+CHANGED = "__changed_"
 
 
 def change_records(df: DataFrame, change_type: str = "UPSERT", at: Column | None = None) -> DataFrame:
@@ -22,17 +25,25 @@ def change_records(df: DataFrame, change_type: str = "UPSERT", at: Column | None
         F.struct(F.lit(change_type).alias("change_type"), stamp.alias("timestamp")).alias("row_mutation_info"))
 
 
-def apply_changes(current: DataFrame, changes: DataFrame, pk: Sequence[str], order: Sequence[str]) -> DataFrame:
+def apply_changes(
+    current: DataFrame,
+    changes: DataFrame,
+    pk: Sequence[str],
+    order: Sequence[str],
+    broadcast_rows: int | None = None,
+) -> DataFrame:
     """``current`` after the changes: the newest change of a key replaces its row or deletes it.
 
     ``changes`` has the columns of ``current``, ``_CHANGE_TYPE`` (UPSERT or DELETE) and ``order``,
-    the columns that tell which change is newer.
+    the columns that tell which change is newer. Only the changes are ranked. Rows without a change
+    pass an anti join; with ``broadcast_rows`` the changed keys are counted and, when they are that
+    few, broadcast, so that the table itself is not shuffled.
     """
-    shared = [c for c in order if c in current.columns]
-    extra = [c for c in order if c not in current.columns]
-    base = current.withColumns({
-        CHANGE_TYPE: F.lit("UPSERT"), IS_CHANGE: F.lit(False),
-        **{c: F.lit(None).cast(changes.schema[c].dataType) for c in extra}})
-    union = base.unionByName(changes.select(*base.drop(IS_CHANGE).columns).withColumn(IS_CHANGE, F.lit(True)))
-    latest = latest_per_key(union, list(pk), newest(IS_CHANGE, *shared, *extra))
-    return latest.filter(F.col(CHANGE_TYPE) != "DELETE").select(*[col(c) for c in current.columns])
+    latest = latest_per_key(changes, list(pk), newest(*order))
+    keys = latest.select(*[col(c).alias(f"{CHANGED}{c}") for c in pk])
+    if broadcast_rows is not None and fits(keys, broadcast_rows):
+        keys = F.broadcast(keys)
+    same_key = reduce(and_, [col(c).eqNullSafe(col(f"{CHANGED}{c}")) for c in pk])
+    untouched = current.join(keys, same_key, "left_anti")
+    written = latest.filter(F.col(CHANGE_TYPE) != "DELETE").select(*[col(c) for c in current.columns])
+    return untouched.unionByName(written)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from goldthread.operators.changes import apply_changes
 from goldthread.operators.normalize import serialize_nested
-from goldthread.operators.sizing import fits
+from goldthread.operators.sizing import BROADCAST_ROWS, fits
 
 SINGLE_FILE_ROWS = 100_000
 NEXT, PREVIOUS = "__next", "__previous"
@@ -65,7 +65,7 @@ def upsert_table(changes: DataFrame, table: str, pk: Sequence[str], order: Seque
     """Apply change rows to a plain Parquet table."""
     spark = changes.sparkSession
     recover_table(spark, table)
-    swap_table(apply_changes(spark.table(table), changes, pk, order), table)
+    swap_table(apply_changes(spark.table(table), changes, pk, order, BROADCAST_ROWS), table)
 
 
 def load_snapshot(spark: SparkSession, source: str, table: str) -> None:

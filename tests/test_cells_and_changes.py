@@ -86,13 +86,29 @@ def test_cogroup(spark):
     assert drop_null_keys(new, "k").count() == 3
 
 
-def test_apply_changes(spark):
+@pytest.mark.parametrize("broadcast_rows", [None, 0, 100])
+def test_apply_changes(spark, broadcast_rows):
     current = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     changes = spark.createDataFrame(
         [("a", 10, "UPSERT", 1), ("a", 11, "UPSERT", 2), ("b", None, "DELETE", 1), ("d", 4, "UPSERT", 1),
          ("e", 5, "UPSERT", 1), ("e", 5, "DELETE", 2)], "k string, v int, _CHANGE_TYPE string, seq int")
-    got = sorted((r.k, r.v) for r in apply_changes(current, changes, ["k"], ["seq"]).collect())
-    assert got == [("a", 11), ("c", 3), ("d", 4)]
+    got = apply_changes(current, changes, ["k"], ["seq"], broadcast_rows)
+    assert sorted((r.k, r.v) for r in got.collect()) == [("a", 11), ("c", 3), ("d", 4)]
+
+
+def test_changes_of_a_null_or_compound_key(spark):
+    current = spark.createDataFrame([(None, "x", 1), ("a", "x", 2), ("a", "y", 3)], "k string, l string, v int")
+    changes = spark.createDataFrame([(None, "x", 7, "UPSERT", 1), ("a", "y", None, "DELETE", 1)],
+                                    "k string, l string, v int, _CHANGE_TYPE string, seq int")
+    got = apply_changes(current, changes, ["k", "l"], ["seq"]).collect()
+    assert {tuple(r) for r in got} == {(None, "x", 7), ("a", "x", 2)}
+
+
+def test_few_changes_do_not_shuffle_the_table(spark):
+    current = spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    changes = spark.range(10).selectExpr("CAST(id AS STRING) AS k", "id AS v", "'UPSERT' AS _CHANGE_TYPE", "id AS seq")
+    plan = apply_changes(current, changes, ["k"], ["seq"], 100)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_change_records(spark):

@@ -6,7 +6,6 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from goldthread.functions.calendar import (
     drop_window_columns, with_run_partitions, with_run_partitions_from_text, with_window_path)
