@@ -154,9 +154,9 @@ ORACLES: dict[str, str] = {
         FROM (SELECT {MEMBER} AS member_number, count(*) AS n FROM events WHERE event_id % 10 <> 0 GROUP BY 1) n
         FULL JOIN (SELECT member_number, count(*) AS n FROM ({MEMBERS}) GROUP BY 1) o USING (member_number)""",
     "cogroup_all_rows": f"""
-        SELECT {MEMBER} AS member_number, 'new' AS alias, event_id, NULL::BIGINT AS o_orderkey
+        SELECT {MEMBER} AS member_number, 'new' AS alias, event_id AS row_id
         FROM events WHERE event_id % 10 <> 0
-        UNION ALL SELECT member_number, 'old', NULL, o_orderkey FROM ({MEMBERS})""",
+        UNION ALL SELECT member_number, 'old', o_orderkey FROM ({MEMBERS})""",
     "reconcile_members": f"""
         SELECT n.k, n.member_number, NULL::VARCHAR AS name, o.segment, n.tier
         FROM ({LATEST_MAPPED}) n LEFT JOIN ({LATEST_MEMBERS}) o USING (member_number)""",

@@ -197,8 +197,7 @@ def cogroup_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cogroup_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = cogroup_rows({"new": _mapped_new(spark, sf_dir), "old": views.members(spark, sf_dir)}, "member_number")
-    return grouped.select("member_number", "alias", F.col("new.event_id").alias("event_id"),
-                          F.col("old.o_orderkey").alias("o_orderkey"))
+    return grouped.select("member_number", "alias", F.coalesce("new.event_id", "old.o_orderkey").alias("row_id"))
 
 
 def reconcile_members(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldthread.functions.text import col, leaf_text, variant_scalar, variant_text
+from goldthread.functions.text import WHITE_SPACE, col, leaf_text, variant_scalar, variant_text
 
 STAGED = "__doc_"
 # Documents are strict JSON: a single-quoted string makes the document invalid.
@@ -78,11 +78,11 @@ def extract_paths(
             for schema, reads in layouts:
                 name = f"{STAGED}{count}"
                 count += 1
-                parsed[name] = F.from_json(text, schema, STRICT_JSON)
+                parsed[name] = F.from_json(object_text(text), schema, STRICT_JSON)
                 for keys, outcome in reads:
                     value = _at(F.col(name), keys)
                     if isinstance(outcome, _Step):
-                        following.append((F.when(_may_be_object(value), value), outcome))
+                        following.append((value, outcome))
                         continue
                     for target in outcome:
                         found[target] = value if target in typed else leaf_text(value, _json_leaf(text, keys))
@@ -104,10 +104,14 @@ def once(values: Mapping[str, Column]) -> list[Column]:
     return [F.stack(F.lit(1), *values.values()).alias(*values)] if values else []
 
 
-def _may_be_object(text: Column) -> Column:
-    # Parsing a text that is no JSON throws and catches an exception; most such texts are told
-    # by their first character.
-    return text.startswith("{") | text.rlike(r"^\s+\{")
+def object_text(text: Column) -> Column:
+    """Text that may be a JSON object by its first and last character, else null.
+
+    Parsing anything else would throw and catch an exception, and the reader would overlook what
+    follows the object.
+    """
+    opens = text.startswith("{") | text.rlike(r"^\s+\{")
+    return F.when(opens & F.rtrim(text, F.lit(WHITE_SPACE)).endswith("}"), text)
 
 
 def _at(value: Column, keys: Sequence[str]) -> Column:
@@ -118,7 +122,7 @@ def _at(value: Column, keys: Sequence[str]) -> Column:
 
 def _json_leaf(document: Column, keys: Sequence[str]) -> Column:
     """One leaf of a JSON text as VARIANT, by a parse of its own."""
-    return _at(F.from_json(document, _leaf_schema(keys), STRICT_JSON), keys)
+    return _at(F.from_json(object_text(document), _leaf_schema(keys), STRICT_JSON), keys)
 
 
 def _leaf_schema(keys: Sequence[str]) -> T.DataType:
@@ -140,7 +144,7 @@ def with_json_value(
     value = _at(F.col(staged), path)
     text = variant_scalar(value) if scalar else variant_text(value)
     others = [col(c) for c in df.columns if c != name]
-    return (df.withColumn(staged, F.from_json(document, _leaf_schema(path), STRICT_JSON))
+    return (df.withColumn(staged, F.from_json(object_text(document), _leaf_schema(path), STRICT_JSON))
             .select(*others, *once({name: text})))
 
 

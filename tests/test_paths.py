@@ -79,7 +79,7 @@ def test_embedded_text_is_parsed_only_on_request(spark):
     ('{"a": 0.00001}', "1e-05"), ('{"a": 0.00012}', "0.00012"), ('{"a": 1e5}', "100000.0"), ('{"a": -2.5e-7}', "-2.5e-07"),
     ('{"a": 123456789012345678}', "123456789012345678"), ('{"a": "1.50"}', "1.50"), ('{"a": {"b": [1]}}', '{"b":[1]}'),
     ("{'a': 1}", None), ('{"a": 1', None), ('[{"a": 1}]', None), ("5", None), ("", None), (None, None),
-    ('{"a": 1, "a": 2}', "2"),
+    ('{"a": 1, "a": 2}', "2"), ('{"a": 1} junk', None), (' \n{"a": 1}\t\n', "1"), ('x{"a": 1}', None),
 ])
 def test_leaf_text(spark, doc, text):
     df = spark.createDataFrame([(doc,)], "doc string")
