@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from goldthread.llm.decontaminate import contamination
 from goldthread.llm.main_text import extract_main_text
 from goldthread.llm.neighbours import nearest_neighbours
 from goldthread.llm.packing import pack
+from goldthread.llm.quality import classify
 from goldthread.llm.secret_scan import secret_digest
 from goldthread.llm.token_counts import count_tokens
 from goldthread.llm.token_files import token_file_digest
@@ -27,6 +29,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -39,6 +45,11 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op3_token_files, op5_token_counts, op7_nearest_neighbours, op8_secret_scan, op9_main_text)}
+    op1_harmonic_packing, op3_token_files, op5_token_counts, op6_decontamination, op7_nearest_neighbours,
+    op8_secret_scan, op9_main_text, op10_quality)}
 ORACLES: dict[str, str] = {}
