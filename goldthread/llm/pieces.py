@@ -17,7 +17,7 @@ import numpy as np
 
 #: The special strings of the tokenizer file; and separators that only Python's split() knows.
 WHOLE = re.compile(r"<\|startoftext\|>|<\|endoftext\|>|[\x1c-\x1f]")
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 JOINED_CHARS = 4_000
 
 
@@ -29,23 +29,28 @@ def load_tokenizer(path: str):
 
 
 class Pieces:
-    """Values of pieces (packed ids, or their number), kept up to ``most`` entries.
+    """Values of pieces (packed ids, or their number), kept up to twice ``most`` entries.
 
-    A full cache is emptied but for ``frequent``, which is given and never dropped.
+    A full cache is set aside for a new one, into which pieces are taken over as they are met again; so
+    frequent ones stay. ``frequent`` is given and never dropped.
     """
 
     def __init__(self, path: str, value: Callable[[np.ndarray], object], frequent: dict | None = None,
                  most: int = CACHE_PIECES):
         self.tokenizer = load_tokenizer(path)
         self.value, self.frequent, self.most = value, frequent or {}, most
-        self.cache = dict(self.frequent)
+        self.cache, self.aside = dict(self.frequent), {}
 
     def learn(self, texts: Iterable[list[str]]) -> None:
         """Fetch the values of all pieces of these texts that are not kept yet."""
-        missing = list(set().union(*texts).difference(self.cache))
-        if len(self.cache) + len(missing) > self.most + len(self.frequent):
-            self.cache = dict(self.frequent)
-            missing = list(set().union(*texts).difference(self.cache))
+        wanted = set().union(*texts)
+        if len(self.cache) > self.most + len(self.frequent):
+            self.cache, self.aside = dict(self.frequent), self.cache
+        missing = wanted.difference(self.cache)
+        if self.aside:
+            again = missing.intersection(self.aside)
+            self.cache.update((piece, self.aside[piece]) for piece in again)
+            missing -= again
         joined, group, chars = [], [], 0
         for piece in missing:
             group.append(piece)

@@ -148,8 +148,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
 def read_token_files(spark: SparkSession, manifest: DataFrame, step: int = 2000) -> DataFrame:
     """Every document of the files with ``doc_id, part, piece, frame, ids``, from tasks of ``step`` documents."""
+    # By number, for adaptive execution would merge these few bytes into one task.
+    tasks = manifest.agg(F.coalesce(F.sum(F.ceil(F.col("frames") / step)), F.lit(0))).head()[0]
     jobs = (manifest.withColumn("first", F.explode(F.expr(f"sequence(0L, frames - 1, {step}L)")))
-            .repartition(F.col("file"), F.col("first")))
+            .repartition(max(1, int(tasks)), "file", "first"))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
