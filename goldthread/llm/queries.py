@@ -10,6 +10,7 @@ from goldthread.llm.main_text import extract_main_text
 from goldthread.llm.neighbours import nearest_neighbours
 from goldthread.llm.packing import pack
 from goldthread.llm.quality import classify
+from goldthread.llm.repeated_spans import repeated_digest
 from goldthread.llm.secret_scan import secret_digest
 from goldthread.llm.token_counts import count_tokens
 from goldthread.llm.token_files import token_file_digest
@@ -25,6 +26,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE, end_id=1)
 
 
+def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE)
 
@@ -50,6 +55,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op3_token_files, op5_token_counts, op6_decontamination, op7_nearest_neighbours,
-    op8_secret_scan, op9_main_text, op10_quality)}
+    op1_harmonic_packing, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
+    op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality)}
 ORACLES: dict[str, str] = {}
