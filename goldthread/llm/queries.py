@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldthread.llm.decontaminate import contamination
 from goldthread.llm.main_text import extract_main_text
+from goldthread.llm.near_duplicates import near_duplicates
 from goldthread.llm.neighbours import nearest_neighbours
 from goldthread.llm.packing import pack
 from goldthread.llm.quality import classify
@@ -22,6 +23,10 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE, end_id=2)
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE, end_id=1)
 
@@ -55,6 +60,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_harmonic_packing, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
+    op1_harmonic_packing, op2_near_duplicates, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
     op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality)}
 ORACLES: dict[str, str] = {}
