@@ -8,15 +8,20 @@ VALUE = "CAST(value AS VARCHAR)"
 K = "json_extract_string(props, '$.k')"
 CUTOFF = "TIMESTAMP '2024-01-20 00:00:00'"
 
-MEMBERS = """
+ALL_MEMBERS = """
   SELECT CAST(o_custkey AS VARCHAR) AS member_number, c_name AS name, c_mktsegment AS segment,
          o_orderstatus AS tier, o_orderdate AS updated_date, o_orderkey
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 3 <> 0"""
+  FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+# Every third customer is missing, so that some personas are of new members.
+MEMBERS = f"SELECT * FROM ({ALL_MEMBERS}) WHERE CAST(member_number AS BIGINT) % 3 <> 0"
 
 LATEST_MEMBERS = f"""
   SELECT * FROM ({MEMBERS})
   QUALIFY row_number() OVER (PARTITION BY member_number ORDER BY updated_date DESC, o_orderkey DESC) = 1"""
 
+LATEST_OF_ALL = LATEST_MEMBERS.replace(MEMBERS, ALL_MEMBERS)
+
 MAPPING = """
   SELECT event_id, 'col_' || user_id AS dest, event_type,
          CASE event_id % 6
@@ -77,7 +82,7 @@ ROUTED = """
 
 def _seen(condition: str) -> str:
     return f"""
-      SELECT member_number, name, o_orderkey FROM ({LATEST_MEMBERS})
+      SELECT member_number, name, o_orderkey FROM ({LATEST_OF_ALL})
       WHERE member_number IN (SELECT {MEMBER} FROM events WHERE {condition})"""
 
 
@@ -100,7 +105,7 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY {MEMBER} ORDER BY ts DESC, event_id DESC) = 1""",
     "latest_member_row": f"""
         SELECT member_number, name, segment, tier, CAST(updated_date AS VARCHAR) AS updated_date, o_orderkey
-        FROM ({LATEST_MEMBERS})""",
+        FROM ({LATEST_OF_ALL})""",
     "latest_mapping_snapshot": f"""
         SELECT event_id, dest, path, updated_date FROM ({MAPPING})
         WHERE coalesce(updated_date, '1999-12-31') =
@@ -115,7 +120,7 @@ ORACLES: dict[str, str] = {
         FROM events""",
     "members_seen_in_period": _seen(PERIOD),
     "members_before_cutoff": _seen(f"ts <= {CUTOFF} AND coalesce({MEMBER}, '') <> ''"),
-    "distinct_members": f"SELECT DISTINCT member_number, name, segment, tier FROM ({MEMBERS})",
+    "distinct_members": f"SELECT DISTINCT member_number, name, segment, tier FROM ({ALL_MEMBERS})",
     "extract_nested": f"""
         SELECT event_id, {MEMBER} AS member_id, {VALUE} AS score, {K} AS k, NULL::VARCHAR AS below_text,
                NULL::VARCHAR AS missing, NULL::VARCHAR AS no_column FROM events""",
@@ -129,15 +134,19 @@ ORACLES: dict[str, str] = {
         SELECT event_id, {K} AS k, {MEMBER} AS member_number, NULL::VARCHAR AS name, event_type AS tier FROM events""",
     "map_original": f"SELECT event_id, {MEMBER} AS member_number, NULL::VARCHAR AS segment FROM events",
     "two_target_shapes": f"""
-        SELECT s.shape, e.event_id, s.key, CASE WHEN s.key IN ('memberId', 'member_number') THEN e.member END AS value
-        FROM (SELECT event_id, {MEMBER} AS member FROM events) e
-        CROSS JOIN (VALUES ('segment', 'memberId'), ('segment', 'profiles[''tier'']'), ('segment', 'fullName'),
-                           ('segment', 'k'), ('column', 'member_number'), ('column', 'tier'), ('column', 'name'),
-                           ('column', 'k')) s(shape, key)""",
+        SELECT s.shape, e.event_id, s.key,
+               CASE s.nr WHEN 1 THEN e.member WHEN 2 THEN e.event_type WHEN 3 THEN e.score WHEN 4 THEN e.props END AS value
+        FROM (SELECT event_id, {MEMBER} AS member, event_type, {VALUE} AS score, props FROM events) e
+        CROSS JOIN (VALUES (1, 'segment', 'memberId'), (2, 'segment', 'tier'), (3, 'segment', 'score'),
+                           (4, 'segment', 'props'), (5, 'segment', 'nothing'), (1, 'column', 'member_number'),
+                           (2, 'column', 'tier'), (3, 'column', 'rating'), (4, 'column', 'details'),
+                           (5, 'column', 'missing')) s(nr, shape, key)""",
+    "segment_shape": f"""
+        SELECT event_id, {MEMBER} AS "memberId", event_type AS tier, {VALUE} AS score, props, NULL::VARCHAR AS nothing FROM events""",
     "fill_schema": f"""
-        SELECT event_id, NULL::VARCHAR AS k, {MEMBER} AS member_number, NULL::VARCHAR AS name,
-               NULL::VARCHAR AS segment, NULL::VARCHAR AS tier, NULL::VARCHAR AS unmapped FROM events""",
-    "ignore_unknown_columns": f"SELECT o_orderkey, tier, name FROM ({MEMBERS})",
+        SELECT event_id, {MEMBER} AS member_number, event_type AS tier, {VALUE} AS rating, props AS details,
+               NULL::VARCHAR AS missing, NULL::VARCHAR AS unmapped FROM events""",
+    "ignore_unknown_columns": f"SELECT o_orderkey, tier, name FROM ({ALL_MEMBERS})",
     "serialize_nested_columns": """
         SELECT event_id, '{"event_type":"' || event_type || '","user_id":' || user_id || '}' AS who,
                '{"id":' || event_id || '}' AS tags, event_type FROM events""",
@@ -160,6 +169,10 @@ ORACLES: dict[str, str] = {
     "reconcile_members": f"""
         SELECT n.k, n.member_number, NULL::VARCHAR AS name, o.segment, n.tier
         FROM ({LATEST_MAPPED}) n LEFT JOIN ({LATEST_MEMBERS}) o USING (member_number)""",
+    "reconcile_mixed_flags": f"""
+        SELECT n.member_number, n.k, o.segment, o.name,
+               CASE WHEN o.member_number IS NOT NULL THEN o.tier ELSE n.tier END AS tier
+        FROM ({LATEST_MAPPED}) n LEFT JOIN ({LATEST_MEMBERS}) o USING (member_number)""",
     "normalize_strings": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority ELSE '' END AS priority,
                CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(round(o_totalprice * 1000, 1) AS VARCHAR) AS price,
@@ -219,6 +232,8 @@ ORACLES: dict[str, str] = {
         SELECT row_key, max(txt) FILTER (qualifier = 'click') AS profiles_click,
                max(txt) FILTER (qualifier = 'view') AS profiles_view, NULL::VARCHAR AS other_click
         FROM ({LATEST_CELLS}) WHERE qualifier IN ('click', 'view') GROUP BY row_key""",
+    "lookup_all_qualifiers": f"""
+        SELECT row_key, family || ':' || qualifier AS qualifier, txt AS value FROM ({LATEST_CELLS})""",
     "enrich_by_key": f"""
         SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(user_id AS VARCHAR) AS persona_id, member_id
         FROM ({FOUND})""",
@@ -236,23 +251,34 @@ ORACLES: dict[str, str] = {
           QUALIFY row_number() OVER (
             PARTITION BY member_number ORDER BY pass DESC, ts DESC NULLS LAST, event_id DESC) = 1)
         WHERE change <> 'DELETE'""",
+    "upsert_buckets": f"""
+        SELECT member_number, tier FROM (
+          SELECT * FROM ({CHANGES})
+          QUALIFY row_number() OVER (
+            PARTITION BY member_number ORDER BY pass DESC, ts DESC NULLS LAST, event_id DESC) = 1)
+        WHERE change <> 'DELETE'""",
     "route_retry_dlq": f"SELECT route, count(*) AS n_rows FROM ({ROUTED}) GROUP BY ALL",
     "retry_messages": f"""
         SELECT CAST(event_id AS VARCHAR) AS message_id, data, 'no persona id' AS error, CAST(tries + 1 AS INTEGER) AS retry_count,
                '2024-02-01 00:00:00' AS timestamp FROM ({ROUTED}) WHERE route = 'retry'""",
-    "dead_letters": f"""
-        SELECT CAST(event_id AS VARCHAR) AS message_id, data, 'no persona id' AS error, tries AS retry_count,
-               true AS final_failure FROM ({ROUTED}) WHERE route = 'dlq'""",
+    "dead_letters": """
+        SELECT CAST(event_id AS VARCHAR) AS message_id,
+               CASE WHEN event_id % 19 = 3 THEN '//57' WHEN event_id % 13 = 0 THEN '{bad' ELSE '{}' END AS data,
+               CASE WHEN event_id % 19 = 3 THEN 'base64' ELSE 'utf-8' END AS data_encoding, 'no persona id' AS error,
+               event_id % 5 AS retry_count, true AS final_failure
+        FROM events
+        WHERE event_id % 5 >= 3 AND (event_id % 19 = 3 OR (event_id % 17 <> 2 AND event_id % 13 IN (0, 1)))""",
     "partitioned_roundtrip": f"""
         SELECT member_number, name, tier, o_orderkey, '202402' AS par_month, '01' AS par_day, '01' AS par_hour,
-               '2024020101' AS run_dt FROM ({MEMBERS})""",
+               '2024020101' AS run_dt FROM ({ALL_MEMBERS})""",
     "sharded_write": f"""
         SELECT 'all' AS scope, CAST(5 AS BIGINT) AS n_files, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS sum_key
-        FROM ({MEMBERS})""",
-    "json_roundtrip": f"SELECT member_number, name, o_orderkey FROM ({MEMBERS})",
-    "text_roundtrip": f"SELECT o_orderkey || ' ' || name AS line FROM ({MEMBERS})",
-    "snapshot_load": f"SELECT member_number, o_orderkey FROM ({MEMBERS})",
-    "table_append": f"SELECT member_number, o_orderkey FROM ({MEMBERS})",
+        FROM ({ALL_MEMBERS})""",
+    "json_roundtrip": f"SELECT member_number, name, o_orderkey FROM ({ALL_MEMBERS})",
+    "text_roundtrip": f"SELECT o_orderkey || ' ' || name AS line FROM ({ALL_MEMBERS})",
+    "snapshot_load": f"SELECT member_number, o_orderkey FROM ({ALL_MEMBERS})",
+    "table_append": f"SELECT member_number, o_orderkey FROM ({ALL_MEMBERS})",
+    "table_append_ignoring": f"SELECT member_number, o_orderkey FROM ({ALL_MEMBERS})",
     "high_water_mark": f"""
         SELECT event_id, CAST(ts AS VARCHAR) AS ts FROM events
         WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {CUTOFF})""",
@@ -267,6 +293,13 @@ ORACLES: dict[str, str] = {
     "reconcile_with_step": f"""
         SELECT member_number, k FROM (
           {_reconciled(f"ts <= {CUTOFF} AND coalesce(member_number, '') <> ''", "CAST(n.k AS BIGINT) + 1000")})""",
+    "reconcile_backfill_written": f"""
+        SELECT CASE WHEN event_id % 10 = 5 THEN '' ELSE CAST(user_id AS VARCHAR) END AS member_number,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS joined, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen,
+               event_id % 2 = 0 AS active, value AS score, event_id || '.25' AS amount, event_id % 7 AS visits,
+               '2024020101' AS run_dt
+        FROM events WHERE ts <= {CUTOFF} AND event_id % 10 <> 5
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_dedup_window": f"""
         SELECT strftime({WINDOW_END}, '%m') AS par_month, strftime({WINDOW_END}, '%d') AS par_day,
                strftime({WINDOW_END}, '%H') AS par_hour, strftime({WINDOW_END}, '%Y%m%d%H') AS run_dt,
@@ -280,4 +313,16 @@ ORACLES: dict[str, str] = {
           UNION ALL
           SELECT 'dead', NULL, 'processing_error' FROM events WHERE event_id % 13 IN (0, 1))
         GROUP BY ALL""",
+    "stream_errors": f"""
+        SELECT outcome, data_encoding, count(*) AS n_messages FROM (
+          SELECT CASE WHEN odd OR (NOT blank AND event_id % 13 IN (0, 1)) OR blank THEN 'no key in the message'
+                      WHEN member_id <> '' THEN 'row' ELSE 'no document' END AS outcome,
+                 CASE WHEN odd THEN 'base64' WHEN blank OR event_id % 13 IN (0, 1) THEN 'utf-8' END AS data_encoding
+          FROM (SELECT event_id, user_id, event_id % 19 = 3 AS odd, event_id % 17 = 2 AS blank FROM events)
+          LEFT JOIN (SELECT user_id, member_id FROM ({LATEST_DOCUMENTS})) USING (user_id))
+        GROUP BY ALL
+        UNION ALL SELECT 'no document', NULL, 0 WHERE NOT EXISTS (
+          SELECT 1 FROM events JOIN ({LATEST_DOCUMENTS}) d USING (user_id)
+          WHERE coalesce(d.member_id, '') = '' AND events.event_id % 19 <> 3 AND events.event_id % 17 <> 2
+            AND events.event_id % 13 NOT IN (0, 1))""",
 }

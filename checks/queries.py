@@ -12,13 +12,13 @@ from checks import views
 from goldthread.functions.calendar import PARTITIONS, with_window_path
 from goldthread.functions.extract import extract_paths, with_json_value
 from goldthread.functions.paths import last_segment, split_path_column
-from goldthread.functions.text import variant_kind
+from goldthread.functions.text import utf8_text, variant_kind
 from goldthread.operators import cells as wide
 from goldthread.operators.changes import apply_changes, change_records
 from goldthread.operators.keyed import cogroup_counts, cogroup_rows, drop_null_keys
 from goldthread.operators.latest import latest_per_key, newest
 from goldthread.operators.mapping import (
-    latest_per_column, latest_snapshot, map_by_column, map_by_segment, map_records)
+    compile_mapping, latest_per_column, latest_snapshot, map_by_column, map_by_segment, map_records, map_shapes)
 from goldthread.operators.normalize import (
     Formats, fill_columns, ignore_unknown, normalize_to_schema, parse_json_fields, serialize_nested)
 from goldthread.operators.reconcile import reconcile
@@ -51,7 +51,7 @@ def latest_persona_per_member(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_member_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(
-        views.members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey")).select(
+        views.all_members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey")).select(
         "member_number", "name", "segment", "tier", _text("updated_date"), "o_orderkey")
 
 
@@ -78,7 +78,7 @@ def members_seen_in_period(spark: SparkSession, sf_dir: str) -> DataFrame:
         in_period("timestamp", views.newest_event(spark, sf_dir), "2 hours"))
     seen = with_json_value(recent, "member_number", F.col("profiles"), ["memberId"]).select("member_number").distinct()
     newest_rows = latest_per_key(
-        views.members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey"))
+        views.all_members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey"))
     return semi_join(newest_rows, seen, "member_number").select("member_number", "name", "o_orderkey")
 
 
@@ -87,12 +87,12 @@ def members_before_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = (with_json_value(personas, "member_number", F.col("profiles"), ["memberId"])
             .filter(F.coalesce("member_number", F.lit("")) != "").select("member_number").distinct())
     newest_rows = latest_per_key(
-        views.members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey"))
+        views.all_members(spark, sf_dir), ["member_number"], newest("updated_date", "o_orderkey"))
     return semi_join(newest_rows, seen, "member_number").select("member_number", "name", "o_orderkey")
 
 
 def distinct_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.members(spark, sf_dir).select("member_number", "name", "segment", "tier").distinct()
+    return views.all_members(spark, sf_dir).select("member_number", "name", "segment", "tier").distinct()
 
 
 # --- documents -------------------------------------------------------------------------------
@@ -141,24 +141,26 @@ def map_original(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def two_target_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.mapping_rows(spark)
-    source = views.personas(spark, sf_dir)
-    by_segment = map_by_segment(source, rows, "ms_member", keep=["event_id"])
-    by_column = map_by_column(source, rows, "ms_member", keep=["event_id"])
-    tall = [
-        shape.select(F.lit(name).alias("shape"), "event_id", F.explode(F.create_map(
-            *[part for c in shape.columns if c != "event_id" for part in (F.lit(c), F.col(c))])))
-        for name, shape in (("segment", by_segment), ("column", by_column))]
-    return tall[0].unionByName(tall[1])
+    shapes = map_shapes(views.personas(spark, sf_dir), compile_mapping(views.plain_mapping(spark)), "ms_member", keep=["event_id"])
+    pairs = [F.struct(F.lit(name).alias("shape"), F.lit(key).alias("key"), F.col(source).alias("value"))
+             for name, columns in (("segment", shapes.segments), ("column", shapes.columns)) for key, source in columns.items()]
+    return shapes.flat.select("event_id", F.explode(F.array(*pairs)).alias("x")).select("event_id", "x.*")
+
+
+def segment_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One shape alone, by its own operator."""
+    return map_by_segment(views.personas(spark, sf_dir), compile_mapping(views.plain_mapping(spark)), "ms_member",
+                          keep=["event_id"])
 
 
 def fill_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = map_by_column(views.personas(spark, sf_dir), views.mapping_rows(spark), "ms_member", keep=["event_id"])
-    return fill_columns(mapped, [r.dest for r in views.mapping_rows(spark)], keep=["event_id"])
+    rows = compile_mapping(views.plain_mapping(spark))
+    mapped = map_by_column(views.personas(spark, sf_dir), rows, "ms_member", keep=["event_id"])
+    return fill_columns(mapped, [r.dest for r in rows], keep=["event_id"])
 
 
 def ignore_unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ignore_unknown(views.members(spark, sf_dir), ["o_orderkey", "tier", "not_there", "name"])
+    return ignore_unknown(views.all_members(spark, sf_dir), ["o_orderkey", "tier", "not_there", "name"])
 
 
 def serialize_nested_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +208,13 @@ def reconcile_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(new.drop("event_id", "timestamp"), old, views.mapping_rows(spark), "member_number")
 
 
+def reconcile_mixed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped by the retrieved flag, chosen by the confirmed one, from sides with several rows per key."""
+    return reconcile(
+        _mapped_new(spark, sf_dir), views.members(spark, sf_dir), views.mapping_rows(spark), "member_number", "original",
+        new_order=("timestamp", "event_id"), old_order=("updated_date", "o_orderkey"))
+
+
 # --- normalise -------------------------------------------------------------------------------
 
 def _normalized(df: DataFrame, key: list[str], name: str, dtype: T.DataType, formats: Formats = Formats()) -> DataFrame:
@@ -346,6 +355,11 @@ def flatten_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("`profiles:view`").alias("profiles_view"), F.col("`other:click`").alias("other_click"))
 
 
+def lookup_all_qualifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every qualifier of every row, none named beforehand."""
+    return wide.row_maps(views.cells(spark, sf_dir), ["profiles"]).select("row_key", F.explode("cells").alias("qualifier", "value"))
+
+
 def enrich_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = event_keys(views.messages(spark, sf_dir)).select("message_id", "persona_id")
     found = wide.enrich_by_key(keyed, views.profile_cells(spark, sf_dir), "persona_id")
@@ -369,37 +383,38 @@ def upsert_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(current, changes, ["member_number"], ["ts", "event_id"])
 
 
-def _attempted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _attempted(messages: DataFrame) -> DataFrame:
     def process(df: DataFrame) -> DataFrame:
-        keyed = with_json_value(df, "result", F.col("data").cast("string"), ["payload", "personaId"])
+        keyed = with_json_value(df, "result", utf8_text(F.col("data")), ["payload", "personaId"])
         return keyed.withColumn("error", F.when(F.col("result").isNull(), "no persona id"))
 
-    return attempt(views.messages(spark, sf_dir), process)
+    return attempt(messages, process)
 
 
 def route_retry_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _attempted(spark, sf_dir).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
+    return _attempted(views.messages(spark, sf_dir)).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def retry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return split_routes(_attempted(spark, sf_dir), at).retry.select(
+    return split_routes(_attempted(views.messages(spark, sf_dir)), at).retry.select(
         "message_id", F.col("data").cast("string").alias("data"), "error", "retry_count", _text("timestamp"))
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "dead-letters")
-    dead = sinks.dead_letter_lines(split_routes(_attempted(spark, sf_dir)).dead)
+    dead = sinks.dead_letter_lines(split_routes(_attempted(views.odd_messages(spark, sf_dir))).dead)
     sinks.write_lines(dead, path)
     return readers.read_json_lines(
-        spark, path, "message_id string, data string, error string, retry_count bigint, final_failure boolean")
+        spark, path, "message_id string, data string, data_encoding string, error string, retry_count bigint, "
+                     "final_failure boolean")
 
 
 # --- round trips -----------------------------------------------------------------------------
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "run")
-    run = views.members(spark, sf_dir).select("member_number", "name", "tier", "o_orderkey")
+    run = views.all_members(spark, sf_dir).select("member_number", "name", "tier", "o_orderkey")
     write_run(run.filter("o_orderkey % 2 = 0"), path, RUN_TIME)
     write_run(run, path, RUN_TIME)
     schema = ", ".join([run.schema.toDDL(), *[f"{p} string" for p in PARTITIONS]])
@@ -408,7 +423,7 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sharded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "shards")
-    sinks.write_parquet(views.members(spark, sf_dir).select("o_orderkey", "name"), path, shards=5)
+    sinks.write_parquet(views.all_members(spark, sf_dir).select("o_orderkey", "name"), path, shards=5)
     written = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
     return written.groupBy(F.lit("all").alias("scope")).agg(
         F.countDistinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"),
@@ -417,7 +432,7 @@ def sharded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "json")
-    source = views.members(spark, sf_dir).select("member_number", "name", "o_orderkey")
+    source = views.all_members(spark, sf_dir).select("member_number", "name", "o_orderkey")
     sinks.write_lines(source, path, "json")
     line = readers.read_json_lines(spark, path)
     return line.select(
@@ -428,7 +443,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "text")
-    sinks.write_lines(views.members(spark, sf_dir).selectExpr("concat(o_orderkey, ' ', name) AS line"), path)
+    sinks.write_lines(views.all_members(spark, sf_dir).selectExpr("concat(o_orderkey, ' ', name) AS line"), path)
     return readers.read_text_lines(spark, path).withColumnRenamed("value", "line")
 
 
@@ -442,7 +457,7 @@ def _fresh_table(spark: SparkSession, label: str) -> str:
 
 def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = shared_dir(spark, "snapshot-source")
-    views.members(spark, sf_dir).select("member_number", "o_orderkey").write.parquet(source)
+    views.all_members(spark, sf_dir).select("member_number", "o_orderkey").write.parquet(source)
     name = _fresh_table(spark, "snapshot")
     sinks.load_snapshot(spark, source, name)
     sinks.load_snapshot(spark, source, name)
@@ -450,12 +465,22 @@ def snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create, append and replace; an unknown column is ignored when the table must exist."""
+    """Create, append and replace."""
     name = _fresh_table(spark, "appended")
-    rows = views.members(spark, sf_dir).select("member_number", "o_orderkey")
+    rows = views.all_members(spark, sf_dir).select("member_number", "o_orderkey")
     sinks.write_table(rows, name)
     sinks.write_table(rows.filter("o_orderkey % 2 = 0"), name, "truncate")
-    sinks.write_table(rows.filter("o_orderkey % 2 = 1").withColumn("unknown", F.lit(1)), name, create=False)
+    sinks.write_table(rows.filter("o_orderkey % 2 = 1"), name, create=False)
+    return spark.table(name)
+
+
+def table_append_ignoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append with a column the table lacks, which is left out by request, and one under a name in other case."""
+    name = _fresh_table(spark, "appended")
+    rows = views.all_members(spark, sf_dir).select("member_number", "o_orderkey")
+    sinks.write_table(rows.filter("o_orderkey % 2 = 0"), name)
+    more = rows.filter("o_orderkey % 2 = 1").withColumn("unknown", F.lit(1)).withColumnRenamed("o_orderkey", "O_ORDERKEY")
+    sinks.write_table(more, name, ignore_unknown=True)
     return spark.table(name)
 
 
@@ -471,6 +496,20 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes on a table in folders by key hash, of which only the changed ones are rewritten."""
+    path = shared_dir(spark, "buckets")
+    sinks.write_buckets(views.table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS member_number", "c_mktsegment AS tier"), path, ["member_number"], 16)
+    changes = views.table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id AS STRING) AS member_number", "event_type AS tier",
+        "CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPSERT' END AS _CHANGE_TYPE", "ts", "event_id")
+    for rest in (0, 1):
+        sinks.upsert_buckets(
+            changes.filter(F.col("event_id") % 2 == rest), path, ["member_number"], ["ts", "event_id"], 16)
+    return sinks.read_buckets(spark, path)
+
+
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "mark")
     events = views.table(spark, sf_dir, "events")
@@ -530,6 +569,19 @@ def reconcile_with_step(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(CUTOFF).cast("timestamp")).select("member_number", "k")
 
 
+def reconcile_backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backfill with a column of every type, written in shards under its run folder and read back."""
+    kinds = {"member_number": "string", "joined": "date", "seen": "timestamp", "active": "boolean", "score": "double",
+             "amount": "decimal(12,2)", "visits": "bigint"}
+    job = BatchJob(T.StructType.fromDDL(", ".join(f"{c} {k}" for c, k in kinds.items())),
+                   persona_order=("timestamp", "event_id"), member_order=("updated_date", "o_orderkey"))
+    path = shared_dir(spark, "typed-run")
+    write_run(backfill(views.typed_personas(spark, sf_dir), views.all_members(spark, sf_dir), views.typed_mapping(spark), job,
+                       F.lit(CUTOFF).cast("timestamp")), path, RUN_TIME, shards=3)
+    written = spark.read.schema(", ".join([*(f"{c} {k}" for c, k in kinds.items()), "run_dt string"])).parquet(path)
+    return written.select(*[_text(c) if k in ("date", "timestamp", "decimal(12,2)") else c for c, k in kinds.items()], "run_dt")
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 def stream_dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -588,3 +640,25 @@ def stream_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get_json_object("value", "$.error_type").alias("tier"))]
     return counted[0].unionByName(counted[1]).unionByName(counted[2]).groupBy("sink", "member", "tier").agg(
         F.count(F.lit(1)).alias("n_rows"))
+
+
+def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message in exactly one outcome: a row, a dead letter by its reason, or no document."""
+    source, checkpoint, table_path, files_path, dead_path = (
+        shared_dir(spark, n) for n in ("arrivals", "progress", "rows", "windows", "dead"))
+    messages = views.odd_messages(spark, sf_dir)
+    messages.write.parquet(source)
+    start_realtime(
+        file_messages(spark, source), lambda: views.profile_cells(spark, sf_dir),
+        MappingRefresh(lambda: views.plain_mapping(spark)), realtime_job(table_path, files_path, dead_path), checkpoint,
+        {"availableNow": True}).awaitTermination()
+    one = F.lit(1)
+    rows = spark.read.parquet(table_path).select(F.lit("row").alias("outcome"), F.lit(None).cast("string").alias("data_encoding"), one.alias("n"))
+    dead = spark.read.parquet(dead_path).select(
+        F.get_json_object("value", "$.error").alias("outcome"),
+        F.get_json_object("value", "$.data_encoding").alias("data_encoding"), one.alias("n"))
+    settled = rows.unionByName(dead)
+    rest = messages.agg(F.count(one).alias("all")).crossJoin(settled.agg(F.count(one).alias("some"))).select(
+        F.lit("no document").alias("outcome"), F.lit(None).cast("string").alias("data_encoding"),
+        (F.col("all") - F.col("some")).cast("int").alias("n"))
+    return settled.unionByName(rest).groupBy("outcome", "data_encoding").agg(F.sum("n").alias("n_messages"))

@@ -9,7 +9,7 @@ from goldthread.operators.mapping import MappingRow, compile_mapping, latest_sna
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Wall-clock columns are compared with engines that know no session zone.
+    # Wall-clock columns of the tables become instants by the session's zone, and are compared with engines without one.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,13 +23,45 @@ def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE to_json(named_struct(
                'memberId', CASE WHEN event_id % 10 = 5 THEN '' ELSE CAST(user_id AS STRING) END,
                'tier', event_type, 'score', value, 'props', props)) END AS profiles""",
-        "event_type AS status", "CAST(ts AS TIMESTAMP) AS timestamp")
+        "event_type AS status", "CAST(ts AS TIMESTAMP) AS timestamp", "user_id")
+
+
+def typed_personas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a value for every type of column."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """to_json(named_struct(
+             'memberId', CASE WHEN event_id % 10 = 5 THEN '' ELSE CAST(user_id AS STRING) END,
+             'joined', date_format(ts, 'yyyy-MM-dd'), 'seen', date_format(ts, 'yyyy-MM-dd HH:mm:ss'),
+             'active', event_id % 2 = 0, 'score', value, 'amount', concat(event_id, '.25'), 'visits', event_id % 7)) AS profiles""",
+        "CAST(ts AS TIMESTAMP) AS timestamp")
+
+
+def typed_mapping(spark: SparkSession) -> DataFrame:
+    return spark.sql("""
+        SELECT dest, concat('profiles.', step) AS path, true AS retrieved, true AS confirmed, '2024-02-01' AS updated_date,
+               'ms_member' AS table_name
+        FROM VALUES ('member_number', 'memberId'), ('joined', 'joined'), ('seen', 'seen'), ('active', 'active'),
+                    ('score', 'score'), ('amount', 'amount'), ('visits', 'visits') AS mapping(dest, step)""")
+
+
+def plain_mapping(spark: SparkSession) -> DataFrame:
+    """Plain dotted paths, one of which no document has, and a column without a path."""
+    return spark.sql("""
+        SELECT dest, path, true AS retrieved, true AS confirmed, '2024-02-01' AS updated_date, 'ms_member' AS table_name
+        FROM VALUES ('member_number', 'profiles.memberId'), ('tier', 'profiles.tier'), ('rating', 'profiles.score'),
+                    ('details', 'profiles.props'), ('missing', 'profiles.nothing'), ('unmapped', '') AS mapping(dest, path)""")
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several rows per key; every third customer is missing."""
+    """Several rows per key; every third customer is missing, so that some personas are of new members."""
+    return all_members(spark, sf_dir).filter("CAST(member_number AS BIGINT) % 3 <> 0")
+
+
+def all_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several rows per key, one for each order."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    return (orders.filter("o_custkey % 3 <> 0").join(customer, orders.o_custkey == customer.c_custkey)
+    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .selectExpr("CAST(o_custkey AS STRING) AS member_number", "c_name AS name",
                         "c_mktsegment AS segment", "o_orderstatus AS tier",
                         "CAST(o_orderdate AS TIMESTAMP) AS updated_date", "o_orderkey"))
@@ -83,8 +115,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-document cells: the persona documents as versions of one qualifier per user."""
-    by_event = table(spark, sf_dir, "events").select("event_id", "user_id")
-    return personas(spark, sf_dir).join(by_event, "event_id").selectExpr(
+    return personas(spark, sf_dir).selectExpr(
         "CAST(user_id AS STRING) AS row_key", "'profiles' AS family", "'value' AS qualifier",
         "timestamp AS ts", "encode(profiles, 'UTF-8') AS value")
 
@@ -99,6 +130,13 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "map('retry_count', CAST(event_id % 5 AS STRING)) AS attributes")
 
 
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, of which one in 17 has a blank key and one in 19 bytes that are not UTF-8."""
+    return messages(spark, sf_dir).withColumn("data", F.expr("""
+        CASE WHEN CAST(message_id AS BIGINT) % 19 = 3 THEN unhex('FFFE7B')
+             WHEN CAST(message_id AS BIGINT) % 17 = 2 THEN encode('{"payload":{"personaId":""}}', 'UTF-8') ELSE data END"""))
+
+
 def newest_event(spark: SparkSession, sf_dir: str):
     """The reference time of clock-dependent queries: the newest event, as a scalar subquery."""
     return table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp"))).scalar()

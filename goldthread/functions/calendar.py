@@ -14,10 +14,20 @@ BATCH_MONTH, WINDOW_MONTH = "yyyyMM", "MM"
 
 
 def partition_columns(instant: Column, month: str = BATCH_MONTH, zone: str = ZONE) -> dict[str, Column]:
-    """Folder values of a UTC instant, in wall-clock time of ``zone``."""
-    local = F.from_utc_timestamp(instant, zone)
-    patterns = dict(zip(PARTITIONS, (month, "dd", "HH", "yyyyMMddHH")))
-    return {name: F.date_format(local, pattern) for name, pattern in patterns.items()}
+    """Folder values of an instant, in wall-clock time of ``zone`` and whatever the session's zone is."""
+    text = local_time(instant, zone).cast("string")  # yyyy-MM-dd HH:mm:ss
+    year, month_, day, hour = (F.substring(text, at, n) for at, n in ((1, 4), (6, 2), (9, 2), (12, 2)))
+    values = ({BATCH_MONTH: F.concat(year, month_), WINDOW_MONTH: month_}[month], day, hour,
+              F.concat(year, month_, day, hour))
+    return dict(zip(PARTITIONS, values))
+
+
+def local_time(instant: Column, zone: str = ZONE) -> Column:
+    """The wall-clock time of an instant in ``zone``, without zone. The session's zone plays no part."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def with_run_partitions(df: DataFrame, run_time: datetime, month: str = BATCH_MONTH, zone: str = ZONE) -> DataFrame:
@@ -49,7 +59,7 @@ def with_window_path(
     parts = partition_columns(F.col("_window_end"), month, zone)
     path = F.concat_ws("/", *[F.concat(F.lit(f"{name}="), value) for name, value in parts.items()])
     return (framed.withColumn("_window_path", path)
-            .withColumn("_window_timestamp", F.from_utc_timestamp("_window_end", zone))
+            .withColumn("_window_timestamp", local_time(F.col("_window_end"), zone))
             .drop("_window_end"))
 
 

@@ -7,24 +7,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldthread.functions.text import utf8_or_hex, utf8_text
-from goldthread.operators.sizing import fits, semi_join
+from goldthread.operators.sizing import semi_join
 
 CELL = ("row_key", "family", "qualifier")
 WHOLE_ROW = "value"  # fixed value: qualifier of a family that is one document
-LITERAL_KEYS = 200  # more keys than that are joined instead of listed in the filter
+SPREAD = "__spread"
+BUCKET = "key_bucket"  # partition column of a bucketed cell table
 
 
 def cells_by_keys(cells: DataFrame, keys: Sequence[str] | DataFrame, broadcast_rows: int | None = None) -> DataFrame:
     """Cells of the given row keys: a list, or a DataFrame with a ``row_key`` column."""
     if not isinstance(keys, DataFrame):
-        if len(keys) <= LITERAL_KEYS:
-            return cells.filter(F.col("row_key").isin(list(keys)))
         keys = cells.sparkSession.createDataFrame([(k,) for k in keys], "row_key string")
-    return semi_join(cells, keys.select("row_key"), "row_key", broadcast_rows)
+    return semi_join(cells_of_buckets(cells, keys), keys.select("row_key"), "row_key", broadcast_rows)
+
+
+def key_bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_cells(cells: DataFrame, path: str, buckets: int, mode: str = "append") -> None:
+    """Cells as Parquet in folders by the hash of their row key, sorted by it within a file.
+
+    A read of some keys then opens their folders only, and skips row groups by the key's statistics.
+    The number of buckets is kept in the folder name, so readers need not be told.
+    """
+    framed = cells.withColumn(BUCKET, F.concat(F.lit(f"{buckets}-"), key_bucket(F.col("row_key"), buckets)))
+    (framed.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, "row_key").write.mode(mode).partitionBy(BUCKET).parquet(path))
+
+
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """A cell table of ``write_cells``, with its bucket as a column."""
+    schema = "row_key string, family string, qualifier string, ts timestamp, value binary"
+    return spark.read.schema(f"{schema}, {BUCKET} string").parquet(path)
+
+
+def cells_of_buckets(cells: DataFrame, keys: DataFrame) -> DataFrame:
+    """Of a bucketed table the folders that hold the ``row_key`` values of ``keys``; other tables as they are.
+
+    The folder names in use are read by the driver: at most as many as the table has buckets.
+    """
+    if BUCKET not in cells.columns:
+        return cells
+    sizes = {int(r[0].split("-")[0]) for r in cells.select(BUCKET).distinct().collect()}
+    wanted = [f"{n}-{r[0]}" for n in sizes for r in keys.select(key_bucket(F.col("row_key"), n)).distinct().collect()]
+    return cells.filter(F.col(BUCKET).isin(wanted)).drop(BUCKET)
 
 
 def cells_by_ranges(cells: DataFrame, ranges: Sequence[tuple[str | None, str | None]]) -> DataFrame:
@@ -56,8 +88,18 @@ def latest_cells(cells: DataFrame) -> DataFrame:
 
     An aggregate with a map-side part: a row with many versions shrinks before the shuffle.
     """
-    return cells.groupBy(*CELL).agg(
-        F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts"))
+    newest = cells.groupBy(*CELL).agg(F.max(F.struct("ts", "value")).alias("newest"))
+    return newest.select(*CELL, "newest.value", "newest.ts")
+
+
+def row_maps(cells: DataFrame, families: Sequence[str] | None = None) -> DataFrame:
+    """One row per key with every qualifier found: a map from ``family:qualifier`` to the newest value as text.
+
+    A row's map is gathered in one task; it is as large as the row, whatever the number of rows.
+    """
+    newest = latest_cells(of_families(cells, families)).select(
+        "row_key", F.struct(F.concat_ws(":", "family", "qualifier").alias("key"), utf8_or_hex(F.col("value")).alias("value")).alias("cell"))
+    return newest.groupBy("row_key").agg(F.map_from_entries(F.sort_array(F.collect_list("cell"))).alias("cells"))
 
 
 def flatten_cells(cells: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -66,7 +108,7 @@ def flatten_cells(cells: DataFrame, columns: Sequence[tuple[str, str]]) -> DataF
         *[F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier")) for f, q in columns])
     version = F.struct("ts", "value")
     newest = [
-        utf8_or_hex(F.max_by("value", F.when((F.col("family") == f) & (F.col("qualifier") == q), version)))
+        utf8_or_hex(F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), version))["value"])
         .alias(f"{f}:{q}") for f, q in columns]
     return cells.filter(wanted).groupBy("row_key").agg(*newest)
 
@@ -101,7 +143,8 @@ def family_document(cells: Column) -> Column:
 def row_documents(cells: DataFrame, families: Sequence[str] = ("profiles",)) -> DataFrame:
     """One row per key with a JSON text column per family; a family the row lacks is ``{}``.
 
-    Values of other families are dropped before the shuffle; they only show that the row exists.
+    Values of other families are dropped before the shuffle; they only show that the row exists. A
+    row's document is put together in one task; it is as large as the row, whatever the number of rows.
     """
     asked = F.col("family").isin(list(families))
     slim = cells.select(
@@ -119,18 +162,25 @@ def enrich_by_key(
     key: str,
     families: Sequence[str] = ("profiles",),
     broadcast_rows: int | None = None,
+    spread: int = 8,
 ) -> DataFrame:
     """Events with the documents of their row; an event without a row is dropped.
 
-    ``broadcast_rows`` allows broadcasting the distinct keys when they are counted to be that few;
-    then only their cells are read on. Otherwise every row is reduced to its newest cells before
-    it meets the events, so a row with many versions never lies in one task.
+    Keys are looked up once, however many events have them: of a bucketed cell table only the folders of the
+    keys are opened, their cells are cut down to the keys (broadcast with ``broadcast_rows`` if they are counted to be
+    that few), and every row is reduced to its newest cells. The documents found are then laid out ``spread``
+    times, and the events of a key are dealt over these copies, so that a key with most of the events
+    is joined in ``spread`` tasks.
     """
-    if broadcast_rows is not None:
-        keys = events.select(F.col(key).alias("row_key")).distinct()
-        if fits(keys, broadcast_rows):
-            cells = cells.join(F.broadcast(keys), "row_key", "left_semi")
-    return events.join(row_documents(cells, families).withColumnRenamed("row_key", key), key)
+    keys = events.select(F.col(key).alias("row_key")).filter("row_key IS NOT NULL").distinct()
+    documents = row_documents(cells_by_keys(cells, keys, broadcast_rows), families).withColumnRenamed("row_key", key)
+    dealt = events.withColumn(SPREAD, F.pmod(F.xxhash64(*_hashable(events)), F.lit(spread)))
+    copies = documents.withColumn(SPREAD, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+    return dealt.join(copies, [key, SPREAD]).drop(SPREAD)
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
 def has_text(df: DataFrame, value: Column) -> DataFrame:

@@ -39,7 +39,18 @@ def apply_changes(
     pass an anti join; with ``broadcast_rows`` the changed keys are counted and, when they are that
     few, broadcast, so that the table itself is not shuffled.
     """
-    latest = latest_per_key(changes, list(pk), newest(*order))
+    return apply_latest(current, latest_changes(changes, pk, order), pk, broadcast_rows)
+
+
+def latest_changes(changes: DataFrame, pk: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest change of every key."""
+    return latest_per_key(changes, list(pk), newest(*order))
+
+
+def apply_latest(
+    current: DataFrame, latest: DataFrame, pk: Sequence[str], broadcast_rows: int | None = None,
+) -> DataFrame:
+    """``apply_changes`` for changes with one row per key. They are read up to three times: persist them."""
     keys = latest.select(*[col(c).alias(f"{CHANGED}{c}") for c in pk])
     if broadcast_rows is not None and fits(keys, broadcast_rows):
         keys = F.broadcast(keys)

@@ -58,33 +58,28 @@ def latest_per_column(mapping: DataFrame, columns: MappingColumns = MappingColum
 
 
 def compile_mapping(
-    mapping: DataFrame, columns: MappingColumns = MappingColumns(), max_rows: int = METADATA_ROWS,
+    mapping: DataFrame, columns: MappingColumns = MappingColumns(), max_columns: int = METADATA_ROWS,
 ) -> list[MappingRow]:
     """Mapping rows on the driver, one per destination column.
 
     Rows without a destination are skipped. Of several rows for one destination the newest wins,
-    then the greatest path. Flags must be BOOLEAN (null is false): a text flag would be true
+    then the greatest path; older ones stay in Spark, so a table may have any history. More than ``max_columns``
+    destination columns are an error. Flags must be BOOLEAN (null is false): a text flag would be true
     whatever it says.
     """
     for flag in (columns.retrieved, columns.confirmed):
         if not isinstance(mapping.schema[flag].dataType, T.BooleanType):
             raise TypeError(f"mapping flag {flag} must be BOOLEAN")
     wanted = [columns.dest, columns.path, columns.retrieved, columns.confirmed]
-    optional = {name: name in mapping.columns for name in (columns.updated, columns.table)}
-    rows = metadata_rows(mapping.select(*wanted, *[n for n, there in optional.items() if there]), max_rows)
-
-    def age(row):
-        dated = row[columns.updated] if optional[columns.updated] else None
-        return (dated is not None, str(dated), row[columns.path] is not None, row[columns.path] or "")
-
-    compiled: dict[str, MappingRow] = {}
-    for row in sorted(rows, key=age):
-        dest = row[columns.dest]
-        if dest:
-            compiled[dest] = MappingRow(
-                dest, row[columns.path], bool(row[columns.retrieved]), bool(row[columns.confirmed]),
-                row[columns.table] if optional[columns.table] else None)
-    return sorted(compiled.values(), key=lambda r: r.dest)
+    tabled = columns.table in mapping.columns
+    age = [F.col(columns.updated).cast("string")] if columns.updated in mapping.columns else []
+    kept = latest_per_key(
+        mapping.filter(F.col(columns.dest) != ""), [columns.dest],
+        newest(*age, columns.path, columns.retrieved, columns.confirmed, *[columns.table] * tabled))
+    rows = metadata_rows(kept.select(*wanted, *[columns.table] * tabled), max_columns)
+    return sorted((MappingRow(
+        row[columns.dest], row[columns.path], bool(row[columns.retrieved]), bool(row[columns.confirmed]),
+        row[columns.table] if tabled else None) for row in rows), key=lambda r: r.dest)
 
 
 def map_records(
@@ -120,5 +115,38 @@ def map_by_column(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, k
     return extract_paths(df, paths, keep=keep, parse_embedded=False)
 
 
+@dataclass(frozen=True)
+class Shapes:
+    """Retrieved columns of one table under both names, from documents that are parsed once.
+
+    ``flat`` has one column per distinct path; keep it where both shapes are read.
+    """
+
+    flat: DataFrame
+    segments: dict[str, str]
+    columns: dict[str, str]
+    keep: tuple[str, ...]
+
+    def by_segment(self) -> DataFrame:
+        return self._named(self.segments)
+
+    def by_column(self) -> DataFrame:
+        return self._named(self.columns)
+
+    def _named(self, names: dict[str, str]) -> DataFrame:
+        return self.flat.select(*self.keep, *[F.col(source).alias(name) for name, source in names.items()])
+
+
+def map_shapes(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, keep: Sequence[str] = ()) -> Shapes:
+    """What ``map_by_segment`` and ``map_by_column`` give, from one pass over the documents."""
+    rows = _retrieved(mapping, table)
+    paths = {tuple(strict_path(row.path)): None for row in rows}
+    source = {path: f"__path_{i}" for i, path in enumerate(paths)}
+    flat = extract_paths(df, {name: list(path) for path, name in source.items()}, keep=keep, parse_embedded=False)
+    return Shapes(
+        flat, {row_path[-1]: source[row_path] for row_path in (tuple(strict_path(r.path)) for r in rows)},
+        {r.dest: source[tuple(strict_path(r.path))] for r in rows}, tuple(keep))
+
+
 def _retrieved(mapping: Iterable[MappingRow], table: str) -> list[MappingRow]:
     return [row for row in mapping if row.retrieved and row.path and row.table == table]

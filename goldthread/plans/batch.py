@@ -16,8 +16,9 @@ from goldthread.functions.paths import split_path
 from goldthread.operators.latest import latest_per_key, newest
 from goldthread.operators.mapping import MappingColumns, compile_mapping, latest_snapshot, map_records
 from goldthread.operators.normalize import Formats, cast_present, normalize_to_schema
-from goldthread.operators.reconcile import choose_values
+from goldthread.operators.reconcile import choose_values, row_hash
 from goldthread.operators.sizing import BROADCAST_ROWS, fits
+from goldthread.session import shared_dir
 from goldthread.sources.sinks import write_parquet
 
 MEMBER = "__member_id"
@@ -28,8 +29,9 @@ PERIOD = "2 hours"
 class BatchJob:
     """Column names and rules of a reconcile run.
 
-    ``persona_order`` and ``member_order`` rank the rows of a member, newest first. End them with
-    a unique column where the timestamps may be equal.
+    ``persona_order`` and ``member_order`` rank the rows of a member, newest first; rows that are equal in them are
+    ranked by a hash of their columns. ``mode`` names the flag by which new rows are mapped, ``flag`` the one by which
+    the new or the old value is chosen, the same if it is not given.
     """
 
     schema: T.StructType
@@ -40,6 +42,7 @@ class BatchJob:
     persona_order: Sequence[str] = ("timestamp",)
     member_order: Sequence[str] = ("updated_date",)
     mode: str = "reconcile"
+    flag: str | None = None
     mapping: MappingColumns = field(default_factory=MappingColumns)
     formats: Formats = field(default_factory=Formats)
     # Extra steps on the mapped new rows, each a frame-to-frame function.
@@ -68,7 +71,10 @@ def incremental(
     reference = F.current_timestamp() if now is None else now
     recent = with_member_id(personas.filter(in_period(job.timestamp, reference, period)), job)
     if broadcast_rows is not None:
-        keys = recent.select(F.col(MEMBER).alias(job.pk)).distinct()
+        # Written, so the period is read and parsed for its keys once and not for the count and the broadcast again.
+        path = shared_dir(personas.sparkSession, "period-keys")
+        recent.select(F.col(MEMBER).alias(job.pk)).filter(F.col(job.pk).isNotNull()).distinct().write.parquet(path)
+        keys = personas.sparkSession.read.parquet(path)
         if fits(keys, broadcast_rows):
             members = members.join(F.broadcast(keys), job.pk, "left_semi")
     return _reconciled(recent, members, mapping, job)
@@ -90,8 +96,8 @@ def _reconciled(personas: DataFrame, members: DataFrame, mapping: DataFrame, job
     rows = compile_mapping(latest_snapshot(mapping, job.mapping), job.mapping)
     # Number columns need the JSON type: 12.9 is cut to 12 and true is 1, but the text "12.9" is null.
     typed = {f.name for f in job.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))}
-    order = newest(*job.persona_order)
-    latest_members = latest_per_key(members, [job.pk], newest(*job.member_order))
+    order = newest(*job.persona_order, row_hash(personas))
+    latest_members = latest_per_key(members, [job.pk], newest(*job.member_order, row_hash(members)))
 
     pk_path = next((split_path(r.path) for r in rows if r.dest == job.pk and r.applies(job.mode)), [])
     if pk_path == [job.document, *job.member_path]:
@@ -106,7 +112,7 @@ def _reconciled(personas: DataFrame, members: DataFrame, mapping: DataFrame, job
         latest_personas = latest_per_key(personas, [MEMBER], order)
         seen = latest_personas.select(F.col(MEMBER).alias(job.pk))
         latest_members = latest_members.join(seen, job.pk, "left_semi")
-        ranks = {f"__order_{i}": F.col(c) for i, c in enumerate(job.persona_order)}
+        ranks = {f"__order_{i}": c for i, c in enumerate([*map(F.col, job.persona_order), row_hash(personas)])}
         mapped = map_records(latest_personas.withColumns(ranks), rows, job.mode, keep=list(ranks),
                              typed=typed - {job.pk}, filtered=[job.pk])
         if job.pk not in mapped.columns:
@@ -118,7 +124,7 @@ def _reconciled(personas: DataFrame, members: DataFrame, mapping: DataFrame, job
         new = new.transform(step)
     chosen = choose_values(
         cast_present(new, job.schema, job.formats), cast_present(latest_members, job.schema, job.formats),
-        rows, job.pk, job.mode)
+        rows, job.pk, job.flag or job.mode)
     return normalize_to_schema(chosen, job.schema, job.formats)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,12 +30,8 @@ def build_session(app_name: str = "goldthread", master: str | None = None, **con
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master, where driver and executors
-    share one machine, falls back to a temporary folder.
+    It lies under ``spark.checkpoint.dir``, or under the warehouse where that is unset; both are
+    shared on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="goldthread-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -17,7 +17,9 @@ def read_mark(spark: SparkSession, path: str, default: str = NO_MARK) -> DataFra
     fallback = F.lit(default).cast("timestamp_ntz")
     try:
         saved = spark.read.schema("mark timestamp_ntz").parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         saved = spark.range(0).select(fallback.alias("mark"))
     return saved.agg(F.coalesce(F.max("mark"), fallback).alias("mark"))
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from goldthread.functions.calendar import PARTITIONS, WINDOW_MONTH
 from goldthread.functions.extract import with_json_value
 from goldthread.operators.cells import enrich_by_key, has_text
-from goldthread.operators.mapping import MappingRow, map_by_column, map_by_segment
+from goldthread.operators.mapping import MappingRow, Shapes, map_shapes
 from goldthread.operators.normalize import Formats, fill_columns, ignore_unknown, normalize_to_schema
 from goldthread.operators.sizing import BROADCAST_ROWS
 from goldthread.sources.sinks import dead_letter_lines
@@ -52,26 +52,28 @@ class RealtimeJob:
     window: str = "5 minutes"
     month: str = WINDOW_MONTH
     broadcast_rows: int = BROADCAST_ROWS
+    # Tasks that share the events of a hot key.
+    spread: int = 8
 
 
 def look_up(messages: DataFrame, cells: DataFrame, job: RealtimeJob) -> DataFrame:
     """Messages with the documents of their row, without rows that lack a member id."""
     keyed = messages.filter(F.col("persona_id") != "").select(*PASSED_ON, "persona_id")
-    found = enrich_by_key(keyed, cells, "persona_id", job.families, job.broadcast_rows)
+    found = enrich_by_key(keyed, cells, "persona_id", job.families, job.broadcast_rows, job.spread)
     family, *below = job.member_id
     return has_text(
         with_json_value(found, "__member", F.col(family), below, scalar=False), F.col("__member")).drop("__member")
 
 
-def table_rows(found: DataFrame, mapping: Sequence[MappingRow], job: RealtimeJob) -> DataFrame:
+def table_rows(shapes: Shapes, job: RealtimeJob) -> DataFrame:
     """Shape of the append table: the columns it has, each filled from the path that ends in its name."""
-    mapped = map_by_segment(found, mapping, job.mapped_table, keep=PASSED_ON)
+    mapped = shapes.by_segment()
     return fill_columns(ignore_unknown(mapped, [*PASSED_ON, *job.table_columns]), job.table_columns, keep=PASSED_ON)
 
 
-def file_rows(found: DataFrame, mapping: Sequence[MappingRow], job: RealtimeJob) -> DataFrame:
+def file_rows(shapes: Shapes, mapping: Sequence[MappingRow], job: RealtimeJob) -> DataFrame:
     """Shape of the window files: every column of the mapping, or of the fixed schema."""
-    mapped = map_by_column(found, mapping, job.mapped_table, keep=PASSED_ON)
+    mapped = shapes.by_column()
     filled = fill_columns(mapped, [row.dest for row in mapping], keep=PASSED_ON)
     if job.file_schema is None:
         return filled
@@ -84,30 +86,42 @@ def file_rows(found: DataFrame, mapping: Sequence[MappingRow], job: RealtimeJob)
 def run_batch(
     messages: DataFrame, batch_id: int, cells: DataFrame, mapping: Sequence[MappingRow], job: RealtimeJob,
 ) -> None:
-    """Process one micro-batch and write both sinks; a replay gives the same files."""
-    spark = messages.sparkSession
+    """Process one micro-batch and write both sinks; a replay replaces what the first try wrote.
+
+    The documents found are parsed once, for the paths of both shapes; what is kept are the parsed values.
+    """
     keyed = with_event_key(messages, "persona_id", job.key_path).persist()
-    found = look_up(keyed, cells, job).persist()
+    shapes = map_shapes(look_up(keyed, cells, job), mapping, job.mapped_table, keep=PASSED_ON)
+    shapes.flat.persist()
     try:
-        rows = table_rows(found, mapping, job)
+        rows = table_rows(shapes, job)
         checked = job.required if job.required in rows.columns else None
         accepted = rows.filter(F.col(checked).isNotNull()) if checked else rows
         write_batch(accepted, job.table_path, batch_id, drop=PASSED_ON)
-        windowed = with_window_partitions(file_rows(found, mapping, job), "publish_time", job.window, job.month)
-        write_batch(windowed, job.files_path, batch_id, PARTITIONS, spread_by="message_id", drop=PASSED_ON)
+        windowed = with_window_partitions(file_rows(shapes, mapping, job), "publish_time", job.window, job.month)
+        write_batch(windowed, job.files_path, batch_id, PARTITIONS, drop=PASSED_ON)
         if job.dead_letter_path:
-            unreadable = keyed.filter(F.col("persona_id").isNull()).select(
-                "message_id", F.lit("no key in the message").alias("error"),
-                F.lit("processing_error").alias("error_type"))
-            rejected = (rows.filter(F.col(checked).isNull()) if checked else rows.limit(0)).select(
-                "message_id", F.lit("a required column is null").alias("error"),
-                F.lit("processing_error").alias("error_type"))
-            write_batch(dead_letter_lines(unreadable.unionByName(rejected)), job.dead_letter_path, batch_id)
+            refused = (rows.filter(F.col(checked).isNull()) if checked else rows.limit(0)).select("message_id")
+            write_batch(dead_letter_lines(dead_letters(keyed, refused)), job.dead_letter_path, batch_id)
     finally:
-        found.unpersist()
+        shapes.flat.unpersist()
         keyed.unpersist()
 
 
+def dead_letters(keyed: DataFrame, refused: DataFrame) -> DataFrame:
+    """Messages without a usable key, and those whose row lacks the required column, whole and with the reason.
+
+    Payload, key and attributes are kept, so a message can be sent again.
+    """
+    no_key = F.col("persona_id").isNull() | (F.col("persona_id") == "")
+    without = keyed.filter(no_key).withColumn("error", F.lit("no key in the message"))
+    rejected = keyed.filter(~no_key).join(refused, "message_id", "left_semi").withColumn(
+        "error", F.lit("a required column is null"))
+    return without.unionByName(rejected).select(
+        "message_id", "publish_time", "persona_id", "data", "attributes", "error",
+        F.lit("processing_error").alias("error_type"))
+
+
 def start_realtime(
     messages: DataFrame,
     read_cells: Callable[[], DataFrame],

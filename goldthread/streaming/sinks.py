@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from goldthread.functions.calendar import PARTITIONS, WINDOW_MONTH, partition_columns, window_end
+from goldthread.sources.sinks import write_parquet
 
 BATCH = "batch_id"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-ROWS_PER_TASK = 1_000_000
-FOLDERS_PER_TASK = 16
 
 
 def write_batch(
@@ -21,27 +20,25 @@ def write_batch(
     path: str,
     batch_id: int,
     partition_by: Sequence[str] = (),
-    spread_by: str | None = None,
     drop: Sequence[str] = (),
 ) -> None:
-    """Append a micro-batch. Its folders carry the batch number, so a replay replaces them.
+    """Append a micro-batch as the folder ``batch_id=N``, which a replay replaces as a whole.
 
-    With folders, rows are ranged by folder and then by ``spread_by``: ranges have equal size, so a
-    folder with most of the rows is shared by several tasks, and a folder is touched by few tasks.
-    ``df`` is read twice for that and should be persisted. ``drop`` names columns not to write.
+    What the first try wrote and the second does not is thereby gone. Rows are rebalanced by folder: adaptive
+    execution merges small folders into a task and splits a folder that holds much of the batch, by bytes.
+    ``drop`` names columns not to write.
     """
-    if partition_by:
-        rows, folders = df.agg(
-            F.count(F.lit(1)), F.approx_count_distinct(F.struct(*partition_by))).head()
-        by_files = min(folders // FOLDERS_PER_TASK, df.sparkSession.sparkContext.defaultParallelism)
-        tasks = max(1, by_files, rows // ROWS_PER_TASK)
-        order = [*partition_by, *([F.xxhash64(spread_by)] if spread_by else [])]
-        df = df.repartitionByRange(int(tasks), *order)
-    else:
-        df = df.hint("rebalance")
-    (df.drop(*drop).withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
-     .option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, BATCH).parquet(path))
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    (df.drop(*drop).write.mode("overwrite").option("compression", "snappy")
+     .partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}"))
+
+
+def compact_batches(spark: SparkSession, path: str, target: str, partition_by: Sequence[str] = ()) -> None:
+    """Write the rows of all micro-batch folders anew, in as few files as their size needs, without batch numbers.
+
+    ``target`` is another folder; readers move to it, and the stream goes on below ``path``.
+    """
+    write_parquet(spark.read.parquet(path).drop(BATCH), target, partition_by=partition_by)
 
 
 def with_window_partitions(df: DataFrame, ts: str, size: str = "5 minutes", month: str = WINDOW_MONTH) -> DataFrame:
@@ -69,12 +66,7 @@ def start_window_files(
     per task in every open folder, whatever the amount of rows.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            framed = with_window_partitions(batch, ts, size, month)
-            write_batch(framed, path, batch_id, PARTITIONS, spread_by="message_id")
-        finally:
-            batch.unpersist()
+        write_batch(with_window_partitions(batch, ts, size, month), path, batch_id, PARTITIONS)
 
     writer = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"availableNow": True})))
