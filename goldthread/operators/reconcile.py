@@ -35,11 +35,18 @@ def reconcile(
     "is there an old row" is decided per row. Keys found only in ``old`` are dropped, and the key
     column is always the new key unless it is blank or zero.
     """
+    _check_key(new, old, pk)
     first_new = latest_per_key(drop_null_keys(new, pk), [pk], newest(*new_order, row_hash(new)))
     first_old = latest_per_key(old, [pk], newest(*old_order, row_hash(old)))
     return choose_values(first_new, first_old, mapping, pk, flag)
 
 
+def _check_key(new: DataFrame, old: DataFrame, pk: str) -> None:
+    for side, df in (("new", new), ("old", old)):
+        if pk not in df.columns:
+            raise ValueError(f"the {side} rows have no column {pk}")
+
+
 def row_hash(df: DataFrame) -> Column:
     """A last sort column: rows that differ are told apart. Maps and VARIANTs cannot be hashed and are left out."""
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
@@ -50,9 +57,7 @@ def choose_values(
     new: DataFrame, old: DataFrame, mapping: Iterable[MappingRow], pk: str, flag: str = "reconcile",
 ) -> DataFrame:
     """``reconcile`` for sides with one row per key, the new keys not null."""
-    for side, df in (("new", new), ("old", old)):
-        if pk not in df.columns:
-            raise ValueError(f"the {side} rows have no column {pk}")
+    _check_key(new, old, pk)
     new_types, old_types = dict(_typed(new)), dict(_typed(old))
     joined = new.alias("n").join(
         old.withColumn(OLD_EXISTS, F.lit(True)).alias("o"), _cell("n", pk) == _cell("o", pk), "left")

@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldthread.operators.cells import (
-    cells_by_keys, cells_by_ranges, enrich_by_key, flatten_cells, latest_cells, of_families, row_documents)
+    cells_by_keys, cells_by_ranges, enrich_by_key, flatten_cells, latest_cells, of_families, read_cells, row_documents,
+    row_maps, write_cells)
 from goldthread.operators.changes import apply_changes, change_records
 from goldthread.operators.latest import latest_per_key, newest
 from goldthread.operators.keyed import cogroup_counts, cogroup_rows, drop_null_keys
 from goldthread.operators.routing import attempt, split_routes
+from goldthread.session import shared_dir
 
 T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -53,6 +55,42 @@ def test_enrich_keeps_every_event_with_a_row(spark, broadcast_rows):
     assert [(r.id, r.profiles) for r in rows] == [(1, '{"m": 1}'), (2, '{"m": 1}')]
 
 
+def test_bucketed_cells_are_read_by_folder(spark):
+    path = shared_dir(spark, "cells")
+    write_cells(cell_table(spark, [(str(k), "profiles", "value", T0, f'{{"m": {k}}}') for k in range(200)]), path, 16)
+    cells = read_cells(spark, path)
+    events = spark.createDataFrame([(1, "7"), (2, "7"), (3, "none")], "id int, k string")
+    found = enrich_by_key(events, cells, "k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_bucket" in plan or "PartitionFilters: [key_bucket" in plan
+    assert sorted((r.id, r.profiles) for r in found.collect()) == [(1, '{"m": 7}'), (2, '{"m": 7}')]
+    assert cells_by_keys(cells, ["1", "2"]).count() == 2
+
+
+def test_events_of_a_hot_key_are_shared_by_tasks(spark):
+    events = spark.range(40_000).selectExpr("id", "CASE WHEN id % 5 < 4 THEN 'hot' ELSE CAST(id AS STRING) END AS k")
+    cells = spark.range(40_000).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS row_key", "'profiles' AS family", "'value' AS qualifier",
+        "timestamp'2024-01-01' AS ts", "encode('{}', 'UTF-8') AS value")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        tasks = enrich_by_key(events, cells, "k", spread=16).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in tasks) == 40_000
+    assert max(r["count"] for r in tasks) < 0.35 * 40_000
+
+
+def test_row_maps_hold_every_qualifier(spark):
+    cells = cell_table(spark, [("a", "f", "q", T0, "1"), ("a", "f", "q", T1, "2"), ("a", "g", "r", T0, "3"), ("b", "g", "z", T0, "4")])
+    assert {r.row_key: r.cells for r in row_maps(cells).collect()} == {"a": {"f:q": "2", "g:r": "3"}, "b": {"g:z": "4"}}
+    assert {r.row_key: r.cells for r in row_maps(cells, ["f"]).collect()} == {"a": {"f:q": "2"}}
+
+
 def test_key_sets_ranges_and_families(spark):
     cells = cell_table(spark, [(k, f, "q", T0, k) for k in "abcde" for f in ("f", "g")])
     assert cells_by_keys(cells, ["a", "e", "zz"]).count() == 4
@@ -75,14 +113,14 @@ def test_flatten_and_latest(spark):
 
 
 def test_cogroup(spark):
-    new = spark.createDataFrame([("123", 1), ("456", 2), (None, 3), ("123", 4)], "k string, n int")
-    old = spark.createDataFrame([("123", "x"), ("789", "y")], "k string, o string")
+    new = spark.createDataFrame([("ash", 1), ("elm", 2), (None, 3), ("ash", 4)], "k string, n int")
+    old = spark.createDataFrame([("ash", "x"), ("fir", "y")], "k string, o string")
     counts = {r.k: (r.n_new, r.n_old) for r in cogroup_counts({"new": new, "old": old}, "k").collect()}
-    assert counts == {"123": (2, 1), "456": (1, 0), "789": (0, 1)}
+    assert counts == {"ash": (2, 1), "elm": (1, 0), "fir": (0, 1)}
     rows = cogroup_rows({"new": new, "old": old}, "k").collect()
     assert sorted((r.k, r.alias, r.new and r.new.n, r.old and r.old.o) for r in rows) == sorted([
-        ("123", "new", 1, None), ("123", "new", 4, None), ("456", "new", 2, None), ("123", "old", None, "x"),
-        ("789", "old", None, "y")])
+        ("ash", "new", 1, None), ("ash", "new", 4, None), ("elm", "new", 2, None), ("ash", "old", None, "x"),
+        ("fir", "old", None, "y")])
     assert drop_null_keys(new, "k").count() == 3
 
 
@@ -112,9 +150,9 @@ def test_few_changes_do_not_shuffle_the_table(spark):
 
 
 def test_change_records(spark):
-    df = spark.createDataFrame([("123", "M")], "member_number string, gender string")
+    df = spark.createDataFrame([("q7", "tall")], "plant string, size string")
     row = change_records(df, at=F.lit("2024-01-02 03:04:05").cast("timestamp")).first()
-    assert row.record.asDict() == {"member_number": "123", "gender": "M", "_CHANGE_TYPE": "UPSERT"}
+    assert row.record.asDict() == {"plant": "q7", "size": "tall", "_CHANGE_TYPE": "UPSERT"}
     assert row.row_mutation_info.asDict() == {"change_type": "UPSERT", "timestamp": "2024-01-02T03:04:05.000000Z"}
 
 

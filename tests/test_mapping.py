@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from goldthread.operators.latest import latest_per_key, newest
 from goldthread.operators.mapping import (
     MappingColumns, MappingRow, compile_mapping, latest_per_column, latest_snapshot, map_by_column, map_by_segment,
-    map_records)
+    map_records, map_shapes)
 from goldthread.operators.reconcile import reconcile
 
 COLUMNS = MappingColumns(
@@ -21,11 +21,11 @@ def table(spark, *rows):
 
 def test_compile(spark):
     rows = compile_mapping(table(
-        spark, ("MEMBER_NUMBER", "profiles.memberId", True, False), ("EMAIL", "profiles.email", True, True),
-        ("", "profiles.x", True, True), (None, "profiles.y", True, True), ("NOFLAG", "profiles.z", None, None)), COLUMNS)
+        spark, ("SHELF", "book.shelf", True, False), ("COLOUR", "book.cover.colour", True, True),
+        ("", "book.x", True, True), (None, "book.y", True, True), ("NOFLAG", "book.z", None, None)), COLUMNS)
     assert rows == [
-        MappingRow("EMAIL", "profiles.email", True, True), MappingRow("MEMBER_NUMBER", "profiles.memberId", True, False),
-        MappingRow("NOFLAG", "profiles.z", False, False)]
+        MappingRow("COLOUR", "book.cover.colour", True, True), MappingRow("NOFLAG", "book.z", False, False),
+        MappingRow("SHELF", "book.shelf", True, False)]
 
 
 def test_duplicate_destination_takes_the_newest_then_the_greatest_path(spark):
@@ -40,7 +40,9 @@ def test_text_flags_and_large_tables_are_refused(spark):
     with pytest.raises(TypeError):
         compile_mapping(mapping.withColumn("RECONCILE_RETRIEVED", F.lit("false")), COLUMNS)
     with pytest.raises(ValueError):
-        compile_mapping(mapping, COLUMNS, max_rows=1)
+        compile_mapping(mapping, COLUMNS, max_columns=1)
+    history = table(spark, *[("A", f"p.v{i}", True, True, f"2024-01-{i:02d}") for i in range(1, 29)])
+    assert compile_mapping(history, COLUMNS, max_columns=1) == [MappingRow("A", "p.v28", True, True)]
 
 
 def test_snapshot_and_latest_per_column(spark):
@@ -54,12 +56,11 @@ def test_snapshot_and_latest_per_column(spark):
 
 
 def test_map_modes(spark):
-    df = spark.sql("SELECT named_struct('memberId', '123', 'email', 'test@example.com') AS profiles")
-    rows = [MappingRow("MEMBER_NUMBER", "profiles.memberId", True, False), MappingRow("EMAIL", "profiles.email", True, True),
-            MappingRow("NOPATH", "", True, True), MappingRow("MISSING", "profiles.nothing", True, False)]
-    assert map_records(df, rows).first().asDict() == {
-        "MEMBER_NUMBER": "123", "EMAIL": "test@example.com", "MISSING": None}
-    assert map_records(df, rows, "original").first().asDict() == {"EMAIL": "test@example.com"}
+    df = spark.sql("SELECT named_struct('shelf', 'B7', 'colour', 'green') AS book")
+    rows = [MappingRow("SHELF", "book.shelf", True, False), MappingRow("COLOUR", "book.colour", True, True),
+            MappingRow("NOPATH", "", True, True), MappingRow("MISSING", "book.nothing", True, False)]
+    assert map_records(df, rows).first().asDict() == {"SHELF": "B7", "COLOUR": "green", "MISSING": None}
+    assert map_records(df, rows, "original").first().asDict() == {"COLOUR": "green"}
 
 
 def test_two_shapes(spark):
@@ -69,6 +70,17 @@ def test_two_shapes(spark):
             MappingRow("NONE", None, True, True, "t"), MappingRow("BRACKET", "profiles['email']", True, True, "t")]
     assert map_by_segment(df, rows, "t").first().asDict() == {"memberId": "1", "email": "e", "profiles['email']": None}
     assert map_by_column(df, rows, "t").first().asDict() == {"MEMBER": "1", "MAIL": "e", "BRACKET": None}
+    shapes = map_shapes(df, rows, "t")
+    assert shapes.by_segment().first() == map_by_segment(df, rows, "t").first()
+    assert shapes.by_column().first() == map_by_column(df, rows, "t").first()
+
+
+def test_both_shapes_parse_a_document_once(spark):
+    df = spark.createDataFrame([('{"memberId": "1", "email": "e"}',)], "profiles string")
+    rows = [MappingRow("MEMBER", "profiles.memberId", True, True, "t"), MappingRow("MAIL", "profiles.email", True, True, "t")]
+    flat = map_shapes(df, rows, "t").flat
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS __doc_") == 1  # other parses stand behind a test for odd spellings of numbers
 
 
 def rows_of(df):
@@ -80,10 +92,18 @@ def flag(dest, retrieved):
 
 
 def test_reconcile_prefers_by_flag(spark):
-    new = spark.createDataFrame([("123", "new@example.com")], "MEMBER_NUMBER string, EMAIL string")
-    old = spark.createDataFrame([("123", "old@example.com", "555-1234")], "MEMBER_NUMBER string, EMAIL string, PHONE string")
-    got = reconcile(new, old, [flag("EMAIL", True), flag("PHONE", False)], "MEMBER_NUMBER")
-    assert rows_of(got) == [{"EMAIL": "new@example.com", "PHONE": "555-1234", "MEMBER_NUMBER": "123"}]
+    new = spark.createDataFrame([("x1", "blue")], "item string, colour string")
+    old = spark.createDataFrame([("x1", "red", "oak")], "item string, colour string, wood string")
+    got = reconcile(new, old, [flag("colour", True), flag("wood", False)], "item")
+    assert rows_of(got) == [{"colour": "blue", "wood": "oak", "item": "x1"}]
+
+
+def test_reconcile_takes_the_first_row_of_each_side(spark):
+    new = spark.createDataFrame([("1", "n1", 1), ("1", "n2", 2)], "pk string, a string, t int")
+    old = spark.createDataFrame([("1", "o2", 2), ("1", "o1", 1)], "pk string, b string, t int")
+    got = reconcile(new, old, [flag("a", True), flag("b", False)], "pk", new_order=["t"], old_order=["t"])
+    assert rows_of(got) == [{"a": "n2", "b": "o2", "pk": "1"}]
+    assert reconcile(new, old, [flag("a", True), flag("b", False)], "pk").count() == 1
 
 
 def test_reconcile_presence_decides_and_not_null(spark):

@@ -8,11 +8,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from goldthread.functions.calendar import (
-    drop_window_columns, with_run_partitions, with_run_partitions_from_text, with_window_path)
+    drop_window_columns, partition_columns, with_run_partitions, with_run_partitions_from_text, with_window_path)
 from goldthread.operators.normalize import parse_json_fields
 from goldthread.plans.batch import write_run
 from goldthread.session import shared_dir
 from goldthread.sources import readers, sinks, state
+from goldthread.streaming.sinks import compact_batches, write_batch
 
 
 @pytest.fixture
@@ -44,7 +45,10 @@ def test_write_table_modes(spark, table):
     with pytest.raises(ValueError):
         sinks.write_table(people(spark, ("a", 1)), table, create=False)
     sinks.write_table(people(spark, ("a", 1)), table)
-    sinks.write_table(people(spark, ("b", 2)).select("v", "k").withColumn("unknown", F.lit(1)), table, create=False)
+    more = people(spark, ("b", 2)).select("v", F.col("k").alias("K")).withColumn("unknown", F.lit(1))
+    with pytest.raises(ValueError, match="unknown"):
+        sinks.write_table(more, table, create=False)
+    sinks.write_table(more, table, create=False, ignore_unknown=True)
     assert content(spark.table(table)) == [("a", 1), ("b", 2)]
     with pytest.raises(ValueError):
         sinks.write_table(people(spark, ("c", 3)), table, "empty")
@@ -103,9 +107,7 @@ def test_lines(spark):
     df = people(spark, ("a", 1), ("b", None))
     text, json_path = shared_dir(spark, "text"), shared_dir(spark, "json")
     sinks.write_lines(df.select("k"), text)
-    sinks.write_lines(df.select("k"), text, single_file=True)
     assert content(readers.read_text_lines(spark, text)) == [("a",), ("b",)]
-    assert readers.read_text_lines(spark, text).select("_metadata.file_name").distinct().count() == 1
     sinks.write_lines(df, json_path, "json")
     assert content(readers.read_json_lines(spark, json_path, "k string, v bigint")) == [("a", 1), ("b", None)]
     lines = [json.loads(r.value) for r in readers.read_text_lines(spark, json_path).collect()]
@@ -114,14 +116,88 @@ def test_lines(spark):
         sinks.write_lines(df, text, "csv")
 
 
-def test_lines_beyond_the_bound_stay_whole(spark, monkeypatch):
-    path = shared_dir(spark, "many")
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 10)
-    lines = spark.range(0, 1000, 1, 4).selectExpr("CAST(id AS STRING) AS line")
-    sinks.write_lines(lines, path, single_file=True)
+def test_state_is_one_row_in_one_file(spark):
+    path = shared_dir(spark, "state")
+    sinks.write_state(people(spark, ("a", 1)), path)
     written = readers.read_text_lines(spark, path)
-    assert written.count() == 1000
-    assert written.select("_metadata.file_name").distinct().count() == 4
+    assert [json.loads(r.value) for r in written.collect()] == [{"k": "a", "v": 1}]
+    with pytest.raises(ValueError):
+        sinks.write_state(people(spark, ("a", 1), ("b", 2)), path)
+
+
+def test_dead_letters_keep_their_bytes(spark):
+    dead = spark.createDataFrame([("t", bytearray(b"x")), ("b", bytearray(b"\xff\xfe{")), ("n", None)], "id string, data binary")
+    got = {d["id"]: d for d in (json.loads(r[0]) for r in sinks.dead_letter_lines(dead).collect())}
+    assert (got["t"]["data"], got["t"]["data_encoding"]) == ("x", "utf-8")
+    assert (got["b"]["data"], got["b"]["data_encoding"]) == ("//57", "base64")
+    assert got["n"].get("data") is None and got["n"].get("data_encoding") is None
+
+
+def test_bucketed_upsert_leaves_other_folders_alone(spark):
+    path = shared_dir(spark, "buckets")
+    sinks.write_buckets(people(spark, *[(f"k{i}", i) for i in range(100)]), path, ["k"], 8)
+    files = lambda: {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    change = lambda k, v, kind: people(spark, (k, v)).withColumns({"_CHANGE_TYPE": F.lit(kind), "seq": F.lit(1)})
+    sinks.upsert_buckets(change("k5", 500, "UPSERT").union(change("new", 7, "UPSERT")).union(change("k6", None, "DELETE")),
+                         path, ["k"], ["seq"], 8)
+    assert content(sinks.read_buckets(spark, path)) == sorted(
+        [(f"k{i}", i) for i in range(100) if i not in (5, 6)] + [("k5", 500), ("new", 7)])
+    assert len(before & files()) >= 5
+
+
+def test_a_bucket_may_lose_all_its_rows(spark):
+    path = shared_dir(spark, "buckets")
+    sinks.write_buckets(people(spark, ("a", 1)), path, ["k"], 4)
+    gone = people(spark, ("a", None)).withColumns({"_CHANGE_TYPE": F.lit("DELETE"), "seq": F.lit(1)})
+    sinks.upsert_buckets(gone, path, ["k"], ["seq"], 4)
+    assert sinks.read_buckets(spark, path).count() == 0
+
+
+def test_swap_keeps_the_layout(spark, table):
+    spark.sql(f"CREATE TABLE {table} (k STRING COMMENT 'the key', v BIGINT) USING parquet PARTITIONED BY (k)")
+    sinks.write_table(people(spark, ("a", 1)), table)
+    sinks.swap_table(people(spark, ("b", 2)), table)
+    assert content(spark.table(table).select("k", "v")) == [("b", 2)]
+    columns = {c.name: c for c in spark.catalog.listColumns(table)}
+    assert columns["k"].isPartition and columns["k"].description == "the key"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_folders_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.sql("SELECT timestamp'2024-03-09 19:30:00Z' AS ts")  # 02:30 on a day that has no such time in New York
+        row = df.select(*[v.alias(n) for n, v in partition_columns(F.col("ts")).items()]).first()
+        path = with_window_path(df, "ts").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert tuple(row) == ("202403", "10", "02", "2024031002")
+    assert path["_window_path"] == "par_month=03/par_day=10/par_hour=02/run_dt=2024031002"
+
+
+def test_a_mark_that_cannot_be_read_is_an_error(spark):
+    path = shared_dir(spark, "mark")
+    assert str(state.read_mark(spark, path).first().mark) == state.NO_MARK
+    spark.createDataFrame([("x",)], "mark string").write.parquet(path)
+    with pytest.raises(Exception):
+        state.read_mark(spark, path).collect()
+
+
+def test_compaction_keeps_the_rows(spark):
+    path, target = shared_dir(spark, "batches"), shared_dir(spark, "compacted")
+    for batch in (0, 1, 1):
+        write_batch(people(spark, (f"b{batch}", batch)), path, batch, ["k"])
+    compact_batches(spark, path, target, ["k"])
+    assert content(spark.read.parquet(target).select("k", "v")) == [("b0", 0), ("b1", 1)]
+
+
+def test_a_replay_leaves_no_stale_folder(spark):
+    path = shared_dir(spark, "replayed")
+    write_batch(people(spark, ("first", 1), ("both", 2)), path, 4, ["k"])
+    write_batch(people(spark, ("both", 3)), path, 4, ["k"])
+    assert content(spark.read.parquet(path).select("k", "v")) == [("both", 3)]
 
 
 def test_schema_sources(spark, table):
@@ -168,14 +244,10 @@ def test_exists_and_parse_json(spark):
     assert [r[0] for r in got] == ['{"a":1}', '"{bad"', None]
 
 
-def test_scratch_needs_a_shared_folder():
-    class Conf:
-        def get(self, *_):
-            return None
+def test_scratch_lies_in_a_shared_folder(spark):
+    assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("C", (), {"master": "yarn"})
+    class Unset:
+        conf = type("C", (), {"get": lambda self, key, *_: "/shared/warehouse" if "warehouse" in key else None})()
 
-    with pytest.raises(ValueError):
-        shared_dir(Cluster(), "x")
+    assert shared_dir(Unset(), "x").startswith("/shared/warehouse/x-")
