@@ -12,12 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import bound_batches, slices, text_of, written
+from goldthread.llm.common import bound_batches, slices, text_of, unused, written
 from goldthread.llm.words import SHINGLE, Words, mix, shingles_of, words_of
 
-BLOCK_BYTES, COVERED, LITERALS = 4 << 20, 0.8, 3
+BLOCK_BYTES, COVERED, LITERALS = 4 << 20, 0.8, 2
 FOUND = "__found"
-# Units of measure and money that may follow a number.
+# Units of measure and money.
 UNITS = """mm cm m km inch inches foot feet ft yard yards mile miles g mg kg gram grams kilogram kilograms ounce ounces oz
 pound pounds lb lbs ton tons tonne tonnes ml l litre litres liter liters gallon gallons second seconds sec minute minutes min
 hour hours day days week weeks month months year years percent degree degrees celsius fahrenheit dollar dollars cent cents euro
@@ -43,7 +43,7 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
     """The words of a slice and the kind of slot that each of them is: 0 for a literal word.
 
     A number begins with a digit; parts that only a point, comma, colon or slash divides are one. A unit
-    follows a number. A name begins with a capital and goes on in small letters inside a sentence.
+    is a word of the list, behind a number or not ("how many miles"). A name begins with a capital and goes on in small letters inside a sentence.
     """
     words = words_of(texts)
     data, starts, ends = words.data, words.starts, words.ends
@@ -63,9 +63,7 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
             number = number[head]
     kinds = np.where(number, NUMBER, 0).astype(np.int8)
     if len(starts):
-        after = np.zeros(len(starts), bool)
-        after[1:] = number[:-1] & (words.text[1:] == words.text[:-1])
-        kinds[after & ~number & _among(words.hashes, _unit_hashes())] = UNIT
+        kinds[~number & _among(words.hashes, _unit_hashes())] = UNIT
         plain = pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
         offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset:plain.offset + len(plain) + 1]
         raw = np.frombuffer(plain.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
@@ -169,8 +167,9 @@ def items_found(block: Block, texts: pa.Array, covered: float) -> list[list[tupl
     return [sorted(x, key=lambda p: (p[0] is None, p[0])) for x in out]
 
 
-def with_items(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a column of the benchmark items it holds: ``array<struct<item_id, share>>``.
+def with_items(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED, block_bytes: int = BLOCK_BYTES,
+               name: str = FOUND) -> DataFrame:
+    """``docs`` with a column of the benchmark items it holds: ``array<struct<item_id, share>>`` under a new ``name``.
 
     Windows of five words are taken twice: as they are, and as templates in which numbers, units and names
     are typed placeholders. Both are joined by hash, on the map side: the windows of the benchmark are
@@ -189,7 +188,7 @@ def with_items(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED,
     kind = benchmark.schema["item_id"].dataType.simpleString()
     place = docs.columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    schema += f", {FOUND} array<struct<item_id:{kind},share:double>>"
+    schema += f", {name} array<struct<item_id:{kind},share:double>>"
     for number in range(n_blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number).collect()
         shared = spark.sparkContext.broadcast(Block.of([r.item_id for r in rows], [r.text for r in rows]))
@@ -201,9 +200,9 @@ def with_items(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED,
                     found = items_found(shared.value, text_of(part, docs_text), covered)
                     found = [[{"item_id": i, "share": s} for i, s in f] for f in found]
                     if not first:
-                        found = [a + b for a, b in zip(part.column(FOUND).to_pylist(), found)]
-                        part = part.drop_columns([FOUND])
-                    yield part.append_column(FOUND, pa.array(found, pa.list_(pa.struct([("item_id", item_type), ("share", pa.float64())]))))
+                        found = [a + b for a, b in zip(part.column(name).to_pylist(), found)]
+                        part = part.drop_columns([name])
+                    yield part.append_column(name, pa.array(found, pa.list_(pa.struct([("item_id", item_type), ("share", pa.float64())]))))
 
         docs_text, item_type = docs.columns[place], _arrow_type(kind)
         docs = docs.mapInArrow(find, schema)
@@ -225,4 +224,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, covered: float = COVERE
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, see ``with_items``."""
-    return with_items(docs, benchmark, covered).filter(F.size(FOUND) == 0).drop(FOUND)
+    found = unused(docs, FOUND)
+    return with_items(docs, benchmark, covered, name=found).filter(F.size(found) == 0).drop(found)

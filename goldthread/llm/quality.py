@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import bound_batches, slices, text_of
+from goldthread.llm.common import bound_batches, slices, text_of, unused
 from goldthread.llm.words import Words, mix, shingles_of, words_of
 
 #: Bounds of the fit: rows of the sample, slots of the scorer.
@@ -262,8 +262,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     return Model(weights, tables)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``__score``, the chance of rejection, and ``__reject``; every row is scored on its whole text.
+def score(docs: DataFrame, model: Model, threshold: float = 0.5, names: tuple[str, str] = ("score", "reject")) -> DataFrame:
+    """``docs`` with the chance of rejection and whether it is over the threshold; every row is scored on its whole text.
+
+    The two columns have the given ``names``, which ``docs`` must not have.
 
     A null or empty text has no features but its shape and gets the score of that; it is never rejected, for there
     is nothing bad in it. Other columns pass through; repeated rows get equal scores.
@@ -276,18 +278,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
             for part in slices(batch):
                 texts = text_of(part)
                 p = np.where(pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), 0.0, shared.value.scores(texts))
-                yield part.append_column("__score", pa.array(p)).append_column("__reject", pa.array(p > threshold))
+                yield part.append_column(names[0], pa.array(p)).append_column(names[1], pa.array(p > threshold))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(judge, schema + ", __score double, __reject boolean")
+    return docs.mapInArrow(judge, schema + f", {names[0]} double, {names[1]} boolean")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``doc_id, score, reject`` for every row of ``docs``, by a model fitted on a bounded sample of it."""
-    return score(docs.select("doc_id", "text"), fit(docs, labels), threshold).select(
-        "doc_id", F.col("__score").alias("score"), F.col("__reject").alias("reject"))
+    return score(docs.select("doc_id", "text"), fit(docs, labels), threshold).select("doc_id", "score", "reject")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
-    return score(docs, fit(docs, labels), threshold).filter("not __reject").drop("__score", "__reject")
+    names = unused(docs, "__score"), unused(docs, "__reject")
+    return score(docs, fit(docs, labels), threshold, names).filter(~F.col(names[1])).drop(*names)
