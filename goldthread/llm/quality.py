@@ -14,7 +14,7 @@ from goldthread.llm.common import bound_batches, slices, text_of, unused
 from goldthread.llm.words import Words, mix, shingles_of, words_of
 
 #: Bounds of the fit: rows of the sample, slots of the scorer.
-FIT_ROWS, SLOT_BITS = 12_000, 18
+FIT_ROWS, SLOT_BITS = 12_000, 20
 SLOTS = 1 << SLOT_BITS
 ABSTAIN, KEEP, REJECT = 0, 1, 2
 #: The labellers of each reason for rejection: bad shape (quality 0) and bad words (toxic 1).
@@ -130,23 +130,29 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tupl
 
 def fit_linear(rows: list[np.ndarray], target: np.ndarray, epochs: int = 3, rate: float = 0.3, sparse: float = 6.0,
                seed: int = 3) -> np.ndarray:
-    """Logistic weights of hashed features by proximal steps that leave uninformative features at zero."""
+    """Logistic weights of hashed features by proximal steps that leave uninformative features at zero.
+
+    The last feature of every row is the constant, which is not held back.
+    """
     z, squares = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
+    hold = np.full(SLOTS + 1, sparse)
+    hold[SLOTS] = 0.0
     order = np.random.default_rng(seed)
 
-    def weights(z: np.ndarray, squares: np.ndarray) -> np.ndarray:
-        return np.where(np.abs(z) <= sparse, 0.0, (np.sign(z) * sparse - z) * rate / (1 + np.sqrt(squares)))
+    def weights(at) -> np.ndarray:
+        held, own = hold[at], z[at]
+        return np.where(np.abs(own) <= held, 0.0, (np.sign(own) * held - own) * rate / (1 + np.sqrt(squares[at])))
 
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             at = rows[i]
             before = squares[at]
-            w = weights(z[at], before)
+            w = weights(at)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - target[i]
             after = before + g * g
             z[at] += g - (np.sqrt(after) - np.sqrt(before)) / rate * w
             squares[at] = after
-    return weights(z, squares)
+    return weights(slice(None))
 
 
 class Model:
