@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import ROW, bound_batches, slices, text_of, with_rows, written
+from goldthread.llm.common import ROW, bound_batches, slices, text_of, unused, with_rows, written
 from goldthread.llm.components import components
 from goldthread.llm.words import Words, mix, shingles_of, words_of
 
@@ -18,6 +18,8 @@ SIMILAR, BANDS, DRAWS = 0.8, 16, 4
 SKETCH_ROWS, SKETCH_BITS, SKETCH_PARTS = 2, 18, 64
 #: Weight up to which all elements take part in every draw; from ``SIMILAR`` of it on they are dealt to bins.
 LIGHT = 128.0
+#: Members of a bucket up to which all pairs across components are compared; rounds through larger ones at the most.
+SMALL, MOST_TURNS, REACH = 12, 4, 4
 #: Documents of a bucket that are chained together; beyond, the heads of such groups are chained.
 GROUP = 4096
 _SEED = mix(np.arange(4096, dtype=np.uint64) + np.uint64(0xC0FFEE))
@@ -215,32 +217,55 @@ def similarities(pairs: DataFrame, weights: Weights) -> DataFrame:
     return pairs.mapInArrow(compare, "a long, b long, similarity double")
 
 
-def _chained(buckets: DataFrame, low: int, high: int) -> DataFrame:
-    """Pairs of members of a bucket that are ``low`` to ``high`` places apart in the order of their weights.
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _neighbours(buckets: DataFrame, order, reach: int = 1) -> DataFrame:
+    """Pairs ``x, y`` of members of a bucket that are at most ``reach`` places apart in an order.
 
-    Neighbours are taken in groups of at most about ``GROUP`` members, and the heads of a bucket's groups are
+    Neighbours are taken in groups of about ``GROUP`` members at the most, and the heads of a bucket's groups are
     neighbours too, so no task holds a whole hot bucket.
     """
-    salted = buckets.withColumn("group", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP)) if low == 1 else F.lit(0))
-    order = Window.partitionBy("band", "group").orderBy("weight", "node")
-    near = [salted.select(F.col("node").alias("x"), F.lead("node", d).over(order).alias("y")) for d in range(low, high + 1)]
-    if low == 1:
-        heads = salted.groupBy("band", "group").agg(F.min(F.struct("weight", "node")).alias("head"))
-        near.append(heads.select(F.col("head.node").alias("x"), F.lead("head.node").over(
-            Window.partitionBy("band").orderBy("head")).alias("y")))
-    pairs = near[0]
-    for more in near[1:]:
-        pairs = pairs.union(more)
+    salted = buckets.withColumns({"group": F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP)), "at": F.struct(order, "node")})
+    ahead = Window.partitionBy("band", "group").orderBy("at")
+    met = salted.select(F.col("node").alias("x"), F.array(*[F.lead("node", d).over(ahead) for d in range(1, reach + 1)]).alias("met"))
+    near = met.select("x", F.explode("met").alias("y"))
+    heads = salted.filter(F.col("n") > GROUP).groupBy("band", "group").agg(F.min("at").alias("head"))
+    heads = heads.select(F.col("head.node").alias("x"), F.lead("head.node").over(
+        Window.partitionBy("band").orderBy("head")).alias("y"))
+    return near.union(heads)
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _open_members(buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets that lie in several components."""
+    members = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(parts.filter("low <> high").select("band"), "band")
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """All pairs of members of a bucket that are in different components, for buckets of at most ``SMALL`` members."""
+    small = members.filter(F.col("n") <= SMALL)
+    one = small.select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
+    other = small.select("band", F.col("node").alias("y"), F.col("component").alias("cy"))
+    return one.join(other, "band").filter("x < y AND cx <> cy").select("x", "y")
+
+
 def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``__row, doc_id, component`` for every row: rows of a component are linked by pairs with similarity ``similar``.
 
-    Texts with the same words in the same order are one node. Nodes that share a band key are candidates. In each
-    bucket, ordered by weight, neighbours are compared first; buckets that are then still in several components are
-    gone through again with pairs farther apart, until every pair of such a bucket that is not connected has been
-    compared. So every candidate pair is settled, and a bucket of copies costs as many pairs as it has members.
+    Texts with the same words in the same order are one node. Nodes that share a band key are candidates. First
+    neighbours in each bucket, ordered by weight, are compared: a bucket of copies costs as many pairs as it has
+    members and is then one component. For what is not, all pairs across components are compared in buckets
+    of at most ``SMALL`` members. Larger buckets are gone through again, in another random order each time,
+    as long as that finds a link and ``MOST_TURNS`` times at the most: every member meets ``2 * REACH`` others in each of
+    its buckets and rounds, so the pairs stay in proportion to the members, however large a group of texts that are alike
+    in part. A text of such a group is left out of its class only if all it meets are too different.
     """
     weights = document_frequencies(rows)
     signed = written(signatures(rows, weights), "signatures")
@@ -252,30 +277,27 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
     buckets = written(banded.join(sizes, "band"), "buckets")
     members = buckets.select("node").distinct()
     texts = written(rows.select(F.col(ROW).alias("node"), "text").join(members, "node", "left_semi"), "candidates")
-    links, compared, joined = None, None, None
-    low, high = 1, 1
-    while True:
-        pairs = _chained(buckets, low, high)
-        if joined is not None:
-            parts = [joined.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
-            pairs = (pairs.join(parts[0], "a", "left").join(parts[1], "b", "left")
-                     .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").join(compared, ["a", "b"], "left_anti"))
-        pairs = written(pairs, "pairs")
+
+    def compared(pairs: DataFrame) -> DataFrame:
         sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-        seen = written(similarities(pairs.join(sides[0], "a").join(sides[1], "b"), weights), "compared")
-        found = seen.filter(F.col("similarity") >= similar).select("a", "b")
-        links = found if links is None else links.union(found)
-        compared = seen.select("a", "b") if compared is None else compared.union(seen.select("a", "b"))
+        return written(similarities(pairs.join(sides[0], "a").join(sides[1], "b"), weights), "compared")
+
+    seen = compared(_distinct_pairs(_neighbours(buckets, "weight")))
+    for turn in range(MOST_TURNS):
+        links = seen.filter(F.col("similarity") >= similar).select("a", "b")
         joined = components(links)
-        state = (buckets.join(joined, "node", "left").groupBy("band")
-                 .agg(F.countDistinct(F.coalesce("component", "node")).alias("parts"), F.count(F.lit(1)).alias("n"))
-                 .filter(f"parts > 1 AND n > {high + 1}").select("band", "n"))
-        state = written(state, "open-buckets")
-        most = state.agg(F.max("n")).head()[0]
-        if most is None:
+        open_ = written(_open_members(buckets, joined), "open-buckets")
+        pairs = _neighbours(open_.filter(F.col("n") > SMALL), F.xxhash64("node", F.lit(turn)), REACH)
+        pairs = pairs.union(_across(open_)) if turn == 0 else pairs
+        parts = [open_.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")).distinct() for c in "ab"]
+        pairs = (_distinct_pairs(pairs).join(parts[0], "a").join(parts[1], "b").filter("ca <> cb").select("a", "b")
+                 .join(seen.select("a", "b"), ["a", "b"], "left_anti"))
+        more = compared(pairs)
+        seen = seen.union(more)
+        if more.filter(F.col("similarity") >= similar).isEmpty():
             break
-        buckets = written(buckets.drop("n").join(state, "band"), "buckets")
-        low, high = high + 1, min(4 * high + 4, most - 1)
+    else:
+        joined = components(seen.filter(F.col("similarity") >= similar).select("a", "b"))
     owners = signed.select(ROW, "doc_id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left")
     return owners.join(joined, "node", "left").select(
         ROW, "doc_id", F.coalesce("component", "node", ROW).alias("component"))
@@ -297,9 +319,11 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` with one row of each class: that with the smallest ``doc_id``, nulls last, and of these the first."""
     bound_batches(docs.sparkSession)
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    row = unused(docs, ROW)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     classes = written(near_duplicate_classes(with_rows(docs, "doc_id", "text"), similar), "classes")
     first = classes.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("kept"), F.count(F.lit(1)).alias("n"))
     dropped = classes.join(first.filter("n > 1"), "component").filter(F.col(ROW) != F.col(f"kept.{ROW}")).select(ROW)
-    return numbered.join(written(dropped, "dropped"), ROW, "left_anti").select(*docs.columns)
+    dropped = written(dropped, "dropped").withColumnRenamed(ROW, row)
+    return numbered.join(dropped, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
