@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import numpy as np
 
 #: The special strings of the tokenizer file; and separators that only Python's split() knows.
 WHOLE = re.compile(r"<\|startoftext\|>|<\|endoftext\|>|[\x1c-\x1f]")
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 JOINED_CHARS = 4_000
 
 
@@ -29,16 +29,15 @@ def load_tokenizer(path: str):
 
 
 class Pieces:
-    """Values of pieces (packed ids, or their number), kept up to twice ``most`` entries.
+    """Values of pieces (packed ids, or with ``counts`` their number), kept up to twice ``most`` entries.
 
     A full cache is set aside for a new one, into which pieces are taken over as they are met again; so
     frequent ones stay. ``frequent`` is given and never dropped.
     """
 
-    def __init__(self, path: str, value: Callable[[np.ndarray], object], frequent: dict | None = None,
-                 most: int = CACHE_PIECES):
+    def __init__(self, path: str, counts: bool = False, frequent: dict | None = None, most: int = CACHE_PIECES):
         self.tokenizer = load_tokenizer(path)
-        self.value, self.frequent, self.most = value, frequent or {}, most
+        self.counts, self.frequent, self.most = counts, frequent or {}, most
         self.cache, self.aside = dict(self.frequent), {}
 
     def learn(self, texts: Iterable[list[str]]) -> None:
@@ -62,14 +61,13 @@ class Pieces:
             joined.append(group)
         encoded = self.tokenizer.encode_batch([" ".join(g) for g in joined], add_special_tokens=False)
         for pieces, found in zip(joined, encoded):
-            ids = np.array(found.ids, "<u4")
-            first = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            ends = np.cumsum([len(p) + 1 for p in pieces])
-            cuts = np.searchsorted(first, ends).tolist()
-            at = 0
-            for piece, cut in zip(pieces, cuts):
-                self.cache[piece] = self.value(ids[at:cut])
-                at = cut
+            first = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
+            cuts = np.searchsorted(first, np.cumsum([len(p) + 1 for p in pieces]))
+            if self.counts:
+                self.cache.update(zip(pieces, np.diff(cuts, prepend=0).tolist()))
+            else:
+                packed, cuts = np.array(found.ids, "<u4").tobytes(), (4 * cuts).tolist()
+                self.cache.update(zip(pieces, [packed[a:b] for a, b in zip([0, *cuts], cuts)]))
 
     def of(self, texts: list[str]) -> list[list]:
         """For each text the values of its pieces."""
@@ -77,8 +75,11 @@ class Pieces:
         split = [[] if w else t.split() for t, w in zip(texts, whole)]
         self.learn(split)
         get = self.cache.__getitem__
-        return [[self.value(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4"))] if w
-                else list(map(get, s)) for t, s, w in zip(texts, split, whole)]
+        return [[self._whole(t)] if w else list(map(get, s)) for t, s, w in zip(texts, split, whole)]
+
+    def _whole(self, text: str):
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return len(ids) if self.counts else np.array(ids, "<u4").tobytes()
 
 
 _KEPT: dict[str, Pieces] = {}
@@ -87,5 +88,5 @@ _KEPT: dict[str, Pieces] = {}
 def packed_ids(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
     if path not in _KEPT:
-        _KEPT[path] = Pieces(path, lambda ids: ids.tobytes())
+        _KEPT[path] = Pieces(path)
     return [b"".join(x) for x in _KEPT[path].of(texts)]

@@ -41,7 +41,7 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, seed_documents: int = SEED
 
     top = (sample.coalesce(16).mapInArrow(propose, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "piece").limit(size).collect())
-    lengths = Pieces(tokenizer, len, most=size)
+    lengths = Pieces(tokenizer, counts=True, most=size)
     lengths.learn([[r.piece for r in top]])
     return lengths.cache
 
@@ -64,7 +64,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, seed_docume
     def count(batches):
         if run not in _TIERS:
             _TIERS.clear()
-            _TIERS[run] = Pieces(tokenizer, len, table.value)
+            _TIERS[run] = Pieces(tokenizer, True, table.value)
         tiers = _TIERS[run]
         for batch in batches:
             for part in slices(batch):

@@ -34,7 +34,7 @@ from goldthread.llm.pieces import packed_ids
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 128
 INDEX_SKIPPABLE = 0x184D2A50
 ENTRY, INDEX_ENTRY, HEADER, FOOTER = struct.Struct("<III"), struct.Struct("<qB"), struct.Struct("<II"), struct.Struct("<IBI")
-MOST_FRAMES = 1_000_000
+MOST_FRAMES, READ_TASKS = 1_000_000, 20_000
 
 
 def file_at(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -151,7 +151,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, step: int = 2000)
     # By number, for adaptive execution would merge these few bytes into one task.
     tasks = manifest.agg(F.coalesce(F.sum(F.ceil(F.col("frames") / step)), F.lit(0))).head()[0]
     jobs = (manifest.withColumn("first", F.explode(F.expr(f"sequence(0L, frames - 1, {step}L)")))
-            .repartition(max(1, int(tasks)), "file", "first"))
+            .repartition(max(1, min(int(tasks), READ_TASKS)), "file", "first"))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:

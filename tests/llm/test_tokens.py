@@ -38,7 +38,7 @@ def test_pieces_give_the_ids_of_the_library(texts):
 
 
 def test_a_full_cache_changes_nothing():
-    small = Pieces(WORD_BPE, len, most=3)
+    small = Pieces(WORD_BPE, counts=True, most=3)
     for text in ("a b c d", "e f g a", "a b c d e f g h", "h a"):
         assert [sum(x) for x in small.of([text])] == [len(ids(text))]
 
