@@ -14,7 +14,7 @@ from goldthread.llm.common import bound_batches, slices, text_of, unused
 from goldthread.llm.words import Words, mix, shingles_of, words_of
 
 #: Bounds of the fit: rows of the sample, slots of the scorer.
-FIT_ROWS, SLOT_BITS = 12_000, 20
+FIT_ROWS, SLOT_BITS = 8_000, 20
 SLOTS = 1 << SLOT_BITS
 ABSTAIN, KEEP, REJECT = 0, 1, 2
 #: The labellers of each reason for rejection: bad shape (quality 0) and bad words (toxic 1).
@@ -224,6 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                 slot, owner, shape, words = features_of(text_of(part))
                 cuts = np.searchsorted(owner, np.arange(len(part) + 1))
                 whole = (mix(words.hashes ^ _SALTS[0]) >> np.uint64(64 - SLOT_BITS)).astype("<i4")
+                whole = [np.unique(whole[a:b]) for a, b in zip(words.first, words.first[1:])]
+                slots = [slot[a:b].astype("<i4") for a, b in zip(cuts, cuts[1:])]
                 shingle, of = shingles_of(words)
                 least = np.full((len(part), len(_COPY_SALTS)), np.iinfo(np.uint64).max)
                 for j, salt in enumerate(_COPY_SALTS):
@@ -232,18 +234,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                     "copy_keys": pa.array(list(least.view(np.int64)), pa.list_(pa.int64())),
                     "doc_id": part.column("doc_id"), "quality": part.column("quality").cast(pa.int32()),
                     "toxic": part.column("toxic").cast(pa.int32()),
-                    "slots": pa.array([slot[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                    "whole": pa.array([np.unique(whole[a:b]).tobytes() for a, b in zip(words.first, words.first[1:])], pa.binary()),
+                    "whole": pa.array([w.tobytes() for w in whole], pa.binary()),
+                    "other": pa.array([np.setdiff1d(s, w).tobytes() for s, w in zip(slots, whole)], pa.binary()),
                     "shape": pa.array(np.column_stack(list(shape.values())).tolist(), pa.list_(pa.float64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = sample.mapInArrow(
-        featured, f"copy_keys array<long>, doc_id {kind}, quality int, toxic int, slots binary, whole binary, shape array<double>").toPandas()
+        featured, f"copy_keys array<long>, doc_id {kind}, quality int, toxic int, whole binary, other binary, shape array<double>").toPandas()
     if not len(got):
         return Model({r: np.zeros(SLOTS + 1) for r in LABELLERS}, {})
     got = got.sort_values("doc_id", kind="stable")
     got = got[_first_of_copies(got["copy_keys"])]
-    slots, whole = ([np.frombuffer(s, "<i4").astype(np.int64) for s in got[c]] for c in ("slots", "whole"))
+    whole, other = ([np.frombuffer(s, "<i4") for s in got[c]] for c in ("whole", "other"))
     empty = pa.array([""], pa.large_string())
     names = list(shape_of(words_of(empty), empty))
     shape = dict(zip(names, np.array(got["shape"].tolist(), float).reshape(len(got), len(names)).T))
@@ -253,14 +255,17 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return np.where(known, np.where(bad, REJECT, KEEP), ABSTAIN)
 
     known = ~np.isnan(toxic)
-    listed = [telling_slots([s for s, k in zip(kinds, known) if k], toxic[known]) for kinds in (whole, slots)]
-    listed[1] = np.setdiff1d(listed[1], listed[0])
-    n_words, n_beginnings = (np.array([np.isin(s, own).sum() for s in slots]) for own in listed)
+    listed = [telling_slots([s for s, k in zip(kinds, known) if k], toxic[known]) for kinds in (whole, other)]
+    n_words, n_beginnings = (np.array([np.isin(s, own).sum() for s in kinds]) for kinds, own in zip((whole, other), listed))
     votes = {"shape": shape_votes(shape, judgement(quality == 0, ~np.isnan(quality))),
              "words": word_votes(n_words, n_beginnings, judgement(toxic == 1, known))}
     weights, tables = {}, {}
-    often = np.bincount(np.concatenate(slots), minlength=SLOTS) >= 8
-    rows_used = [np.append(s[often[s]], SLOTS) for s in slots]
+    often = np.zeros(SLOTS, np.int32)
+    for kinds in (whole, other):
+        for s in kinds:
+            often[s] += 1
+    rows_used = [np.concatenate([w[often[w] >= 8], o[often[o] >= 8], [SLOTS]]).astype(np.int32) for w, o in zip(whole, other)]
+    del whole, other, got
     for reason, cast in votes.items():
         patterns, which, counts = np.unique(cast, axis=0, return_inverse=True, return_counts=True)
         posterior, tables[reason] = estimate(patterns, counts.astype(float))
