@@ -18,10 +18,13 @@ SIMILAR, BANDS, DRAWS = 0.8, 16, 4
 SKETCH_ROWS, SKETCH_BITS, SKETCH_PARTS = 2, 18, 64
 #: Weight up to which all elements take part in every draw; from ``SIMILAR`` of it on they are dealt to bins.
 LIGHT = 128.0
-#: Members of a bucket up to which all pairs across components are compared; rounds through larger ones at the most.
+#: Members of a bucket up to which all pairs across components are compared at once; rounds through larger ones before
+#: they are settled.
 SMALL, MOST_TURNS, REACH = 12, 4, 4
-#: Documents of a bucket that are chained together; beyond, the heads of such groups are chained.
+#: Documents of a bucket that are chained, or settled, together; beyond, groups and pairs of groups are.
 GROUP = 4096
+#: Bins in which the shingles of a text are added up for a bound on its similarity, and how many of a coarser bound.
+BINS, COARSE = 512, 64
 _SEED = mix(np.arange(4096, dtype=np.uint64) + np.uint64(0xC0FFEE))
 _WIDTH = 1 << SKETCH_BITS
 
@@ -221,13 +224,18 @@ def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _neighbours(buckets: DataFrame, order, reach: int = 1) -> DataFrame:
+def _grouped(turn: int):
+    """The group of a member in its bucket, of about ``GROUP`` members at the most; another one in each bucket and turn."""
+    return F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / GROUP))
+
+
+def _neighbours(buckets: DataFrame, order, reach: int = 1, turn: int = -1) -> DataFrame:
     """Pairs ``x, y`` of members of a bucket that are at most ``reach`` places apart in an order.
 
-    Neighbours are taken in groups of about ``GROUP`` members at the most, and the heads of a bucket's groups are
+    Neighbours are taken in groups, dealt anew for each bucket and turn, and the heads of a bucket's groups are
     neighbours too, so no task holds a whole hot bucket.
     """
-    salted = buckets.withColumns({"group": F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / GROUP)), "at": F.struct(order, "node")})
+    salted = buckets.withColumns({"group": _grouped(turn), "at": F.struct(order, "node")})
     ahead = Window.partitionBy("band", "group").orderBy("at")
     met = salted.select(F.col("node").alias("x"), F.array(*[F.lead("node", d).over(ahead) for d in range(1, reach + 1)]).alias("met"))
     near = met.select("x", F.explode("met").alias("y"))
@@ -287,7 +295,7 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
         links = seen.filter(F.col("similarity") >= similar).select("a", "b")
         joined = components(links)
         open_ = written(_open_members(buckets, joined), "open-buckets")
-        pairs = _neighbours(open_.filter(F.col("n") > SMALL), F.xxhash64("node", F.lit(turn)), REACH)
+        pairs = _neighbours(open_.filter(F.col("n") > SMALL), F.xxhash64("node", F.lit(turn)), REACH, turn)
         pairs = pairs.union(_across(open_)) if turn == 0 else pairs
         parts = [open_.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")).distinct() for c in "ab"]
         pairs = (_distinct_pairs(pairs).join(parts[0], "a").join(parts[1], "b").filter("ca <> cb").select("a", "b")

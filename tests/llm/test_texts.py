@@ -132,6 +132,17 @@ def test_near_duplicates(spark, monkeypatch, group):
     assert near_duplicates.near_duplicates(empty).count() == 0 and without_near_duplicates(empty).count() == 0
 
 
+def test_groups_of_a_hot_bucket_are_dealt_anew(spark, monkeypatch):
+    """Members in different groups in one turn meet in others; groups are at most a few places wide here."""
+    monkeypatch.setattr(near_duplicates, "GROUP", 4)
+    bucket = spark.range(64).selectExpr("id AS node", "7L AS band", "64L AS n")
+    met = set()
+    for turn in range(8):
+        pairs = near_duplicates._neighbours(bucket, near_duplicates.F.xxhash64("node", near_duplicates.F.lit(turn)), 4, turn)
+        met |= {(r.a, r.b) for r in near_duplicates._distinct_pairs(pairs).collect()}
+    assert len(met) > 400  # groups that stay allow about 100, and 15 heads in each turn
+
+
 def test_weighted_similarity_and_draws():
     """Sets draw the same element as often as they are alike, and common shingles weigh less."""
     random = np.random.default_rng(0)
