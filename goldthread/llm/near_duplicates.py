@@ -264,6 +264,63 @@ def _across(members: DataFrame) -> DataFrame:
     return one.join(other, "band").filter("x < y AND cx <> cy").select("x", "y")
 
 
+def sketches(texts: DataFrame, weights: Weights) -> DataFrame:
+    """``node, sketch``: the weights of a text's shingles, and their number, added up in ``BINS`` bins by hash."""
+    shared = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def sketch(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                h, text, times = elements(words_of(text_of(part)))
+                slot = text * BINS + (mix(h ^ _SEED[3000]) % np.uint64(BINS)).astype(np.int64)
+                sums = [np.bincount(slot, w, minlength=len(part) * BINS).reshape(-1, BINS)
+                        for w in (shared.value.of(h, times), np.ones(len(h)))]
+                yield pa.RecordBatch.from_pydict({"node": part.column("node"), "sketch": pa.array(
+                    [row.tobytes() for row in np.stack(sums, 1).astype("<f4")], pa.binary())})
+
+    return texts.select("node", "text").mapInArrow(sketch, "node long, sketch binary")
+
+
+def _settled(similar: float):
+    """For a pair of groups of a bucket, or one with itself: each member with those of other components that may be similar.
+
+    What two texts share is at most what their bins share, so no pair with similarity ``similar`` is left out.
+    """
+    def settle(key, table):
+        low, high = key[1].as_py(), key[2].as_py()
+        node, component, group = (table.column(c).to_numpy() for c in ("node", "component", "group"))
+        bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<f4").reshape(len(node), 2, BINS)
+        total = bins.sum(2, dtype=np.float64)
+        levels = [total[:, :, None], bins.reshape(len(node), 2, COARSE, -1).sum(3), bins]
+        x, met = [], []
+        for i in np.flatnonzero(group == low).tolist():
+            other = np.flatnonzero((group == high) & (component != component[i]))
+            other = other[other > i] if low == high else other
+            for level in levels:
+                both = np.minimum(level[other], level[i]).sum(2)
+                # The margin covers the rounding of the sums.
+                other = other[(both >= (similar - 1e-3) * (total[other] + total[i] - both)).any(1)]
+            if len(other):
+                x.append(node[i])
+                met.append(node[other])
+        return pa.table({"x": pa.array(x, pa.int64()), "met": pa.array(met, pa.list_(pa.int64()))})
+
+    return settle
+
+
+def _possible(members: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
+    """All pairs ``x, y`` of members of a bucket that are in different components, but those that cannot be similar.
+
+    A bucket is dealt to groups, and every pair of its groups is settled as one: a task holds two groups at the most.
+    """
+    known = written(sketches(texts.join(members.select("node").distinct(), "node", "left_semi"), weights), "sketches")
+    dealt = (members.select("node", "band", "n", "component").withColumn("group", _grouped(MOST_TURNS))
+             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / GROUP) - 1)))
+             .select("node", "component", "band", "group", F.least("group", "with").alias("low"), F.greatest("group", "with").alias("high")))
+    met = dealt.join(known, "node").groupBy("band", "low", "high").applyInArrow(_settled(similar), "x long, met array<long>")
+    return met.select("x", F.explode("met").alias("y"))
+
+
 def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``__row, doc_id, component`` for every row: rows of a component are linked by pairs with similarity ``similar``.
 
@@ -271,9 +328,9 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
     neighbours in each bucket, ordered by weight, are compared: a bucket of copies costs as many pairs as it has
     members and is then one component. For what is not, all pairs across components are compared in buckets
     of at most ``SMALL`` members. Larger buckets are gone through again, in another random order each time,
-    as long as that finds a link and ``MOST_TURNS`` times at the most: every member meets ``2 * REACH`` others in each of
-    its buckets and rounds, so the pairs stay in proportion to the members, however large a group of texts that are alike
-    in part. A text of such a group is left out of its class only if all it meets are too different.
+    as long as that finds a link and ``MOST_TURNS`` times at the most; this only joins components cheaply. What is still
+    open is then settled: all pairs across components are held against a bound, and those that it lets pass are compared.
+    So every candidate pair ends in one component or was found too different.
     """
     weights = document_frequencies(rows)
     signed = written(signatures(rows, weights), "signatures")
@@ -291,21 +348,31 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
         return written(similarities(pairs.join(sides[0], "a").join(sides[1], "b"), weights), "compared")
 
     seen = compared(_distinct_pairs(_neighbours(buckets, "weight")))
+    def links() -> DataFrame:
+        return components(seen.filter(F.col("similarity") >= similar).select("a", "b"))
+
+    def unseen(pairs: DataFrame, members: DataFrame) -> DataFrame:
+        parts = [members.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")).distinct() for c in "ab"]
+        return (_distinct_pairs(pairs).join(parts[0], "a").join(parts[1], "b").filter("ca <> cb").select("a", "b")
+                .join(seen.select("a", "b"), ["a", "b"], "left_anti"))
+
+    joined = links()
+    open_ = written(_open_members(buckets, joined), "open-buckets")
     for turn in range(MOST_TURNS):
-        links = seen.filter(F.col("similarity") >= similar).select("a", "b")
-        joined = components(links)
-        open_ = written(_open_members(buckets, joined), "open-buckets")
         pairs = _neighbours(open_.filter(F.col("n") > SMALL), F.xxhash64("node", F.lit(turn)), REACH, turn)
         pairs = pairs.union(_across(open_)) if turn == 0 else pairs
-        parts = [open_.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")).distinct() for c in "ab"]
-        pairs = (_distinct_pairs(pairs).join(parts[0], "a").join(parts[1], "b").filter("ca <> cb").select("a", "b")
-                 .join(seen.select("a", "b"), ["a", "b"], "left_anti"))
-        more = compared(pairs)
+        more = compared(unseen(pairs, open_))
         seen = seen.union(more)
         if more.filter(F.col("similarity") >= similar).isEmpty():
             break
-    else:
-        joined = components(seen.filter(F.col("similarity") >= similar).select("a", "b"))
+        joined = links()
+        open_ = written(_open_members(buckets, joined), "open-buckets")
+    rest = open_.filter(F.col("n") > SMALL)
+    if not rest.isEmpty():
+        more = compared(unseen(_possible(rest, texts, weights, similar), rest))
+        seen = seen.union(more)
+        if not more.filter(F.col("similarity") >= similar).isEmpty():
+            joined = links()
     owners = signed.select(ROW, "doc_id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left")
     return owners.join(joined, "node", "left").select(
         ROW, "doc_id", F.coalesce("component", "node", ROW).alias("component"))

@@ -132,6 +132,21 @@ def test_near_duplicates(spark, monkeypatch, group):
     assert near_duplicates.near_duplicates(empty).count() == 0 and without_near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("group", [4096, 150])
+def test_a_large_bucket_is_settled(spark, monkeypatch, group):
+    """One bucket of texts alike in part, with many classes of two, against all pairs."""
+    monkeypatch.setattr(near_duplicates, "GROUP", group)
+    monkeypatch.setattr(near_duplicates, "band_keys", lambda h, text, weight, n: ([[7]] * n, np.bincount(text, weight, minlength=n)))
+    base = [prose(60, 30) + " " + prose(3000 + i, 60) for i in range(250)]
+    texts = [t for i, b in enumerate(base) for t in (b, near_copy(b, 0.02, i))] + [near_copy(b, 0.05, 5) for b in base[:50]]
+    docs = stable(spark, spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(docs).collect()}
+    sets = [shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
+    assert len(pairs) >= 200 and all(got[i] == got[j] for i, j in pairs)
+    assert len(set(got.values())) > 200
+
+
 def test_groups_of_a_hot_bucket_are_dealt_anew(spark, monkeypatch):
     """Members in different groups in one turn meet in others; groups are at most a few places wide here."""
     monkeypatch.setattr(near_duplicates, "GROUP", 4)
