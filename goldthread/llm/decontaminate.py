@@ -8,12 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldthread.llm.common import bound_batches, slices, text_of, unused, written
-from goldthread.llm.words import SHINGLE, Words, mix, shingles_of, words_of
+from goldthread.llm.words import SHINGLE, Words, bounds_of, divided, mix, shingles_of, words_of
 
 BLOCK_BYTES, COVERED, LITERALS = 4 << 20, 0.8, 2
 FOUND = "__found"
@@ -45,7 +44,10 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
     A number begins with a digit; parts that only a point, comma, colon or slash divides are one. A unit
     is a word of the list, behind a number or not ("how many miles"). A name begins with a capital and goes on in small letters inside a sentence.
     """
+    texts = divided(texts)
     words = words_of(texts)
+    # The same words before they were put in lower case, which may change the length of a letter.
+    raw, text_at, own, own_ends = bounds_of(texts)
     data, starts, ends = words.data, words.starts, words.ends
     number = (data[starts] >= 48) & (data[starts] <= 57)
     if len(starts) > 1:
@@ -56,7 +58,7 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
             # The parts of a number become one word.
             head = np.flatnonzero(~tight)
             last = np.append(head[1:], len(starts)) - 1
-            starts, ends = starts[head], ends[last]
+            starts, ends, own, own_ends = starts[head], ends[last], own[head], own_ends[last]
             kept = np.concatenate([[0], np.cumsum(~tight)])
             words = Words(data, words.hashed.of(starts, ends), words.text[head], starts, ends, words.text_at,
                           kept[words.first], words.hashed)
@@ -64,15 +66,11 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
     kinds = np.where(number, NUMBER, 0).astype(np.int8)
     if len(starts):
         kinds[~number & _among(words.hashes, _unit_hashes())] = UNIT
-        plain = pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
-        offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset:plain.offset + len(plain) + 1]
-        raw = np.frombuffer(plain.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-        if len(raw) == len(data):  # else some letter changed its length in lower case, and no name is told apart
-            second = raw[np.minimum(starts + 1, len(raw) - 1)]
-            capital = (raw[starts] >= 65) & (raw[starts] <= 90) & (ends - starts > 1) & (second >= 97)
-            before, far = raw[np.maximum(starts - 1, 0)], raw[np.maximum(starts - 2, 0)]
-            inside = (before == 32) & ~np.isin(far, np.frombuffer(b".!?:;|\n\"'", np.uint8)) & (starts - 2 >= words.text_at[words.text])
-            kinds[capital & inside] = NAME
+        second = raw[np.minimum(own + 1, len(raw) - 1)]
+        capital = (raw[own] >= 65) & (raw[own] <= 90) & (own_ends - own > 1) & (second >= 97)
+        before, far = raw[np.maximum(own - 1, 0)], raw[np.maximum(own - 2, 0)]
+        inside = (before == 32) & ~np.isin(far, np.frombuffer(b".!?:;|\n\"'", np.uint8)) & (own - 2 >= text_at[words.text])
+        kinds[capital & inside] = NAME
     return words, kinds
 
 

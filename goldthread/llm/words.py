@@ -1,12 +1,14 @@
 """Words and word shingles of many texts at once, as 64-bit hashes in arrays.
 
-A word is a run of ASCII letters, digits and of any characters beyond ASCII, in lower case. All texts
-of a slice are handled as one byte array: word bounds are where the kind of byte changes, and the hash
+A word is a run of ASCII letters, digits and of any characters beyond ASCII, in lower case;
+``divided`` texts have their words told apart in all scripts. All texts of a slice are handled as one byte array: word bounds are where the kind of byte changes, and the hash
 of a word is a difference of running sums, so no Python code runs per word.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +20,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+#: Scripts written without spaces; each of their characters is a word in a divided text.
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\x{30FC}\x{FF70}])"
+#: Marks beyond ASCII that end a sentence or quote, and those that only divide words.
+_QUOTES = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in "。．｡！？：；…‘’‚‛“”„‟«»‹›「」『』") + "]"
+_DIVIDERS: list[str] = []
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 #: Fixed odd numbers, one per place in a shingle.
 _PLACES = np.array([0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93],
@@ -69,10 +76,32 @@ class Words:
     hashed: Hashed
 
 
-def words_of(texts: pa.Array, lower: bool = True) -> Words:
-    """The words of a slice; ``texts`` is a large-string array without nulls."""
-    plain = pc.utf8_lower(texts) if lower else texts
-    closed = pc.binary_join_element_wise(plain, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+def _dividers() -> str:
+    """White space, punctuation, and signs of money and mathematics beyond ASCII, as a class of ranges."""
+    if not _DIVIDERS:
+        use = [c for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "PZ"
+               or unicodedata.category(chr(c)) in ("Sc", "Sm") or c in (0x85, 0x200B, 0x2060, 0xFEFF)]
+        ends = [i for i, c in enumerate(use) if i + 1 == len(use) or use[i + 1] != c + 1]
+        firsts = [0] + [i + 1 for i in ends[:-1]]
+        _DIVIDERS.append("[" + "".join(rf"\x{{{use[i]:X}}}-\x{{{use[j]:X}}}" for i, j in zip(firsts, ends)) + "]")
+    return _DIVIDERS[0]
+
+
+def divided(texts: pa.Array) -> pa.Array:
+    """The texts with their words divided in ASCII: marks beyond it become spaces or quotes, and a character of a script
+    written without spaces stands alone."""
+    if pc.all(pc.string_is_ascii(texts)).as_py() is not False:
+        return texts
+    marks = f"{_dividers()}|{_UNSPACED}"
+    if not pc.any(pc.match_substring_regex(texts, marks)).as_py():
+        return texts
+    texts = pc.replace_substring_regex(pc.replace_substring_regex(texts, _QUOTES, '"'), _dividers(), " ")
+    return pc.replace_substring_regex(texts, _UNSPACED, r" \1 ")
+
+
+def bounds_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a slice, where each text begins in them and the last one ends, and where words start and end."""
+    closed = pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
     offsets = np.frombuffer(closed.buffers()[1], np.int64)[closed.offset:closed.offset + len(closed) + 1]
     raw = closed.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
@@ -80,7 +109,12 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = _WORD[data]
     edge = np.diff(inside)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return data, at, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def words_of(texts: pa.Array, lower: bool = True) -> Words:
+    """The words of a slice; ``texts`` is a large-string array without nulls."""
+    data, at, starts, ends = bounds_of(pc.utf8_lower(texts) if lower else texts)
     hashed = Hashed(data)
     first = np.searchsorted(starts, at)
     return Words(data, hashed.of(starts, ends), np.repeat(np.arange(len(texts)), np.diff(first)), starts, ends, at[:-1],

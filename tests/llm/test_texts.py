@@ -15,10 +15,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from goldthread.llm import components as connected
-from goldthread.llm import near_duplicates, quality, repeated_spans, secret_scan
+from goldthread.llm import decontaminate, near_duplicates, quality, repeated_spans, secret_scan
 from goldthread.llm.decontaminate import FOUND, contamination, decontaminated, with_items
 from goldthread.llm.near_duplicates import without_near_duplicates
-from goldthread.llm.words import shingles_of, words_of
+from goldthread.llm.words import divided, shingles_of, words_of
 
 
 def by_id(rows):
@@ -208,6 +208,21 @@ def test_decontamination(spark):
     assert contamination(docs, benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def found_in(item, *texts):
+    block = decontaminate.Block.of([0], [item])
+    return [bool(x) for x in decontaminate.items_found(block, pa.array(texts, pa.large_string()), 0.8)]
+
+
+PROBLEM = "Every morning Maria buys 12 apples and 7 pears for Pedro who then sells 5 of them to the old market near the river"
+
+
+@pytest.mark.parametrize("letter", ["\u0130", "\u1e9e", "\u212a", "\u2126", "\u212b", "\u023a \u212a"])
+def test_names_beside_letters_that_change_length(letter):
+    changed = PROBLEM.replace("Maria", "Ingrid").replace("Pedro", "Olaf").replace("12", "31")
+    assert found_in(PROBLEM, letter + " x", "So: " + changed, letter + " and " + changed) == [False, True, True]
+    assert decontaminate.items_found(decontaminate.Block.of([0, 1], [letter, PROBLEM]), pa.array([changed], pa.large_string()), 0.8)[0]
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 PLAIN = [("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""),
