@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldthread.llm.common import bound_batches, slices, text_of, unused, written
-from goldthread.llm.words import SHINGLE, Words, bounds_of, divided, mix, shingles_of, words_of
+from goldthread.llm.words import SHINGLE, Hashed, Words, bounds_of, divided, mix, shingles_of, words_of
 
 BLOCK_BYTES, COVERED, LITERALS = 4 << 20, 0.8, 2
 FOUND = "__found"
@@ -74,15 +74,37 @@ def canonical(texts: pa.Array) -> tuple[Words, np.ndarray]:
     return words, kinds
 
 
-def windows_of(words: Words, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Literal and template windows and their text numbers; a template with too few literal words is 0."""
+@dataclass
+class Templates:
+    """Stretches of words with slots: hash, number of the window, first word, and the word behind the last."""
+
+    hashes: np.ndarray
+    windows: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+
+def windows_of(words: Words, kinds: np.ndarray) -> tuple[np.ndarray, Templates, np.ndarray]:
+    """Literal windows and their text numbers, and the templates of the windows with slots.
+
+    A window with fewer than ``LITERALS`` literal words is widened to the right, and to the left, until it holds so many;
+    both are its templates. It has none where its text ends before.
+    """
     literal, text = shingles_of(words)
-    template, _ = shingles_of(words, np.where(kinds > 0, _PLACEHOLDERS[kinds], words.hashes))
-    slots = np.concatenate([[0], np.cumsum(kinds > 0)])
+    slots, fixed = (np.concatenate([[0], np.cumsum(use)]) for use in (kinds > 0, kinds == 0))
+    at = np.append(np.flatnonzero(kinds == 0), [0] * LITERALS)
+    low, high = words.first[text], words.first[text + 1]
     begin = window_starts(words)
-    n = np.minimum(begin + SHINGLE, words.first[text + 1]) - begin
-    held = slots[begin + n] - slots[begin]
-    return literal, np.where((held > 0) & (n - held >= LITERALS), template, 0), text
+    end = np.minimum(begin + SHINGLE, high)
+    some = slots[end] > slots[begin]
+    few = fixed[end] - fixed[begin] < LITERALS
+    right = np.flatnonzero(some & few & (fixed[high] - fixed[begin] >= LITERALS))
+    left = np.flatnonzero(some & few & (fixed[end] - fixed[low] >= LITERALS))
+    full = np.flatnonzero(some & ~few)
+    starts = np.concatenate([begin[full], begin[right], at[fixed[end[left]] - LITERALS]])
+    ends = np.concatenate([end[full], at[fixed[begin[right]] + LITERALS - 1] + 1, end[left]])
+    hashed = Hashed(np.where(kinds > 0, _PLACEHOLDERS[kinds], words.hashes))
+    return literal, Templates(hashed.of(starts, ends), np.concatenate([full, right, left]), starts, ends), text
 
 
 def window_starts(words: Words) -> np.ndarray:
@@ -95,33 +117,32 @@ def window_starts(words: Words) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Windows of some benchmark items, sorted by hash."""
+    """Windows and templates of some benchmark items, sorted by hash."""
 
     items: list
     windows: np.ndarray  # windows of each item
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # for literal and template: hash, item, window
+    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # for literal and template: hash, item, window or template
     first: np.ndarray
-    starts: np.ndarray
+    templates: Templates
     hashes: np.ndarray
     kinds: np.ndarray
 
     @classmethod
     def of(cls, items: list, texts: list[str]) -> "Block":
         words, kinds = canonical(pa.array(texts, pa.large_string()))
-        literal, template, text = windows_of(words, kinds)
+        literal, templates, text = windows_of(words, kinds)
         tables = []
-        for h in (literal, template):
-            use = np.flatnonzero(h != 0)
-            order = use[np.argsort(h[use], kind="stable")]
-            tables.append((h[order], text[order], order))
-        return cls(items, np.bincount(text, minlength=len(items)), tables, words.first, window_starts(words), words.hashes, kinds)
+        for h, item in ((literal, text), (templates.hashes, text[templates.windows])):
+            order = np.argsort(h, kind="stable")
+            tables.append((h[order], item[order], order))
+        return cls(items, np.bincount(text, minlength=len(items)), tables, words.first, templates, words.hashes, kinds)
 
 
 def _hits(h: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each equal pair: the window here, the item and its window."""
+    """For each equal pair: the window or template here, the item and its one."""
     ordered, item, window = table
     low, high = np.searchsorted(ordered, h, "left"), np.searchsorted(ordered, h, "right")
-    n = np.where(h != 0, high - low, 0)
+    n = high - low
     some = np.flatnonzero(n)
     at = np.repeat(low[some], n[some]) + np.arange(n[some].sum()) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
     return np.repeat(some, n[some]), item[at], window[at]
@@ -143,21 +164,19 @@ def _consistent(pairs: list[tuple[int, int, list[tuple[int, int, int]]]]) -> set
 def items_found(block: Block, texts: pa.Array, covered: float) -> list[list[tuple[object, float]]]:
     """For each text the items of which it holds the share ``covered`` of the windows, with that share."""
     words, kinds = canonical(texts)
-    literal, template, text = windows_of(words, kinds)
+    literal, templates, text = windows_of(words, kinds)
     out: list[list[tuple[object, float]]] = [[] for _ in range(len(texts))]
     got: dict[tuple[int, int], set[int]] = defaultdict(set)
     slotted = defaultdict(list)
     for here, item, window in zip(*[x.tolist() for x in _hits(literal, block.tables[0])]):
         got[int(text[here]), item].add(window)
-    begin = window_starts(words)
-    for here, item, window in zip(*[x.tolist() for x in _hits(template, block.tables[1])]):
-        a, b = int(block.starts[window]), int(begin[here])
-        n = min(SHINGLE, int(block.first[item + 1]) - a)
+    for here, item, there in zip(*[x.tolist() for x in _hits(templates.hashes, block.tables[1])]):
+        a, b = int(block.templates.starts[there]), int(templates.starts[here])
         slots = [(int(block.kinds[a + j]), int(block.hashes[a + j]), int(words.hashes[b + j]))
-                 for j in range(n) if block.kinds[a + j]]
-        slotted[int(text[here]), item].append((window, here, slots))
+                 for j in range(int(block.templates.ends[there]) - a) if block.kinds[a + j]]
+        slotted[int(text[templates.windows[here]]), item].append((int(block.templates.windows[there]), b - a, slots))
     for key, pairs in slotted.items():
-        got[key] |= _consistent(pairs)
+        got[key] |= _consistent([(w, 0, slots) for w, _, slots in pairs])
     for (t, item), windows in got.items():
         share = len(windows) / block.windows[item]
         if share >= covered:
@@ -172,7 +191,8 @@ def with_items(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED,
     Windows of five words are taken twice: as they are, and as templates in which numbers, units and names
     are typed placeholders. Both are joined by hash, on the map side: the windows of the benchmark are
     broadcast, in blocks of ``block_bytes`` of text, one pass for each block, so a benchmark of any size is
-    handled and no document is shuffled. Template windows count if their slots fit one assignment of values.
+    handled and no document is shuffled. Template windows count if their slots fit one assignment of values in one place.
+    An item with fewer than ``LITERALS`` words outside slots has no templates and is found as it is only.
 
     Null and empty texts hold nothing, and null or empty items are found nowhere; an item of fewer than five
     words is found only in a text that consists of it. Repeated rows and items count each on its own; other

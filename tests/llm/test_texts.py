@@ -223,6 +223,13 @@ def test_names_beside_letters_that_change_length(letter):
     assert decontaminate.items_found(decontaminate.Block.of([0, 1], [letter, PROBLEM]), pa.array([changed], pa.large_string()), 0.8)[0]
 
 
+def test_items_dense_in_slots():
+    item = "What is 12 + 7 - 3 * 4 + 9"
+    assert found_in(item, "Q: What is 31 + 8 - 5 * 6 + 2 or so", "What is 31 + 8 - 31 * 6 + 2", "It is 31 + 8 - 5 * 6 + 2", item) == [
+        True, False, False, True]
+    assert found_in("1 2 3 4 5 6 then 7 8 9 10 11 stop", "a 11 12 13 14 15 16 then 17 18 19 20 21 stop b") == [True]
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 PLAIN = [("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""),
