@@ -161,6 +161,35 @@ def _consistent(pairs: list[tuple[int, int, list[tuple[int, int, int]]]]) -> set
     return {w for w, _, slots in pairs if all(to.get((k, own)) == here for k, own, here in slots)}
 
 
+def _best(pairs: list[tuple[int, int, list[tuple[int, int, int]]]], literal: set[int], span: int, least: float) -> set[int]:
+    """The most windows of an item in one place: the literal ones, and templates that fit one assignment there.
+
+    ``pairs`` are window, place in the document minus that in the item, and slots. A place is one such difference, or all
+    from one up to ``span``, the item's length, as words may be put in or left out; so other copies nearby or chance
+    hits far away have values of their own. Places with fewer than ``least`` windows are passed over.
+    """
+    pairs = sorted(pairs, key=lambda p: p[1])
+    best = literal | _consistent(pairs)
+    held: Counter = Counter()
+    low = high = 0
+    while low < len(pairs):
+        place, same = pairs[low][1], low
+        while same < len(pairs) and pairs[same][1] == place:
+            same += 1
+        while high < len(pairs) and pairs[high][1] < place + span:
+            held[pairs[high][0]] += pairs[high][0] not in literal
+            high += 1
+        most = len(literal) + len(+held) if len(literal) + len(held) > len(best) else 0
+        if most > len(best) and most >= least:
+            best = max([best, *(literal | _consistent(pairs[low:end]) for end in {same, high})], key=len)
+        for w, _, _ in pairs[low:same]:
+            held[w] -= w not in literal
+            if not held[w]:
+                del held[w]
+        low = same
+    return best
+
+
 def items_found(block: Block, texts: pa.Array, covered: float) -> list[list[tuple[object, float]]]:
     """For each text the items of which it holds the share ``covered`` of the windows, with that share."""
     words, kinds = canonical(texts)
@@ -176,7 +205,8 @@ def items_found(block: Block, texts: pa.Array, covered: float) -> list[list[tupl
                  for j in range(int(block.templates.ends[there]) - a) if block.kinds[a + j]]
         slotted[int(text[templates.windows[here]]), item].append((int(block.templates.windows[there]), b - a, slots))
     for key, pairs in slotted.items():
-        got[key] |= _consistent([(w, 0, slots) for w, _, slots in pairs])
+        item = key[1]
+        got[key] = _best(pairs, got[key], int(block.first[item + 1] - block.first[item]), covered * block.windows[item])
     for (t, item), windows in got.items():
         share = len(windows) / block.windows[item]
         if share >= covered:

@@ -230,6 +230,16 @@ def test_items_dense_in_slots():
     assert found_in("1 2 3 4 5 6 then 7 8 9 10 11 stop", "a 11 12 13 14 15 16 then 17 18 19 20 21 stop b") == [True]
 
 
+def test_several_variants_and_values_elsewhere():
+    item = "Maria has 12 apples and Pedro has 7 pears then Maria gives 5 apples and Pedro gives 2 pears away"
+    variants = [item.replace("Maria", a).replace("Pedro", b).replace("12", c).replace("7", d).replace("5 ", e + " ").replace("2 pears", f + " pears")
+                for a, b, c, d, e, f in (("Ingrid", "Olaf", "31", "14", "9", "6"), ("Nils", "Jana", "44", "18", "25", "16"),
+                                         ("Omar", "Lena", "71", "63", "29", "37"))]
+    elsewhere = "so Bruno has 99 apples and Carla has 88 pears then. " * 30
+    texts = ["Now " + ". Now ".join(variants), "Now " + variants[0] + ". " + elsewhere, "Now " + elsewhere]
+    assert found_in(item, *texts) == [True, True, False]
+
+
 # --- secrets ---------------------------------------------------------------------------------
 
 PLAIN = [("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""),
