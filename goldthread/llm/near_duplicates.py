@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from goldthread.llm.common import ROW, bound_batches, slices, text_of, unused, with_rows, written
 from goldthread.llm.components import components
-from goldthread.llm.words import Words, mix, shingles_of, words_of
+from goldthread.llm.words import Words, divided, mix, shingles_of, words_of
 
 SIMILAR, BANDS, DRAWS = 0.8, 16, 4
 #: The table of document frequencies: rows and slots, and parts in which it is added up.
@@ -73,7 +73,7 @@ def document_frequencies(docs: DataFrame) -> Weights:
         table, documents = np.zeros((SKETCH_ROWS, _WIDTH), np.int64), 0
         for batch in batches:
             for part in slices(batch):
-                h, _, _ = elements(words_of(text_of(part)))
+                h, _, _ = elements(words_of(divided(text_of(part))))
                 documents += len(part)
                 for row, slot in zip(table, _slots(h)):
                     row += np.bincount(slot, minlength=_WIDTH)
@@ -172,7 +172,7 @@ def signatures(rows: DataFrame, weights: Weights) -> DataFrame:
     def sign(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                words = words_of(text_of(part))
+                words = words_of(divided(text_of(part)))
                 h, text, times = elements(words)
                 n = len(part)
                 keys, total = band_keys(h, text, shared.value.of(h, times), n) if len(h) else ([[]] * n, np.zeros(n))
@@ -204,7 +204,7 @@ def similarities(pairs: DataFrame, weights: Weights) -> DataFrame:
     def compare(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text_a", 1 << 20):
-                sides = [elements(words_of(text_of(part, c))) for c in ("text_a", "text_b")]
+                sides = [elements(words_of(divided(text_of(part, c)))) for c in ("text_a", "text_b")]
                 h, pair = (np.concatenate([s[i] for s in sides]) for i in (0, 1))
                 w = np.concatenate([shared.value.of(s[0], s[2]) for s in sides])
                 order = np.lexsort((h, pair))
@@ -271,7 +271,7 @@ def sketches(texts: DataFrame, weights: Weights) -> DataFrame:
     def sketch(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                h, text, times = elements(words_of(text_of(part)))
+                h, text, times = elements(words_of(divided(text_of(part))))
                 slot = text * BINS + (mix(h ^ _SEED[3000]) % np.uint64(BINS)).astype(np.int64)
                 sums = [np.bincount(slot, w, minlength=len(part) * BINS).reshape(-1, BINS)
                         for w in (shared.value.of(h, times), np.ones(len(h)))]

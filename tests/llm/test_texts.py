@@ -40,6 +40,25 @@ def test_words_and_shingles(texts):
     assert len(set(h.tolist())) == len(set().union(*map(shingles, texts)))
 
 
+def test_words_of_all_scripts():
+    """Marks beyond ASCII divide words, and scripts written without spaces have words of one character."""
+    pick = random.Random(5)
+    han = "".join(chr(pick.randrange(0x4E00, 0x9FA5)) + "，" * (i % 9 == 8) for i in range(120))
+    thai = "".join(chr(pick.randrange(0x0E01, 0x0E2F)) for _ in range(120))
+    texts = ["a\u3000b\u00a0c—d “e”, f’s\u2003g。h", "コーヒー café", han, han[:60] + "啊" + han[61:], thai, thai[:60] + "x" + thai[61:]]
+    plain = [re.findall(r"[a-zé]+|[0-9]+|[\u0e01-\u0e2e\u3041-\u30ff\u4e00-\u9fff]", t.lower()) for t in texts]
+    words = words_of(divided(pa.array(texts, pa.large_string())))
+    assert np.diff(words.first).tolist() == [len(p) for p in plain] and plain[0] == list("abcdefsgh")
+    h, text, _ = near_duplicates.elements(words)
+    sets = [set(h[text == i].tolist()) for i in range(len(texts))]
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = ({tuple(p[k:k + 5]) for k in range(max(len(p) - 4, 1))} for p in (plain[i], plain[j]))
+            assert jaccard(sets[i], sets[j]) == jaccard(a, b)
+    assert jaccard(sets[2], sets[3]) >= 0.8 and jaccard(sets[4], sets[5]) >= 0.8
+    assert found_in(han[20:60], han, "x" + han[20:59], han[:30]) == [True, True, False]
+
+
 # --- repeated spans --------------------------------------------------------------------------
 
 def plain_spans(texts, length):
