@@ -22,6 +22,8 @@ PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、؟]")
 
 # The element kinds of the markup language.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select"}
+#: Those in which a tag of their own name is text, too.
+PLAIN_RAW = {"script", "style", "textarea", "title", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -29,6 +31,8 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 CLOSED_BY_SIBLING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                      "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Share of the score of content paths that the container of an article without <article> or <main> holds.
+MOST = 0.9
 #: Elements that never hold the article, by name, and by a word of their class, id or role.
 ASIDE_TAGS = {"nav", "footer", "header", "aside", "form", "button", "dialog", "menu", "head"}
 ASIDE_WORDS = {
@@ -80,6 +84,27 @@ def _hints(attributes: str) -> tuple[str, set[str], bool]:
     return label, words, hidden
 
 
+def _raw_end(page: str, at: int, tag: str, attributes: str, stack: list[Element]) -> int:
+    """Where an element ends whose content is no text of the page; one that is not closed ends with its parent."""
+    if tag in ("svg", "math") and attributes.rstrip().endswith("/"):
+        return at
+    depth = 1
+    for found in re.compile(rf"<(/?){tag}\b([^>]*)>", re.I).finditer(page, at):
+        if found[1]:
+            depth -= 1
+        elif tag not in PLAIN_RAW and not found[2].rstrip().endswith("/"):
+            depth += 1
+        if not depth:
+            return found.end()
+    if tag in ("script", "style"):
+        return len(page)
+    ends = [rf"</{re.escape(e.tag)}\b" for e in stack[1:]]
+    if stack[-1].tag in CLOSED_BY_SIBLING:
+        ends += [rf"<{t}\b" for t in CLOSED_BY_SIBLING[stack[-1].tag]]
+    end = re.compile("|".join(ends), re.I).search(page, at) if ends else None
+    return end.start() if end else len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, each with its path of block elements from the root."""
     stack: list[Element] = [Element("", "")]
@@ -114,8 +139,7 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in RAW and not closing:
             if tag not in INLINE:
                 flush()
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = _raw_end(page, at, tag, found[3] or found[6] or "", stack)
         elif tag == "a":
             links = 0 if closing else 1
         elif tag in INLINE or tag in VOID and tag != "hr":
@@ -174,9 +198,9 @@ def main_text(page: str, threshold: float = 0.5) -> str:
     """The article of a page: its blocks joined by one space, empty if there is none.
 
     Blocks under elements that never hold the article are left out first. Paths whose fused ratio reaches
-    ``threshold`` standard deviations are content; the container with most of their score is the article,
-    and its blocks are kept: all of them if it is marked as an article or main part, otherwise those on
-    content paths, headings, and what stands between them and is not mostly links.
+    ``threshold`` standard deviations are content. If some of it is in an article or main part, that with most score is
+    kept whole. Otherwise the container is the deepest that holds ``MOST`` of the score, with other blocks on its content
+    paths; kept are content paths, headings, and what stands between them and is not mostly links.
     """
     blocks = [b for b in blocks_of(page)
               if not any(e.aside and not (e.by_hint and e.wraps) for e in b.chain())]
@@ -184,7 +208,7 @@ def main_text(page: str, threshold: float = 0.5) -> str:
         return ""
     _score(blocks)
     least = min(threshold * float(np.std([b.score for b in blocks])), max(b.score for b in blocks))
-    worth: dict[int, float] = defaultdict(float)
+    worth: dict[tuple[int, int], float] = defaultdict(float)
     named: dict[int, float] = defaultdict(float)
     for b in blocks:
         if b.score < least:
@@ -193,12 +217,17 @@ def main_text(page: str, threshold: float = 0.5) -> str:
         marked = [e for e in b.chain() if e.tag == "article"] or [e for e in b.chain() if e.tag == "main"]
         if marked:
             named[id(marked[-1])] += value
-        worth[id(b.element.parent or b.element)] += value
+        for depth, e in enumerate(reversed([*b.chain()])):
+            worth[depth, id(e)] += value
     if named:
         root = max(named, key=named.get)
         return " ".join(b.text for b in blocks if any(id(e) == root for e in b.chain()))
-    root = max(worth, key=worth.get)
-    inside = [b for b in blocks if any(id(e) == root for e in b.chain())]
+    most = MOST * max(worth.values())
+    # The children of the deepest such element are the article; one block of text that holds most of it is none.
+    _, root = max((k for k, v in worth.items() if v >= most), key=lambda k: k[0])
+    root = next(id(e.parent or e) for b in blocks for e in b.chain() if id(e) == root and b.score >= least)
+    paths = {b.path for b in blocks if b.score >= least and any(id(e) == root for e in b.chain())}
+    inside = [b for b in blocks if b.path in paths or any(id(e) == root for e in b.chain())]
     good = [i for i, b in enumerate(inside) if b.score >= least]
     return " ".join(b.text for i, b in enumerate(inside) if b.element.tag in HEADINGS or b.score >= least
                     or good[0] <= i <= good[-1] and 2 * b.linked <= len(b.text))

@@ -97,6 +97,20 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+LONG = "A sentence, with commas, and words enough to be the text of a page; so it goes on. "
+
+
+@pytest.mark.parametrize("page", [
+    "<div id=content><h1>Head</h1><section><p>{0}1</p><p>{0}2</p></section><section><p>{0}3</p></section></div>",
+    "<div><h1>Head</h1><section><p>{0}1</p></section><section><p>{0}2</p></section><section><p>{0}3</p></section></div>",
+    "<div><h1>Head</h1><p>{0}1 <svg width='9'/></p><p>{0}2</p><p>{0}3</p></div>",
+    "<div><h1>Head</h1><p>{0}1</p><p><math/>{0}2</p><p>{0}3 <svg><g><svg>x</svg></g></svg></p></div>",
+    "<div><h1>Head</h1><p>{0}1 <svg><g></p><p>{0}2 <svg>x</svg></p><p>{0}3</p></div>"])
+def test_whole_article(page):
+    page = "<body><div class=nav><svg/></div>" + page.format(LONG) + "</body>"
+    assert main_text(page) == f"Head {LONG}1 {LONG}2 {LONG}3"
+
+
 def test_pages(spark):
     folder = "/root/testdata/sf0.01"
     want = {}
