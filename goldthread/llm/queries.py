@@ -13,6 +13,7 @@ from goldthread.llm.packing import pack
 from goldthread.llm.quality import classify
 from goldthread.llm.repeated_spans import repeated_digest
 from goldthread.llm.secret_scan import secret_digest
+from goldthread.llm.simhash import simhash_classes
 from goldthread.llm.token_counts import count_tokens
 from goldthread.llm.token_files import token_file_digest
 
@@ -59,7 +60,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_near_duplicates, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
-    op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality)}
+    op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality, op11_simhash)}
 ORACLES: dict[str, str] = {}
