@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from goldthread.llm.conversations import repair_digest
 from goldthread.llm.decontaminate import contamination
 from goldthread.llm.main_text import extract_main_text
 from goldthread.llm.near_duplicates import near_duplicates
@@ -64,7 +65,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_near_duplicates, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
-    op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality, op11_simhash)}
+    op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality, op11_simhash, op12_conversation_repair)}
 ORACLES: dict[str, str] = {}
