@@ -10,6 +10,7 @@ from goldthread.llm.decontaminate import contamination
 from goldthread.llm.main_text import extract_main_text
 from goldthread.llm.near_duplicates import near_duplicates
 from goldthread.llm.neighbours import nearest_neighbours
+from goldthread.llm.oracles import ORACLES as ORACLES
 from goldthread.llm.packing import pack
 from goldthread.llm.phrases import collocations
 from goldthread.llm.quality import classify
@@ -77,4 +78,3 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_near_duplicates, op3_token_files, op4_repeated_spans, op5_token_counts, op6_decontamination,
     op7_nearest_neighbours, op8_secret_scan, op9_main_text, op10_quality, op11_simhash, op12_conversation_repair, op13_collocations)}
-ORACLES: dict[str, str] = {}

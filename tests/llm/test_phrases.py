@@ -125,3 +125,11 @@ def test_no_rows(spark):
     empty = spark.createDataFrame([], "text string, lang string")
     assert collocations(empty).count() == 0
     assert collocations(spark.createDataFrame([(None, None), ("", "en"), (" . ", "en")], "text string, lang string")).count() == 0
+
+
+def test_query_equals_sql(spark):
+    from compare import compare
+
+    from goldthread.llm.queries import ORACLES, QUERIES
+    for name, sql in ORACLES.items():
+        compare(spark, QUERIES[name], sql, "/root/testdata/sf0.001")
