@@ -48,7 +48,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity:
             for part in slices(batch):
                 out = {k: [] for k in ("row", "start", "length", "ids_crc32", "doc_tokens", "class", "place")}
                 ids = []
-                for row, packed in enumerate(packed_ids(tokenizer, text_of(part).to_pylist())):
+                for row, packed in enumerate(packed_ids(tokenizer, text_of(part))):
                     packed += end
                     total, start = len(packed) // 4, 0
                     for length in cut_lengths(total, capacity):

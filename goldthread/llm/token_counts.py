@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldthread.llm.common import bound_batches, slices, text_of
-from goldthread.llm.pieces import Pieces
+from goldthread.llm.pieces import LONG, SPECIAL, Pieces, Split, Table, counted
 
 #: Entries of the broadcast table; documents from which it is drawn; entries that one task proposes.
 FREQUENT, SEED_DOCUMENTS, PROPOSED = 30_000, 20_000, 60_000
@@ -18,8 +19,7 @@ FREQUENT, SEED_DOCUMENTS, PROPOSED = 30_000, 20_000, 60_000
 _TIERS: dict[str, Pieces] = {}
 
 
-def frequent_lengths(docs: DataFrame, tokenizer: str, seed_documents: int = SEED_DOCUMENTS,
-                     size: int = FREQUENT) -> dict[str, int]:
+def frequent_lengths(docs: DataFrame, tokenizer: str, seed_documents: int = SEED_DOCUMENTS, size: int = FREQUENT) -> Table:
     """Token counts of the most frequent pieces of a random sample of ``seed_documents`` documents.
 
     The table only saves work: a piece it lacks is encoded by the worker that meets it, so the
@@ -31,19 +31,18 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, seed_documents: int = SEED
     def propose(batches):
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update((text or "").split())
+            for part in slices(batch):
+                split = Split(text_of(part))
+                seen.update(split.pieces(np.arange(len(split.starts))))
             if len(seen) > 4 * PROPOSED:
                 seen = Counter(dict(seen.most_common(PROPOSED)))
-        top = seen.most_common(PROPOSED)
+        top = [(p, n) for p, n in seen.most_common(PROPOSED) if len(p) <= LONG and not any(s in p for s in SPECIAL)]
         yield pa.RecordBatch.from_pydict({
             "piece": pa.array([p for p, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
 
     top = (sample.coalesce(16).mapInArrow(propose, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "piece").limit(size).collect())
-    lengths = Pieces(tokenizer, counts=True, most=size)
-    lengths.learn([[r.piece for r in top]])
-    return lengths.cache
+    return counted(tokenizer, [r.piece for r in top])
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, seed_documents: int = SEED_DOCUMENTS) -> DataFrame:
@@ -69,7 +68,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, seed_docume
         for batch in batches:
             for part in slices(batch):
                 texts = text_of(part)
-                n = pa.array([sum(x) for x in tiers.of(texts.to_pylist())], pa.int64())
+                n = pa.array(np.diff(tiers.of(texts)[1]))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "n_bytes": pc.binary_length(texts).cast(pa.int64()),
                     "n_tokens": n, "over_limit": pc.greater(n, limit)})

@@ -127,7 +127,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         for batch in batches:
             for piece in slices(batch):
                 for doc_id, packed in zip(piece.column("doc_id").to_pylist(),
-                                          packed_ids(tokenizer, text_of(piece).to_pylist())):
+                                          packed_ids(tokenizer, text_of(piece))):
                     if made is None:
                         name = f"{path}/part-{part:06d}-{len(files):04d}.tok.zst"
                         made = FrameWriter(name, attempt, level)

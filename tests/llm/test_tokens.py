@@ -6,12 +6,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from fixtures import odd_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from goldthread.llm import pieces
 from goldthread.llm.common import shared_path
 from goldthread.llm.packing import cut_lengths, pack
 from goldthread.llm.pieces import Pieces, load_tokenizer, packed_ids
@@ -30,17 +32,38 @@ def packed(values):
     return np.array(values, "<u4").tobytes()
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("aZ 1'.\n\t\x1c\x85 　éÉ́İßΣ漢<|>endoftxsr🙂"), max_size=30), max_size=4))
+def texts_of(texts):
+    return pa.array(texts, pa.large_string())
+
+
+@settings(max_examples=250, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZzbr 1'.,;:!?\n\t\x0b\x1c\x85 \u3000éÉ́İßΣÿ÷×ñœ漢<|>endoftxsr🙂"), max_size=30), max_size=4))
 def test_pieces_give_the_ids_of_the_library(texts):
-    texts = [*texts, "<|endoftext|> it's", "don't stop"]
-    assert packed_ids(WORD_BPE, texts) == [packed(ids(t)) for t in texts]
+    texts = [*texts, "<|endoftext|> it's", "don't stop. Don't! éa., x", "<|ENDOFTEXT|>", "a" * 300 + " " + "a" * 300]
+    assert packed_ids(WORD_BPE, texts_of(texts)) == [packed(ids(t)) for t in texts]
 
 
 def test_a_full_cache_changes_nothing():
-    small = Pieces(WORD_BPE, counts=True, most=3)
-    for text in ("a b c d", "e f g a", "a b c d e f g h", "h a"):
-        assert [sum(x) for x in small.of([text])] == [len(ids(text))]
+    for counts in (True, False):
+        small = Pieces(WORD_BPE, counts=counts, most=3)
+        for text in ("a b c d", "e f g a", "a b c d e f g h", "h a", "", "größe Größe."):
+            found, ends = small.of(texts_of([text, text]))
+            assert ends.tolist() == [0, len(ids(text)), 2 * len(ids(text))] and (counts or found.tolist() == 2 * ids(text))
+        assert len(small.table.key) <= 12
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(pieces.Hashed, "of", lambda self, starts, ends: np.zeros(len(starts), np.uint64))
+    same = Pieces(WORD_BPE)
+    for text in ("red green blue", "blue yellow red. red"):
+        assert same.of(texts_of([text]))[0].tolist() == ids(text)
+
+
+def test_given_lengths_are_used_first():
+    given_ = pieces.counted(WORD_BPE, ["hello", ",", "größe", "x1", "hello"])
+    both = Pieces(WORD_BPE, True, given_)
+    text = "Hello, GRÖßE größe x1 y2"
+    assert both.of(texts_of([text]))[1].tolist() == [0, len(ids(text))] and len(given_.key) == 4 and len(both.table.key) == 2
 
 
 @pytest.mark.parametrize("seed_documents", [1, 10_000])
