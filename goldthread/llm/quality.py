@@ -158,10 +158,8 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, epochs: int = 3, rate
 class Model:
     """The fitted classifier: weights of the hashed features for each reason, and what was estimated about the labellers."""
 
-    def __init__(self, weights: dict[str, np.ndarray], tables: dict[str, np.ndarray]):
-        self.at = {r: np.flatnonzero(w) for r, w in weights.items()}
-        self.value = {r: weights[r][at] for r, at in self.at.items()}
-        self.tables = tables
+    def __init__(self, at: dict[str, np.ndarray], value: dict[str, np.ndarray], tables: dict[str, np.ndarray]):
+        self.at, self.value, self.tables = at, value, tables
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """The chance of rejection of each text: the larger one of the reasons."""
@@ -207,7 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     The rows are those with the smallest hash of their number. Labels serve two labellers: the list of bad words, and
     the judgement itself where there is one. All labellers vote on all rows of the sample, their accuracies
-    are estimated from how they agree, and the posterior labels train the linear scorers.
+    are estimated from how they agree, and the posterior labels train the linear scorers. Features are taken where the
+    documents are read; the bounded sample is fitted in one task, and the driver gets the weights only.
     """
     judged = labels.filter("doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -239,11 +238,22 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                     "shape": pa.array(np.column_stack(list(shape.values())).tolist(), pa.list_(pa.float64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = sample.mapInArrow(
-        featured, f"copy_keys array<long>, doc_id {kind}, quality int, toxic int, whole binary, other binary, shape array<double>").toPandas()
-    if not len(got):
-        return Model({r: np.zeros(SLOTS + 1) for r in LABELLERS}, {})
-    got = got.sort_values("doc_id", kind="stable")
+    features = sample.mapInArrow(
+        featured, f"copy_keys array<long>, doc_id {kind}, quality int, toxic int, whole binary, other binary, shape array<double>")
+    fitted = features.repartition(1).mapInArrow(_learn, "reason string, at binary, value binary, table binary").collect()
+    at = {r.reason: np.frombuffer(r.at, "<i4") for r in fitted}
+    value = {r.reason: np.frombuffer(r.value, "<f8") for r in fitted}
+    if not fitted:
+        return Model({r: np.zeros(0, np.int32) for r in LABELLERS}, {r: np.zeros(0) for r in LABELLERS}, {})
+    return Model(at, value, {r.reason: np.frombuffer(r.table, "<f8").reshape(2, len(LABELLERS[r.reason]), 3) for r in fitted})
+
+
+def _learn(batches) -> Iterator[pa.RecordBatch]:
+    """The weights of each reason, where they are not zero, and the estimated tables of its labellers."""
+    batches = list(batches)
+    if not sum(b.num_rows for b in batches):
+        return
+    got = pa.Table.from_batches(batches).to_pandas().sort_values("doc_id", kind="stable")
     got = got[_first_of_copies(got["copy_keys"])]
     whole, other = ([np.frombuffer(s, "<i4") for s in got[c]] for c in ("whole", "other"))
     empty = pa.array([""], pa.large_string())
@@ -259,18 +269,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     n_words, n_beginnings = (np.array([np.isin(s, own).sum() for s in kinds]) for kinds, own in zip((whole, other), listed))
     votes = {"shape": shape_votes(shape, judgement(quality == 0, ~np.isnan(quality))),
              "words": word_votes(n_words, n_beginnings, judgement(toxic == 1, known))}
-    weights, tables = {}, {}
     often = np.zeros(SLOTS, np.int32)
     for kinds in (whole, other):
         for s in kinds:
             often[s] += 1
     rows_used = [np.concatenate([w[often[w] >= 8], o[often[o] >= 8], [SLOTS]]).astype(np.int32) for w, o in zip(whole, other)]
-    del whole, other, got
     for reason, cast in votes.items():
         patterns, which, counts = np.unique(cast, axis=0, return_inverse=True, return_counts=True)
-        posterior, tables[reason] = estimate(patterns, counts.astype(float))
-        weights[reason] = fit_linear(rows_used, posterior[which.ravel()])
-    return Model(weights, tables)
+        posterior, table = estimate(patterns, counts.astype(float))
+        weights = fit_linear(rows_used, posterior[which.ravel()])
+        at = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_pydict({
+            "reason": [reason], "at": [at.astype("<i4").tobytes()], "value": [weights[at].astype("<f8").tobytes()],
+            "table": [table.astype("<f8").tobytes()]})
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5, names: tuple[str, str] = ("score", "reject")) -> DataFrame:
