@@ -21,6 +21,8 @@ LIGHT = 128.0
 #: Members of a bucket up to which all pairs across components are compared at once; rounds through larger ones before
 #: they are settled.
 SMALL, MOST_TURNS, REACH = 12, 4, 4
+#: Links, as a share of the members of large buckets, that a round has to find for another one.
+WORTH = 0.05
 #: Documents of a bucket that are chained, or settled, together; beyond, groups and pairs of groups are.
 GROUP = 4096
 #: Bins in which the shingles of a text are added up for a bound on its similarity, and how many of a coarser bound.
@@ -328,7 +330,7 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
     neighbours in each bucket, ordered by weight, are compared: a bucket of copies costs as many pairs as it has
     members and is then one component. For what is not, all pairs across components are compared in buckets
     of at most ``SMALL`` members. Larger buckets are gone through again, in another random order each time,
-    as long as that finds a link and ``MOST_TURNS`` times at the most; this only joins components cheaply. What is still
+    as long as that finds many links and ``MOST_TURNS`` times at the most; this only joins components cheaply. What is still
     open is then settled: all pairs across components are held against a bound, and those that it lets pass are compared.
     So every candidate pair ends in one component or was found too different.
     """
@@ -359,14 +361,17 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
     joined = links()
     open_ = written(_open_members(buckets, joined), "open-buckets")
     for turn in range(MOST_TURNS):
-        pairs = _neighbours(open_.filter(F.col("n") > SMALL), F.xxhash64("node", F.lit(turn)), REACH, turn)
+        large = open_.filter(F.col("n") > SMALL)
+        pairs = _neighbours(large, F.xxhash64("node", F.lit(turn)), REACH, turn)
         pairs = pairs.union(_across(open_)) if turn == 0 else pairs
         more = compared(unseen(pairs, open_))
         seen = seen.union(more)
-        if more.filter(F.col("similarity") >= similar).isEmpty():
+        found = more.filter(F.col("similarity") >= similar).count()
+        if found:
+            joined = links()
+            members, open_ = large.count(), written(_open_members(buckets, joined), "open-buckets")
+        if not found or found < WORTH * members:
             break
-        joined = links()
-        open_ = written(_open_members(buckets, joined), "open-buckets")
     rest = open_.filter(F.col("n") > SMALL)
     if not rest.isEmpty():
         more = compared(unseen(_possible(rest, texts, weights, similar), rest))
