@@ -18,8 +18,10 @@ from goldthread.llm.words import Hashed, mix
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: Bytes of text that are counted together before their stripes are given out.
 BLOCK = 4 << 20
-#: Bits of the filter of frequent phrases per phrase, and bounds of its size (as a power of two): 4 MB at the most.
-FILTER_BITS, FILTER_LEAST, FILTER_MOST, FILTER_PARTS = 16, 16, 25, 8
+#: Bits of a phrase's hash by which phrases are counted before their words are looked at.
+SHORT = 40
+#: Bits of a filter per phrase, and bounds of its size (as powers of two): 64 MB at the most.
+FILTER_BITS, FILTER_LEAST, FILTER_MOST, FILTER_PARTS = 12, 16, 29, 16
 #: Words of more than this share of all words have their stripes cut into ``PARTS``; there are fewer than ``1 / WIDE`` of them.
 WIDE, PARTS = 0.001, 32
 _BREAK = np.zeros(256, bool)
@@ -71,6 +73,22 @@ class Tokens:
         """Of the phrases of so many words at ``at``, with their language."""
         return mix(self.hashed.of(self.starts[at], self.ends[at + words - 1]) ^ self.salt[at])
 
+    def langs(self, at: np.ndarray) -> pa.Array:
+        return pa.array(self.names, pa.string()).take(pa.array(self.lang[at]))
+
+    def frequent(self, seen: Seen) -> np.ndarray:
+        """The words that the filter lets through, as a mask with room behind it."""
+        ok = np.zeros(len(self.starts) + LONGEST, bool)
+        ok[:len(self.starts)] = seen.has(self.hashes(np.arange(len(self.starts)), 1))
+        return ok
+
+    def phrases(self, ok: np.ndarray, words: int) -> np.ndarray:
+        """Places of the phrases of so many words all of which are among ``ok``."""
+        good = self.whole(words)
+        for j in range(words):
+            good &= ok[j:j + len(good)]
+        return np.flatnonzero(good)
+
     def texts(self, at: np.ndarray, words: int) -> pa.Array:
         starts, sizes = self.starts[at], self.ends[at + words - 1] - self.starts[at]
         offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -78,14 +96,18 @@ class Tokens:
         return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[places])])
 
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - SHORT)
+
+
 class Seen:
-    """A filter of fixed size: phrases it holds are always found, others now and then."""
+    """A filter of bounded size: phrases whose short hash it was given are always found, others now and then."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.size = bits, 8 * len(bits)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        slot = (hashes >> np.uint64(16)) % np.uint64(self.size)
+        slot = mix(short(hashes)) % np.uint64(self.size)
         return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -104,7 +126,7 @@ def _grouped(tokens: Tokens, at: np.ndarray, words: int) -> tuple[np.ndarray, np
     return number.reshape(-1), at[first]
 
 
-def _parts_of(tokens: Tokens, at: np.ndarray, wide: set) -> np.ndarray:
+def _is_wide(tokens: Tokens, at: np.ndarray, wide: set) -> np.ndarray:
     """Whether the words at ``at`` are among the very common ones of their language."""
     if not wide:
         return np.zeros(len(at), bool)
@@ -114,34 +136,30 @@ def _parts_of(tokens: Tokens, at: np.ndarray, wide: set) -> np.ndarray:
     return hashes[place] == own
 
 
-def _stripes(tokens: Tokens, words: int, prefix: np.ndarray, extended: np.ndarray, wide: set) -> pa.RecordBatch | None:
-    """The stripes of the prefixes of so many words at ``prefix``: the words that follow each, with counts.
+def _stripes(tokens: Tokens, words: int, at: np.ndarray, wide: set) -> pa.RecordBatch | None:
+    """The stripes of prefixes of so many words: for each the words that follow it, with counts.
 
-    ``extended`` tells where the next word counts. A stripe's empty word is its total: how often the prefix occurs at all.
+    ``at`` has the places of the prefixes whose next word counts.
     """
-    if not len(prefix):
+    if not len(at):
         return None
-    number, first = _grouped(tokens, prefix, words)
-    totals = np.bincount(number, minlength=len(first))
-    pair = prefix[extended]
-    whole, place = _grouped(tokens, pair, words + 1) if len(pair) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    number, first = _grouped(tokens, at, words)
+    whole, place = _grouped(tokens, at, words + 1)
     counts = np.bincount(whole, minlength=len(place))
     owner = np.zeros(len(place), np.int64)
-    owner[whole] = number[extended]
-    cut = _parts_of(tokens, first + words - 1, wide)
-    part = np.where(cut[owner], 1 + (tokens.hashes(place + words, 1) % np.uint64(PARTS)).astype(np.int64), 0) if len(place) else owner
-    owner, part = np.concatenate([np.arange(len(first)), owner]), np.concatenate([np.zeros(len(first), np.int64), part])
-    counts = np.concatenate([totals, counts])
-    nexts = pa.concat_arrays([pa.array([""] * len(first), pa.large_string()), tokens.texts(place + words, 1)])
+    owner[whole] = number
+    cut = _is_wide(tokens, first + words - 1, wide)
+    part = np.where(cut[owner], 1 + (tokens.hashes(place + words, 1) % np.uint64(PARTS)).astype(np.int64), 0)
     order = np.lexsort((part, owner))
-    owner, part, counts, nexts = owner[order], part[order], counts[order], nexts.take(pa.array(order))
+    owner, part, counts, place = owner[order], part[order], counts[order], place[order]
     new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])))
     offsets = pa.array(np.append(new, len(owner)), pa.int32())
+    nexts = tokens.texts(place + words, 1).cast(pa.string())
     row = first[owner[new]]
     return pa.RecordBatch.from_pydict({
-        "lang": pa.array(tokens.names, pa.string()).take(pa.array(tokens.lang[row])), "words": pa.array(np.full(len(row), words), pa.int32()),
+        "lang": tokens.langs(row), "words": pa.array(np.full(len(row), words), pa.int32()),
         "prefix": tokens.texts(row, words).cast(pa.string()), "part": pa.array(part[new], pa.int32()),
-        "stripe": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([nexts.cast(pa.string()), pa.array(counts, pa.int64())], ["word", "n"]))})
+        "stripe": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([nexts, pa.array(counts, pa.int64())], ["word", "n"]))})
 
 
 _STRIPE = "lang string, words int, prefix string, part int, stripe array<struct<word:string,n:bigint>>"
@@ -176,8 +194,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             if len(at):
                 number, first = _grouped(tokens, at, 1)
                 yield from _cut(pa.RecordBatch.from_pydict({
-                    "lang": pa.array(tokens.names, pa.string()).take(pa.array(tokens.lang[first])),
-                    "word": tokens.texts(first, 1).cast(pa.string()), "n": pa.array(np.bincount(number), pa.int64())}))
+                    "lang": tokens.langs(first), "word": tokens.texts(first, 1).cast(pa.string()), "n": pa.array(np.bincount(number), pa.int64())}))
 
     return docs.select("text", F.col("lang").cast("string")).mapInArrow(count, "lang string, word string, n long").groupBy(
         "lang", "word").agg(F.sum("n").alias("n"))
@@ -191,15 +208,15 @@ def _phrase_hash(langs: list[str], phrases: list[str]) -> np.ndarray:
     return mix(hashed.of(np.concatenate([[0], ends[:-1]]), ends) ^ np.array([salts[x] for x in langs], np.uint64)) if raw else np.zeros(0, np.uint64)
 
 
-def seen_filter(phrases: DataFrame) -> Seen:
-    """A filter of ``lang, phrase``: as large as their number asks for, up to a fixed size; beyond, it lets more through."""
-    rows = phrases.count()
+def seen_filter(hashes: DataFrame) -> Seen:
+    """A filter of the short hashes ``gram``: as large as their number asks for, up to a bound; beyond, it lets more through."""
+    rows = hashes.count()
     power = min(FILTER_MOST, max(FILTER_LEAST, int(rows * FILTER_BITS).bit_length()))
     size, width = 1 << power, (1 << power) // FILTER_PARTS
 
     def place(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = (_phrase_hash(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()) >> np.uint64(16)) % np.uint64(size)
+            slot = mix(batch.column("gram").to_numpy().astype(np.uint64)) % np.uint64(size)
             yield pa.RecordBatch.from_pydict({"slot": pa.array(slot.astype(np.int64)), "part": pa.array((slot // np.uint64(width)).astype(np.int64))})
 
     def fill(batches) -> Iterator[pa.RecordBatch]:
@@ -213,42 +230,59 @@ def seen_filter(phrases: DataFrame) -> Seen:
             yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int64()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
 
     bits = np.zeros(size // 8, np.uint8)
-    for row in phrases.select("lang", "phrase").mapInArrow(place, "slot long, part long").repartition(FILTER_PARTS, "part").mapInArrow(
-            fill, "part long, bits binary").collect():
+    for row in hashes.select("gram").mapInArrow(place, "slot long, part long").repartition(FILTER_PARTS, "part").mapInArrow(
+            fill, "part long, bits binary").toLocalIterator():
         bits[row.part * width // 8:(row.part + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
     return Seen(bits)
 
 
+def word_hashes(words: DataFrame) -> DataFrame:
+    """The short hash ``gram`` of each ``lang, word``."""
+    def hashed(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = _phrase_hash(batch.column("lang").to_pylist(), batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_pydict({"gram": pa.array(short(h).astype(np.int64))})
+
+    return words.select("lang", "word").mapInArrow(hashed, "gram long")
+
+
+def frequent_hashes(docs: DataFrame, words: Seen, least: int) -> DataFrame:
+    """Short hashes ``gram`` of all phrases of frequent words that occur ``least`` times, and of few others.
+
+    Phrases of one short hash are counted as one, so none is missed. Most phrases are rare: a few bytes of them are shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        for tokens in _blocks(batches):
+            ok = tokens.frequent(shared.value)
+            for m in range(2, LONGEST + 1):
+                at = tokens.phrases(ok, m)
+                gram, n = np.unique(short(tokens.hashes(at, m)), return_counts=True)
+                yield from _cut(pa.RecordBatch.from_pydict({"gram": pa.array(gram.astype(np.int64)), "n": pa.array(n.astype(np.int64))}))
+
+    counted = docs.select("text", F.col("lang").cast("string")).mapInArrow(count, "gram long, n long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("gram")
+
+
 def merged(stripes: DataFrame, least: int) -> DataFrame:
-    """Stripes merged element by element: ``lang, words, prefix, word, n`` of what occurs ``least`` times, totals with the empty word."""
+    """Stripes merged element by element: ``lang, words, prefix, word, n`` of what occurs ``least`` times."""
     return (stripes.repartition("lang", "prefix", "part").select("lang", "words", "prefix", "part", F.inline("stripe"))
             .groupBy("lang", "prefix", "part", "word").agg(F.first("words").alias("words"), F.sum("n").alias("n")).filter(F.col("n") >= least)
             .select("lang", "words", "prefix", "word", "n"))
 
 
-def stripes(docs: DataFrame, words: tuple[int, ...], seen: Seen, wide: set) -> DataFrame:
-    """The stripes of prefixes of so many words; ``seen`` has the frequent single words if these are (1,), else the frequent pairs.
-
-    What holds a rare word or pair is no candidate and no part of one, so it is left out here already.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((seen, wide))
+def stripes(docs: DataFrame, words: Seen, grams: Seen, wide: set) -> DataFrame:
+    """The stripes of prefixes of one to three words, with those next words that make a frequent phrase."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, grams, wide))
 
     def count(batches) -> Iterator[pa.RecordBatch]:
-        known, common = shared.value
-        unit = 1 if words == (1,) else 2
+        single, longer, common = shared.value
         for tokens in _blocks(batches):
-            n = len(tokens.starts)
-            ok = np.zeros(n + LONGEST, bool)
-            begin = np.flatnonzero(tokens.whole(unit))
-            ok[begin] = known.has(tokens.hashes(begin, unit))
-            for m in words:
-                units = m - unit + 1
-                good = tokens.whole(m)
-                for j in range(units):
-                    good &= ok[j:j + n]
-                longer = good & tokens.whole(m + 1) & ok[units:units + n]
-                prefix = np.flatnonzero(good)
-                yield from _cut(_stripes(tokens, m, prefix, longer[prefix], common))
+            ok = tokens.frequent(single)
+            for m in range(1, LONGEST):
+                at = tokens.phrases(ok, m + 1)
+                yield from _cut(_stripes(tokens, m, at[longer.has(tokens.hashes(at, m + 1))], common))
 
     return docs.select("text", F.col("lang").cast("string")).mapInArrow(count, _STRIPE)
 
@@ -261,12 +295,12 @@ def _score():
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` collocations of each language of ``docs`` (``text``, ``lang``).
 
-    Stripes pattern: each prefix keys a stripe, the words that follow it with their counts and its own total. Tasks count stripes of
-    blocks of text; stripes of one prefix are merged element by element. Very common words have stripes of many words,
-    these are cut by the hash of the next word. Words are counted first, then pairs of frequent words, then phrases of frequent pairs:
-    a part of a candidate is as frequent as it is, so a filter of fixed size leaves out most of the rest unseen. From the
-    merged stripes come the candidates, the totals of all their parts, and for each phrase the most frequent one-word extension: a longer
-    candidate that subsumes a phrase lies within such an extension, which is as frequent or more.
+    Stripes pattern: each prefix keys a stripe, the words that follow it with their counts. Tasks count stripes of blocks of text; stripes of
+    one prefix are merged element by element. Very common words have stripes of many words, these are cut by the hash of the next
+    word. The stripe of the empty prefix, all words, is counted first; then short hashes of the phrases of frequent words are, so that
+    stripes hold what may be a candidate only: a part of a candidate is as frequent as it is. From the merged stripes come the
+    candidates, the total of a prefix, its element in the stripe of the prefix before it, and for each phrase the most frequent one-word
+    extension: a longer candidate that subsumes a phrase lies within such an extension, which is as frequent or more.
 
     A null or empty text has no words; a null ``lang`` is ``und``; repeated rows count as often as they occur; other columns are ignored;
     an empty table gives no rows. Ties of score and count are in the order of the bytes of the phrase.
@@ -280,15 +314,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     # Fewer than 1 / WIDE rows.
     common = frequent.filter(F.col("n") > WIDE * all_words).select("lang", "word").collect()
     wide = set(_phrase_hash([r.lang for r in common], [r.word for r in common]).tolist())
-    pairs = written(merged(stripes(docs, (1,), seen_filter(frequent.select("lang", F.col("word").alias("phrase"))), wide), least), "stripes")
-    phrase = F.concat_ws(" ", "prefix", "word")
-    found = seen_filter(pairs.filter("word <> ''").select("lang", phrase.alias("phrase")))
-    longer = written(merged(stripes(docs, (2, 3), found, wide), least), "stripes")
-    every = pairs.union(longer)
-    totals = every.filter("word = ''").select("lang", F.col("prefix").alias("phrase"), F.col("n").alias("f"))
-    candidates = written(every.filter("word <> ''").select(
-        "lang", "prefix", "word", phrase.alias("phrase"), F.expr("words + 1").alias("m"), F.col("n").alias("a")), "candidates")
-    counts = totals.union(candidates.filter(F.col("m") == LONGEST).select("lang", "phrase", F.col("a").alias("f")))
+    single = seen_filter(word_hashes(frequent))
+    grams = seen_filter(written(frequent_hashes(docs, single, least), "frequent"))
+    candidates = written(merged(stripes(docs, single, grams, wide), least).select(
+        "lang", "prefix", "word", F.concat_ws(" ", "prefix", "word").alias("phrase"), F.expr("words + 1").alias("m"), F.col("n").alias("a")), "candidates")
+    counts = frequent.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).union(
+        candidates.select("lang", "phrase", F.col("a").alias("f")))
     behind = F.expr("substring_index(phrase, ' ', 1 - m)")
     extended = candidates.filter("m > 2")
     subsumed = extended.select("lang", F.col("prefix").alias("phrase"), "a").union(extended.select("lang", behind.alias("phrase"), "a")).groupBy(
