@@ -16,8 +16,8 @@ from goldthread.llm.words import Hashed, mix
 
 #: Occurrences from which a phrase is a candidate, words of the longest one, and phrases returned per language.
 LEAST, LONGEST, TOP = 30, 4, 2000
-#: Bytes of text that are counted together before their stripes are given out.
-BLOCK = 4 << 20
+#: Bytes of text that are counted together before their stripes are given out; a worker needs some 150 MB for them.
+BLOCK = 1 << 20
 #: Bits of a phrase's hash by which phrases are counted before their words are looked at.
 SHORT = 40
 #: Bits of a filter per phrase, and bounds of its size (as powers of two): 64 MB at the most.
@@ -169,15 +169,16 @@ def _blocks(batches) -> Iterator[Tokens]:
     """Texts of one task, taken together until they are a block."""
     held, langs, size = [], [], 0
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=BLOCK):
             texts = text_of(part)
-            held.append(texts)
-            langs += ["und" if x is None else x for x in part.column("lang").to_pylist()]
-            size += pc.sum(pc.binary_length(texts)).as_py() or 0
-            if size >= BLOCK:
+            own = pc.sum(pc.binary_length(texts)).as_py() or 0
+            if held and size + own > BLOCK:
                 yield Tokens(pa.concat_arrays(held), langs)
                 held, langs, size = [], [], 0
-    if langs:
+            held.append(texts)
+            langs += ["und" if x is None else x for x in part.column("lang").to_pylist()]
+            size += own
+    if held:
         yield Tokens(pa.concat_arrays(held), langs)
 
 
