@@ -19,6 +19,8 @@ from goldthread.functions.text import WHITE_SPACE, col, leaf_text, variant_scala
 STAGED = "__doc_"
 # Documents are strict JSON: a single-quoted string makes the document invalid.
 STRICT_JSON = {"allowSingleQuotes": "false"}
+#: What a JSON text is put between to see that it is one value.
+OPEN, CLOSE = '[{"v":', "}]"
 
 
 @dataclass
@@ -78,7 +80,7 @@ def extract_paths(
             for schema, reads in layouts:
                 name = f"{STAGED}{count}"
                 count += 1
-                parsed[name] = F.from_json(object_text(text), schema, STRICT_JSON)
+                parsed[name] = whole_object(text, schema)
                 for keys, outcome in reads:
                     value = _at(F.col(name), keys)
                     if isinstance(outcome, _Step):
@@ -104,11 +106,28 @@ def once(values: Mapping[str, Column]) -> list[Column]:
     return [F.stack(F.lit(1), *values.values()).alias(*values)] if values else []
 
 
+def whole_object(text: Column, schema: T.DataType) -> Column:
+    """Text that is one JSON object as a struct, else null.
+
+    The reader stops behind the first value and overlooks what follows. Inside an object in an array nothing may
+    follow but their ends, so two objects in a row, or one with a bracket too many, are no object.
+    """
+    inside = T.ArrayType(T.StructType([T.StructField("v", schema)]))
+    return F.get(F.from_json(F.concat(F.lit(OPEN), object_text(text), F.lit(CLOSE)), inside, STRICT_JSON), F.lit(0)).getField("v")
+
+
+def whole_json(text: Column) -> Column:
+    """Text that is one JSON value as VARIANT, else null; see ``whole_object``."""
+    # What is neither an object nor an array is one quoted text, or has none of the signs that divide values.
+    one = text.rlike(r"^\s*[\[{]") | text.rlike(r'^\s*(?:"(?:[^"\\]|\\.)*"|[^",:{}\[\]]*)\s*$')
+    inside = F.try_parse_json(F.concat(F.lit(OPEN), F.when(one, text), F.lit(CLOSE)))
+    return F.try_variant_get(inside, "$[0].v", "variant")
+
+
 def object_text(text: Column) -> Column:
     """Text that may be a JSON object by its first and last character, else null.
 
-    Parsing anything else would throw and catch an exception, and the reader would overlook what
-    follows the object.
+    Parsing anything else would throw and catch an exception.
     """
     opens = text.startswith("{") | text.rlike(r"^\s+\{")
     return F.when(opens & F.rtrim(text, F.lit(WHITE_SPACE)).endswith("}"), text)
@@ -122,7 +141,7 @@ def _at(value: Column, keys: Sequence[str]) -> Column:
 
 def _json_leaf(document: Column, keys: Sequence[str]) -> Column:
     """One leaf of a JSON text as VARIANT, by a parse of its own."""
-    return _at(F.from_json(object_text(document), _leaf_schema(keys), STRICT_JSON), keys)
+    return _at(whole_object(document, _leaf_schema(keys)), keys)
 
 
 def _leaf_schema(keys: Sequence[str]) -> T.DataType:
@@ -144,7 +163,7 @@ def with_json_value(
     value = _at(F.col(staged), path)
     text = variant_scalar(value) if scalar else variant_text(value)
     others = [col(c) for c in df.columns if c != name]
-    return (df.withColumn(staged, F.from_json(object_text(document), _leaf_schema(path), STRICT_JSON))
+    return (df.withColumn(staged, whole_object(document, _leaf_schema(path)))
             .select(*others, *once({name: text})))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldthread.functions.extract import whole_json
 from goldthread.functions.text import utf8_or_hex, utf8_text
 from goldthread.operators.sizing import semi_join
 
@@ -116,7 +117,7 @@ def flatten_cells(cells: DataFrame, columns: Sequence[tuple[str, str]]) -> DataF
 def cell_json(value: Column) -> Column:
     """A cell as JSON: objects and arrays as they are, other text quoted, bad UTF-8 as quoted hex."""
     text = utf8_text(value)
-    is_json = text.rlike(r"^[\[{]") & F.try_parse_json(text).isNotNull()
+    is_json = text.rlike(r"^[\[{]") & whole_json(text).isNotNull()
     return F.when(is_json, text).otherwise(quoted_json(utf8_or_hex(value)))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldthread.functions.casts import to_target
+from goldthread.functions.extract import whole_json
 from goldthread.functions.formats import DATE_FORMATS, TIMESTAMP_FORMATS
 from goldthread.functions.text import col, plain_text, variant_text
 
@@ -91,6 +92,6 @@ def serialize_nested(df: DataFrame) -> DataFrame:
 def parse_json_fields(df: DataFrame, fields: Sequence[str] = ("profiles",)) -> DataFrame:
     """Text columns as VARIANT: the parsed document, or the text itself where it is not valid JSON."""
     return df.withColumns({
-        name: F.coalesce(F.try_parse_json(col(name)), col(name).cast("variant"))
+        name: F.coalesce(whole_json(col(name)), col(name).cast("variant"))
         for name in fields
         if name in df.columns and isinstance(df.schema[name].dataType, T.StringType)})

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldthread.functions.extract import CLOSE, OPEN, whole_json
+
 # Target type names; every other name is a string column.
 TYPE_NAMES: dict[str, T.DataType] = {
     "INT64": T.LongType(),
@@ -53,12 +55,16 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines with a known schema, or one VARIANT column ``value`` when the shape is open.
 
-    In the open form a line that is not valid JSON is an error, as it would be for a typed read in
-    FAILFAST mode.
+    A line that is not exactly one JSON value is an error: what follows a first value is not overlooked. Blank lines are left out.
     """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    others = [c for c in lines.columns if c != "value"]
     if schema is not None:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return spark.read.text(path).select(F.parse_json("value").alias("value"))
+        inside = T.ArrayType(T.StructType([T.StructField("v", T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)]))
+        row = F.from_json(F.concat(F.lit(OPEN), F.col("value"), F.lit(CLOSE)), inside, {"mode": "FAILFAST"})
+        return lines.select(F.get(row, F.lit(0)).alias("row"), *others).select("row.v.*", *others)
+    wrong = F.raise_error(F.concat(F.lit("not one JSON value: "), F.substring("value", 1, 200)))
+    return lines.select(F.coalesce(whole_json(F.col("value")), wrong.cast("string").cast("variant")).alias("value"), *others)
 
 
 def schema_from_list(fields: Iterable[Mapping[str, Any]]) -> T.StructType:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from goldthread.functions.calendar import (
     drop_window_columns, partition_columns, with_run_partitions, with_run_partitions_from_text, with_window_path)
+from goldthread.functions.extract import extract_paths, with_json_value
+from goldthread.operators.cells import cell_json
 from goldthread.operators.normalize import parse_json_fields
 from goldthread.plans.batch import write_run
 from goldthread.session import shared_dir
@@ -244,6 +246,46 @@ def test_exists_and_parse_json(spark):
     assert [r[0] for r in got] == ['{"a":1}', '"{bad"', None]
 
 
+WHOLE = ['{"a": 1}', ' {"a":{"b":[1,{}]}}\n', "[1,2]", "12", "-1.5e3", "true", "null", '"x, \\"y\\": {"', '"é"', " 7 "]
+BROKEN = ['{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}\n{"b":2}', '{"a":1}x', '{"a":1,}', "1,2", '1,"w":2', '"a","w":"b"', "[1][2]", "", "  ", "{", "tru",
+          '"open', "}", "{},", '{"a":1}}', "nul l"]
+
+
+def test_json_is_one_whole_value(spark):
+    """Nothing behind a first value is overlooked: such text is no JSON and stays text."""
+    docs = spark.createDataFrame([(t,) for t in WHOLE + BROKEN], "profiles string")
+    got = parse_json_fields(docs).select(F.to_json("profiles").alias("x")).collect()
+    for text, row in zip(WHOLE + BROKEN, got):
+        assert json.loads(row.x) == (json.loads(text) if text in WHOLE else text)
+    cells = docs.select(cell_json(F.col("profiles").cast("binary")).alias("x")).collect()
+    for text, row in zip(WHOLE + BROKEN, cells):
+        whole = text in WHOLE and text[:1] in "[{"
+        assert json.loads(row.x) == (json.loads(text) if whole else text)
+
+
+def test_two_objects_in_a_text_are_none(spark):
+    docs = spark.createDataFrame([('{"a":1}{"b":2}',), ('{"a":{"c":"x"}}{"a":{"c":"y"}}',), ('{"a":{"c":"z"}} ',), ('{"a":"{\\"c\\":1}{\\"c\\":2}"}',)], "doc string")
+    got = [r.v for r in with_json_value(docs, "v", F.col("doc"), ("a", "c")).collect()]
+    assert got == [None, None, "z", None]
+    found = extract_paths(docs, {"deep": ["doc", "a", "c"], "top": ["doc", "a"]})
+    assert [(r.deep, r.top) for r in found.collect()] == [(None, None), (None, None), ("z", '{"c":"z"}'), (None, '{"c":1}{"c":2}')]
+
+
+def test_json_lines_with_more_than_one_value_are_an_error(spark):
+    path = shared_dir(spark, "lines")
+    spark.createDataFrame([('{"k":"a","v":1}',), ("",), ('{"v":2}',)], "value string").coalesce(1).write.text(path)
+    assert {tuple(r) for r in readers.read_json_lines(spark, path, "k string, v bigint").collect()} == {("a", 1), (None, 2)}
+    assert sorted(r[0] for r in readers.read_json_lines(spark, path).select(F.to_json("value")).collect()) == ['{"k":"a","v":1}', '{"v":2}']
+    for line in ('{"k":"a"}{"k":"b"}', '{"k":"a"},{"k":"b"}', "{", '{"v":"x"}'):
+        bad = shared_dir(spark, "lines")
+        spark.createDataFrame([(line,)], "value string").write.text(bad)
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            readers.read_json_lines(spark, bad, "k string, v bigint").collect()
+        if line != '{"v":"x"}':
+            with pytest.raises(Exception, match="not one JSON value"):
+                readers.read_json_lines(spark, bad).collect()
+
+
 def test_scratch_lies_in_a_shared_folder(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
