@@ -33,6 +33,8 @@ CLOSED_BY_SIBLING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt",
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Share of the score of content paths that the container of an article without <article> or <main> holds.
 MOST = 0.9
+#: Share of the best part's score from which an equal part beside it belongs to the same text.
+PART = 0.25
 #: Elements that never hold the article, by name, and by a word of their class, id or role.
 ASIDE_TAGS = {"nav", "footer", "header", "aside", "form", "button", "dialog", "menu", "head"}
 ASIDE_WORDS = {
@@ -199,7 +201,7 @@ def main_text(page: str, threshold: float = 0.5) -> str:
 
     Blocks under elements that never hold the article are left out first. Paths whose fused ratio reaches
     ``threshold`` standard deviations are content. If some of it is in an article or main part, that with most score is
-    kept whole. Otherwise the container is the deepest that holds ``MOST`` of the score, with other blocks on its content
+    kept whole, and so are the parts beside it of the same kind with at least ``PART`` of its score. Otherwise the container is the deepest that holds ``MOST`` of the score, with other blocks on its content
     paths; kept are content paths, headings, and what stands between them and is not mostly links.
     """
     blocks = [b for b in blocks_of(page)
@@ -220,8 +222,12 @@ def main_text(page: str, threshold: float = 0.5) -> str:
         for depth, e in enumerate(reversed([*b.chain()])):
             worth[depth, id(e)] += value
     if named:
-        root = max(named, key=named.get)
-        return " ".join(b.text for b in blocks if any(id(e) == root for e in b.chain()))
+        best = max(named, key=named.get)
+        element = {id(e): e for b in blocks for e in b.chain()}
+        # Parts of one text: elements of one kind, side by side, that hold content paths too.
+        parts = {i for i, value in named.items() if value >= PART * named[best] and element[i].label == element[best].label
+                 and element[i].parent is element[best].parent}
+        return " ".join(b.text for b in blocks if any(id(e) in parts for e in b.chain()))
     most = MOST * max(worth.values())
     # The children of the deepest such element are the article; one block of text that holds most of it is none.
     _, root = max((k for k, v in worth.items() if v >= most), key=lambda k: k[0])

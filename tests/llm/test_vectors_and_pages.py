@@ -111,6 +111,14 @@ def test_whole_article(page):
     assert main_text(page) == f"Head {LONG}1 {LONG}2 {LONG}3"
 
 
+@pytest.mark.parametrize("page", [
+    "<div><article class=part><h1>Head</h1><p>{0}1</p></article><article class=part><p>{0}2</p><p>{0}3</p></article></div><article class=card>Teaser.</article>",
+    "<article><h1>Head</h1><p>{0}1</p></article><article><p>{0}2</p></article><article><p>{0}3</p></article>",
+    "<article><h1>Head</h1><p>{0}1</p><p>{0}2</p><p>{0}3</p></article><article><p><a href=x>More</a></p></article>"])
+def test_article_in_parts(page):
+    assert main_text("<body>" + page.format(LONG) + "</body>") == f"Head {LONG}1 {LONG}2 {LONG}3"
+
+
 def test_pages(spark):
     folder = "/root/testdata/sf0.01"
     want = {}
