@@ -290,6 +290,8 @@ ORACLES: dict[str, str] = {
         WHERE user_id = (SELECT user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)""",
     "reconcile_backfill": _reconciled(f"ts <= {CUTOFF} AND coalesce(member_number, '') <> ''"),
     "reconcile_incremental": _reconciled(f"{PERIOD} AND member_number IS NOT NULL"),
+    "reconcile_since_mark": _reconciled(
+        f"ts > (SELECT max(ts) FROM events WHERE ts <= {CUTOFF}) AND member_number IS NOT NULL"),
     "reconcile_with_step": f"""
         SELECT member_number, k FROM (
           {_reconciled(f"ts <= {CUTOFF} AND coalesce(member_number, '') <> ''", "CAST(n.k AS BIGINT) + 1000")})""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from goldthread.operators.normalize import (
 from goldthread.operators.reconcile import reconcile
 from goldthread.operators.routing import attempt, split_routes
 from goldthread.operators.sizing import BROADCAST_ROWS, semi_join
-from goldthread.plans.batch import BatchJob, backfill, in_period, incremental, write_run
+from goldthread.plans.batch import BatchJob, backfill, in_period, incremental, run_since_mark, write_run
 from goldthread.session import shared_dir
 from goldthread.sources import readers, sinks, state
 from goldthread.streaming.messages import deduplicate, event_keys, file_messages
@@ -559,6 +559,18 @@ def reconcile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         views.newest_event(spark, sf_dir), "2 hours").withColumn("joined", F.col("joined").cast("string"))
 
 
+def reconcile_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs from one high-water mark: all events up to the cut-off, then what has come since; the rows of the second."""
+    mark, path = shared_dir(spark, "mark"), shared_dir(spark, "marked-runs")
+    personas, members, mapping = views.personas(spark, sf_dir), views.members(spark, sf_dir), views.mapping(spark)
+    early = personas.filter(F.col("timestamp") <= F.lit(CUTOFF).cast("timestamp"))
+    for rows, run_time in ((early, RUN_TIME), (personas, RUN_TIME + timedelta(hours=1)), (personas, RUN_TIME + timedelta(hours=2))):
+        run_since_mark(rows, members, mapping, batch_job(), mark, path, run_time, shards=4)
+    # The third run found nothing new and wrote no folder.
+    second = spark.read.parquet(path).filter(F.col("run_dt") != "2024020101")
+    return second.select(*batch_job().schema.names).withColumn("joined", F.col("joined").cast("string"))
+
+
 def reconcile_with_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill with a caller's own frame-to-frame step."""
     base = batch_job()

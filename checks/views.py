@@ -55,7 +55,7 @@ def plain_mapping(spark: SparkSession) -> DataFrame:
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several rows per key; every third customer is missing, so that some personas are of new members."""
-    return all_members(spark, sf_dir).filter("CAST(member_number AS BIGINT) % 3 <> 0")
+    return all_members(spark, sf_dir).filter("try_cast(member_number AS BIGINT) % 3 <> 0")
 
 
 def all_members(spark: SparkSession, sf_dir: str) -> DataFrame:

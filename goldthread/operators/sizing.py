@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 500_000
+#: Bounds of a broadcast: rows, and bytes of them; a row has some bytes of its own.
+BROADCAST_ROWS, BROADCAST_BYTES, ROW_BYTES = 500_000, 64 << 20, 16
 METADATA_ROWS = 20_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by a distributed count.
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes, by one distributed aggregate.
 
     A limit before the count would not be cheaper: every task would send up to that many rows to
-    the one task that cuts them down.
+    the one task that cuts them down. Long texts count by their bytes, nested values by those of their JSON text.
     """
-    return df.count() <= max_rows
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).head()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    def of(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name.replace('`', '``')}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0))
+        if isinstance(field.dataType, (T.StructType, T.MapType, T.ArrayType, T.VariantType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+        return F.lit(0)
+
+    return sum((of(f) for f in df.schema.fields), F.lit(ROW_BYTES + 8 * len(df.columns)))
 
 
 def metadata_rows(df: DataFrame, max_rows: int = METADATA_ROWS) -> list[Row]:

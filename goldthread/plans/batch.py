@@ -20,6 +20,7 @@ from goldthread.operators.reconcile import choose_values, row_hash
 from goldthread.operators.sizing import BROADCAST_ROWS, fits
 from goldthread.session import shared_dir
 from goldthread.sources.sinks import write_parquet
+from goldthread.sources.state import newer_than_mark, newest_value, read_mark, save_mark
 
 MEMBER = "__member_id"
 PERIOD = "2 hours"
@@ -69,9 +70,16 @@ def incremental(
     to cut the member table down before it is shuffled.
     """
     reference = F.current_timestamp() if now is None else now
-    recent = with_member_id(personas.filter(in_period(job.timestamp, reference, period)), job)
+    recent = personas.filter(in_period(job.timestamp, reference, period))
+    return _recent(recent, members, mapping, job, broadcast_rows)
+
+
+def _recent(
+    personas: DataFrame, members: DataFrame, mapping: DataFrame, job: BatchJob, broadcast_rows: int | None,
+) -> DataFrame:
+    recent = with_member_id(personas, job)
     if broadcast_rows is not None:
-        # Written, so the period is read and parsed for its keys once and not for the count and the broadcast again.
+        # Written, so the rows are read and parsed for their keys once and not for the count and the broadcast again.
         path = shared_dir(personas.sparkSession, "period-keys")
         recent.select(F.col(MEMBER).alias(job.pk)).filter(F.col(job.pk).isNotNull()).distinct().write.parquet(path)
         keys = personas.sparkSession.read.parquet(path)
@@ -80,6 +88,33 @@ def incremental(
     return _reconciled(recent, members, mapping, job)
 
 
+def run_since_mark(
+    personas: DataFrame,
+    members: DataFrame,
+    mapping: DataFrame,
+    job: BatchJob,
+    mark_path: str,
+    path: str,
+    run_time: datetime,
+    shards: int | None = None,
+    broadcast_rows: int | None = BROADCAST_ROWS,
+) -> None:
+    """Reconcile the personas that are newer than the high-water mark, write the run, and raise the mark.
+
+    The rows of a run end at the newest timestamp there is when it starts, so what arrives meanwhile is left to the
+    next run. The mark is raised after the write: a run that dies is done again by the next call, which replaces the
+    folder if its run time is the same. Without newer rows nothing is written and the mark stays.
+    """
+    spark = personas.sparkSession
+    newer = newer_than_mark(personas, job.timestamp, read_mark(spark, mark_path))
+    until = newest_value(newer, job.timestamp)
+    if until is None:
+        return
+    rows = _recent(newer.filter(F.col(job.timestamp) <= until), members, mapping, job, broadcast_rows)
+    write_run(rows, path, run_time, shards)
+    save_mark(spark.range(1).select(until.alias("newest")), "newest", mark_path)
+
+
 def backfill(
     personas: DataFrame, members: DataFrame, mapping: DataFrame, job: BatchJob, cutoff: Column,
 ) -> DataFrame:

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldthread.plans.batch import BatchJob, backfill, incremental
+from goldthread.operators.sizing import fits
+from goldthread.plans.batch import BatchJob, backfill, incremental, run_since_mark
 from goldthread.session import shared_dir
+from goldthread.sources.state import newer_than_mark, newest_value, read_mark, save_mark
 from goldthread.streaming.messages import MESSAGE_SCHEMA, deduplicate, event_keys, file_messages, from_queue_records
 from goldthread.streaming.realtime import RealtimeJob, run_batch, start_realtime
 from goldthread.streaming.refresh import MappingRefresh
@@ -88,6 +90,53 @@ def test_key_from_another_path_keeps_one_row_per_key(spark):
         rows(backfill(some, members(spark), mapping(spark, member_number=""), JOB, F.lit(NOW)))
 
 
+def test_runs_from_a_mark(spark):
+    """Each run takes what is newer than the last one's newest row; the mark is raised behind the write only."""
+    mark, path = shared_dir(spark, "mark"), shared_dir(spark, "runs")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMA.fields) + ", run_dt string"
+
+    def run(ids, hour, job=JOB):
+        run_since_mark(personas(spark).filter(F.col("id").isin(ids)), members(spark), mapping(spark), job, mark, path, datetime(2024, 1, 20, hour))
+        found = spark.read.schema(kinds).parquet(path).filter(F.col("run_dt") == f"20240120{hour + 7:02}").collect()
+        return {r.member_number: r.email for r in found}
+
+    assert run([1, 3, 7], 1) == {"a": "old", "b": "", "late": ""}
+    # What is not newer than the mark was seen; without newer rows there is no folder and the mark stays.
+    assert run([1, 3, 7], 2) == {} and run([2, 3, 7, 4], 3) == {"a": "", "": "blank"}
+
+    def fails(df):
+        raise RuntimeError("a step fails")
+
+    with pytest.raises(RuntimeError):
+        run([2, 8], 4, BatchJob(SCHEMA, persona_order=("timestamp", "id"), steps=(fails,)))
+    assert run([2, 8], 5) == {"future": ""} and run([2, 8], 6) == {}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_a_mark_holds_in_every_zone(spark, kind):
+    path = shared_dir(spark, "mark")
+    conf, before = spark.conf, spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.range(5).select("id", (F.timestamp_micros(F.lit(1_704_067_200_000_001) + F.col("id") * 3_600_000_000)).alias("ts"))
+    if kind == "timestamp_ntz":
+        rows = spark.range(5).selectExpr("id", "timestampadd(HOUR, id, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS ts")
+    try:
+        save_mark(rows.filter("id <= 2"), "ts", path)
+        for zone in ("Asia/Tokyo", "America/New_York", "UTC"):
+            conf.set("spark.sql.session.timeZone", zone)
+            assert [r.id for r in newer_than_mark(rows, "ts", read_mark(spark, path)).collect()] == [3, 4]
+            assert rows.filter(F.col("ts") <= newest_value(rows, "ts")).count() == 5
+            save_mark(rows.filter("id <= 2"), "ts", path)
+    finally:
+        conf.set("spark.sql.session.timeZone", before)
+    assert newest_value(rows.limit(0), "ts") is None
+
+
+def test_what_fits_is_counted_in_rows_and_bytes(spark):
+    rows = spark.range(100).select(F.repeat(F.lit("é"), 50).alias("k"), F.struct(F.lit("x").alias("y")).alias("s"))
+    assert fits(rows, 100) and not fits(rows, 99) and fits(rows.limit(0), 0)
+    assert not fits(rows, 100, 12_000) and fits(rows, 100, 17_000)
+
+
 def test_backfill_join_needs_one_shuffle_per_side(spark):
     plan = backfill(personas(spark), members(spark), mapping(spark), JOB, F.lit(NOW))
     text = plan._jdf.queryExecution().executedPlan().toString()
