@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -53,6 +54,18 @@ def with_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.monotonically_increasing_id().alias(ROW))
 
 
+def stretches(data: bytes, stop: re.Pattern, most: int) -> Iterator[bytes]:
+    """A long text cut before the first ``stop`` behind every ``most`` bytes, so that what is made of it at a time stays small."""
+    at = 0
+    while at < len(data) or at == 0:
+        found = stop.search(data, at + most)
+        end = found.start() if found else len(data)
+        yield data[at:end]
+        if end == len(data):
+            return
+        at = end
+
+
 def text_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """A text column with null as the empty text."""
     return pc.fill_null(batch.column(column).cast(pa.large_string()), "")

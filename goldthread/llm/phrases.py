@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import bound_batches, slices, text_of, written
+from goldthread.llm.common import bound_batches, slices, stretches, text_of, written
 from goldthread.llm.words import Hashed, mix
 
 #: Occurrences from which a phrase is a candidate, words of the longest one, and phrases returned per language.
@@ -24,6 +25,7 @@ SHORT = 40
 FILTER_BITS, FILTER_LEAST, FILTER_MOST, FILTER_PARTS = 12, 16, 29, 16
 #: Words of more than this share of all words have their stripes cut into ``PARTS``; there are fewer than ``1 / WIDE`` of them.
 WIDE, PARTS = 0.001, 32
+_STOP = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _BLANK = np.zeros(256, bool)
@@ -172,6 +174,11 @@ def _blocks(batches) -> Iterator[Tokens]:
         for part in slices(batch, most=BLOCK):
             texts = text_of(part)
             own = pc.sum(pc.binary_length(texts)).as_py() or 0
+            if len(texts) == 1 and own > BLOCK:
+                # A long text is cut where a piece ends.
+                for cut in stretches(texts[0].as_py().encode(), _STOP, BLOCK):
+                    yield Tokens(pa.array([cut], pa.large_binary()).cast(pa.large_string()), ["und" if x is None else x for x in part.column("lang").to_pylist()])
+                continue
             if held and size + own > BLOCK:
                 yield Tokens(pa.concat_arrays(held), langs)
                 held, langs, size = [], [], 0

@@ -10,18 +10,22 @@ replaced by their ids in arrays. Texts with a special string of the tokenizer go
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from goldthread.llm.common import stretches
 from goldthread.llm.words import Hashed, mix
 
 #: The special strings of the tokenizer file, and the id of the last one.
 SPECIAL, BETWEEN, BETWEEN_ID = (b"<|startoftext|>", b"<|endoftext|>"), "<|endoftext|>", 49407
 #: Pieces that a worker keeps, bytes of the longest one kept, and characters that the library is given at once.
 CACHE_PIECES, LONG, JOINED_CHARS = 400_000, 256, 4_000
+#: Bytes of a single text from which it is cut, at white space.
+STRETCH, _WHITE = 4 << 20, re.compile(rb"[\x20\x09-\x0D]")
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -239,6 +243,13 @@ class Pieces:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (without nulls), one after the other, or none with ``counts``; and where each text's end."""
+        if len(texts) == 1 and pc.binary_length(texts)[0].as_py() > STRETCH:
+            cuts = pa.array([*stretches(texts[0].as_py().encode(), _WHITE, STRETCH)], pa.large_binary()).cast(pa.large_string())
+            ids, ends = zip(*(self._of(cuts.slice(i, 1)) for i in range(len(cuts))))
+            return np.concatenate(ids), np.array([0, sum(e[-1] for e in ends)])
+        return self._of(texts)
+
+    def _of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.table.key) > self.most or self.used > 16 * self.most:
             self._forget()
         split = Split(texts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import bound_batches, slices, text_of, written
+from goldthread.llm.common import bound_batches, slices, stretches, text_of, written
 from goldthread.llm.components import components
 from goldthread.llm.gray_index import TILE, GrayIndex, gray_rank, shared_bits
 
@@ -24,24 +25,35 @@ CROWD = 64
 HOT = 0.001
 #: Fingerprints of whole groups that a task handles at once.
 _HELD = 1 << 16
+#: Bytes of a text whose words are told apart at once.
+_STRETCH, _SPACE = 1 << 20, re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(data: bytes) -> int:
-    """The SimHash of one text: a bit is set if it is set in over half of the shingles' hashes."""
-    words = data.lower().split()
-    if not words:
-        return 0
+def _add_votes(votes: np.ndarray, words: list[bytes]) -> int:
+    """Count the set bits of the hashes of all shingles of these words, one of all if they are few; how many there are."""
     flat = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = [0, *ends[:-1].tolist()]
     last = (ends - 1).tolist()[min(SHINGLE, len(words)) - 1:]
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(flat[a:b], SEED) for a, b in zip(starts, last)), np.uint64, len(last))
-    votes = np.zeros(64, np.int64)
     for low in range(0, len(hashes), 1 << 16):
         part = hashes[low:low + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
         votes += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(hashes)).tobytes(), "big")
+    return len(hashes)
+
+
+def fingerprint(data: bytes) -> int:
+    """The SimHash of one text: a bit is set if it is set in over half of the shingles' hashes."""
+    votes, n, words = np.zeros(64, np.int64), 0, []
+    for part in stretches(data, _SPACE, _STRETCH):
+        words += part.lower().split()
+        if len(words) >= SHINGLE:
+            n += _add_votes(votes, words)
+            words = words[1 - SHINGLE:]
+    if n == 0 and words:
+        n = _add_votes(votes, words)
+    return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -79,6 +79,8 @@ def test_blocks_and_cut_stripes(monkeypatch):
     """Small blocks, every word very common, and a filter that lets everything through give the same counts."""
     texts = spoken(7, 80)
     batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in texts], "lang": [x for _, x in texts]})
+    texts += [("".join(t for t, _ in texts[:30]), "en")]
+    batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in texts], "lang": [x for _, x in texts]})
     monkeypatch.setattr(phrases, "BLOCK", 500)
     counts = Counter()
     for tokens in phrases._blocks([batch]):

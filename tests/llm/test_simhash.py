@@ -55,6 +55,13 @@ def same_partition(a, b) -> bool:
     return all(len(v) == 1 for v in ways.values()) and len(ways) == len(set(b))
 
 
+@pytest.mark.parametrize("stretch", [1, 7, 50])
+def test_long_texts_are_taken_in_stretches(monkeypatch, stretch):
+    monkeypatch.setattr(simhash, "_STRETCH", stretch)
+    for text in ("", " ", "a", "A b", "a  b\tc ", "one two three four", " one two three four five", prose(3, 90), "x" * 200 + " y", "é 漢字 ß\n" * 9):
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
 def test_gray_neighbours_differ_in_one_bit():
     codes = np.arange(1024, dtype=np.uint64)
     ordered = codes[np.argsort(gray_rank(codes))]

@@ -52,6 +52,14 @@ def test_a_full_cache_changes_nothing():
         assert len(small.table.key) <= 12
 
 
+def test_long_texts_are_cut(monkeypatch):
+    monkeypatch.setattr(pieces, "STRETCH", 20)
+    for text in ("one two  three four, five. " * 9, "a" * 90, "x <|endoftext|> y <|endoftext|>z" * 3, "é" * 30 + " ß " * 30):
+        for counts in (True, False):
+            found, ends = Pieces(WORD_BPE, counts).of(texts_of([text]))
+            assert ends.tolist() == [0, len(ids(text))] and (counts or found.tolist() == ids(text))
+
+
 def test_pieces_of_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(pieces.Hashed, "of", lambda self, starts, ends: np.zeros(len(starts), np.uint64))
     same = Pieces(WORD_BPE)
