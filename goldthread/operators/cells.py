@@ -17,7 +17,7 @@ from goldthread.operators.sizing import semi_join
 
 CELL = ("row_key", "family", "qualifier")
 WHOLE_ROW = "value"  # fixed value: qualifier of a family that is one document
-SPREAD = "__spread"
+SPREAD, COPIES = "__spread", "__copies"
 BUCKET = "key_bucket"  # partition column of a bucketed cell table
 
 
@@ -163,21 +163,25 @@ def enrich_by_key(
     key: str,
     families: Sequence[str] = ("profiles",),
     broadcast_rows: int | None = None,
-    spread: int = 8,
+    spread: int = 200,
 ) -> DataFrame:
     """Events with the documents of their row; an event without a row is dropped.
 
     Keys are looked up once, however many events have them: of a bucketed cell table only the folders of the
     keys are opened, their cells are cut down to the keys (broadcast with ``broadcast_rows`` if they are counted to be
-    that few), and every row is reduced to its newest cells. The documents found are then laid out ``spread``
-    times, and the events of a key are dealt over these copies, so that a key with most of the events
-    is joined in ``spread`` tasks.
+    that few), and every row is reduced to its newest cells. A key with more than one part in ``spread`` of the events gets a
+    copy of its documents for each such part, over which its events are dealt: a key with a third of the events is joined in
+    ``spread / 3`` tasks, and the documents of all other keys are laid out once. There are fewer than ``spread`` such keys.
     """
-    keys = events.select(F.col(key).alias("row_key")).filter("row_key IS NOT NULL").distinct()
-    documents = row_documents(cells_by_keys(cells, keys, broadcast_rows), families).withColumnRenamed("row_key", key)
-    dealt = events.withColumn(SPREAD, F.pmod(F.xxhash64(*_hashable(events)), F.lit(spread)))
-    copies = documents.withColumn(SPREAD, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
-    return dealt.join(copies, [key, SPREAD]).drop(SPREAD)
+    counts = events.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("row_key")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n")).scalar()
+    hot = F.broadcast(counts.select(F.col("row_key").alias(key), F.ceil(F.col("n") * spread / total).cast("int").alias(COPIES))
+                      .filter(F.col(COPIES) > 1))
+    documents = row_documents(cells_by_keys(cells, counts.select("row_key"), broadcast_rows), families).withColumnRenamed("row_key", key)
+    copies = F.coalesce(F.col(COPIES), F.lit(1))
+    dealt = events.join(hot, key, "left").withColumn(SPREAD, F.pmod(F.xxhash64(*_hashable(events)), copies).cast("int")).drop(COPIES)
+    laid = documents.join(hot, key, "left").withColumn(SPREAD, F.explode(F.sequence(F.lit(0), copies - 1))).drop(COPIES)
+    return dealt.join(laid, [key, SPREAD]).drop(SPREAD)
 
 
 def _hashable(df: DataFrame) -> list[Column]:

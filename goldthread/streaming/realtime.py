@@ -52,8 +52,8 @@ class RealtimeJob:
     window: str = "5 minutes"
     month: str = WINDOW_MONTH
     broadcast_rows: int = BROADCAST_ROWS
-    # Tasks that share the events of a hot key.
-    spread: int = 8
+    # Parts of a batch: a key that has more than one of them is joined by as many tasks.
+    spread: int = 200
 
 
 def look_up(messages: DataFrame, cells: DataFrame, job: RealtimeJob) -> DataFrame:

@@ -85,6 +85,20 @@ def test_events_of_a_hot_key_are_shared_by_tasks(spark):
     assert max(r["count"] for r in tasks) < 0.35 * 40_000
 
 
+def test_only_hot_keys_are_laid_out_more_than_once(spark):
+    """Keys with nulls, without a row, hot and cold: each event is found once, whatever the spread."""
+    keys = [None] * 3 + ["none"] * 9 + ["hot"] * 50 + [f"k{i % 30}" for i in range(60)]
+    events = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k string")
+    cells = spark.createDataFrame(
+        [(k, "profiles", "value", datetime(2024, 1, 1), bytearray(b'{"x":1}')) for k in ["hot", *{f"k{i}" for i in range(29)}]],
+        "row_key string, family string, qualifier string, ts timestamp, value binary")
+    want = sorted(i for i, k in enumerate(keys) if k not in (None, "none", "k29"))
+    for spread in (1, 5, 1000):
+        got = enrich_by_key(events, cells, "k", spread=spread)
+        assert sorted(r.id for r in got.collect()) == want and set(got.columns) == {"id", "k", "profiles"}
+    assert enrich_by_key(events.limit(0), cells, "k").count() == 0
+
+
 def test_row_maps_hold_every_qualifier(spark):
     cells = cell_table(spark, [("a", "f", "q", T0, "1"), ("a", "f", "q", T1, "2"), ("a", "g", "r", T0, "3"), ("b", "g", "z", T0, "4")])
     assert {r.row_key: r.cells for r in row_maps(cells).collect()} == {"a": {"f:q": "2", "g:r": "3"}, "b": {"g:z": "4"}}
