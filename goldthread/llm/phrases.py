@@ -19,8 +19,8 @@ from goldthread.llm.words import Hashed, mix
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: Bytes of text that are counted together before their stripes are given out; a worker needs some 150 MB for them.
 BLOCK = 1 << 20
-#: Bits of a phrase's hash by which phrases are counted before their words are looked at.
-SHORT = 40
+#: Words per part of the hashes of phrases, fewest parts, and bits of a hash within a part.
+PART_WORDS, FEWEST_PARTS, IN_PART = 1 << 20, 64, 32
 #: Bits of a filter per phrase, and bounds of its size (as powers of two): 64 MB at the most.
 FILTER_BITS, FILTER_LEAST, FILTER_MOST, FILTER_PARTS = 12, 16, 29, 16
 #: Words of more than this share of all words have their stripes cut into ``PARTS``; there are fewer than ``1 / WIDE`` of them.
@@ -98,18 +98,14 @@ class Tokens:
         return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[places])])
 
 
-def short(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - SHORT)
-
-
 class Seen:
-    """A filter of bounded size: phrases whose short hash it was given are always found, others now and then."""
+    """A filter of bounded size: phrases of whose hash it was given the first ``short`` bits are always found, others now and then."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.size = bits, 8 * len(bits)
+    def __init__(self, bits: np.ndarray, short: int):
+        self.bits, self.size, self.short = bits, 8 * len(bits), short
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        slot = mix(short(hashes)) % np.uint64(self.size)
+        slot = mix(hashes >> np.uint64(64 - self.short)) % np.uint64(self.size)
         return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -216,8 +212,8 @@ def _phrase_hash(langs: list[str], phrases: list[str]) -> np.ndarray:
     return mix(hashed.of(np.concatenate([[0], ends[:-1]]), ends) ^ np.array([salts[x] for x in langs], np.uint64)) if raw else np.zeros(0, np.uint64)
 
 
-def seen_filter(hashes: DataFrame) -> Seen:
-    """A filter of the short hashes ``gram``: as large as their number asks for, up to a bound; beyond, it lets more through."""
+def seen_filter(hashes: DataFrame, short: int) -> Seen:
+    """A filter of the hashes ``gram`` of ``short`` bits: as large as their number asks for, up to a bound; beyond, it lets more through."""
     rows = hashes.count()
     power = min(FILTER_MOST, max(FILTER_LEAST, int(rows * FILTER_BITS).bit_length()))
     size, width = 1 << power, (1 << power) // FILTER_PARTS
@@ -241,36 +237,65 @@ def seen_filter(hashes: DataFrame) -> Seen:
     for row in hashes.select("gram").mapInArrow(place, "slot long, part long").repartition(FILTER_PARTS, "part").mapInArrow(
             fill, "part long, bits binary").toLocalIterator():
         bits[row.part * width // 8:(row.part + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
-    return Seen(bits)
+    return Seen(bits, short)
 
 
-def word_hashes(words: DataFrame) -> DataFrame:
-    """The short hash ``gram`` of each ``lang, word``."""
+def word_hashes(words: DataFrame, short: int) -> DataFrame:
+    """The first ``short`` bits ``gram`` of the hash of each ``lang, word``."""
     def hashed(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = _phrase_hash(batch.column("lang").to_pylist(), batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(short(h).astype(np.int64))})
+            yield pa.RecordBatch.from_pydict({"gram": pa.array((h >> np.uint64(64 - short)).astype(np.int64))})
 
     return words.select("lang", "word").mapInArrow(hashed, "gram long")
 
 
-def frequent_hashes(docs: DataFrame, words: Seen, least: int) -> DataFrame:
-    """Short hashes ``gram`` of all phrases of frequent words that occur ``least`` times, and of few others.
+def frequent_hashes(docs: DataFrame, words: Seen, least: int, short: int) -> DataFrame:
+    """The first ``short`` bits ``gram`` of the hashes of all phrases of frequent words that occur ``least`` times, and of few others.
 
-    Phrases of one short hash are counted as one, so none is missed. Most phrases are rare: a few bytes of them are shuffled.
+    Phrases of equal bits are counted as one, so none is missed. Most phrases are rare: tasks send the bits and counts of a block's phrases
+    as arrays, one for each part of the hashes; a part is added up as a whole and has about as many phrases whatever the input.
     """
     shared = docs.sparkSession.sparkContext.broadcast(words)
+    # A count of ``least`` says all there is to say.
+    kind = "<u1" if least < 256 else "<u4"
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         for tokens in _blocks(batches):
             ok = tokens.frequent(shared.value)
-            for m in range(2, LONGEST + 1):
-                at = tokens.phrases(ok, m)
-                gram, n = np.unique(short(tokens.hashes(at, m)), return_counts=True)
-                yield from _cut(pa.RecordBatch.from_pydict({"gram": pa.array(gram.astype(np.int64)), "n": pa.array(n.astype(np.int64))}))
+            hashes = np.concatenate([tokens.hashes(tokens.phrases(ok, m), m) for m in range(2, LONGEST + 1)])
+            gram, n = np.unique(hashes >> np.uint64(64 - short), return_counts=True)
+            n = np.minimum(n, least).astype(kind)
+            part = (gram >> np.uint64(IN_PART)).astype(np.int64)
+            starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[:len(part)]
+            gram, ends = gram.astype("<u4"), np.append(starts, len(part))
+            yield from _cut(pa.RecordBatch.from_pydict({
+                "part": pa.array(part[starts]), "grams": pa.array([gram[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+                "counts": pa.array([n[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())}), 1000)
+
+    def total(part: int, grams: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+        gram, n = np.frombuffer(b"".join(grams), "<u4"), np.frombuffer(b"".join(counts), kind)
+        order = np.argsort(gram)
+        gram = gram[order]
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        found = gram[first[np.add.reduceat(n[order].astype(np.int64), first) >= least]]
+        return pa.RecordBatch.from_pydict({"gram": pa.array(found.astype(np.int64) + (part << IN_PART))})
+
+    def add(batches) -> Iterator[pa.RecordBatch]:
+        now, grams, counts = None, [], []
+        for batch in batches:
+            for part, gram, n in zip(*(batch.column(c).to_pylist() for c in ("part", "grams", "counts"))):
+                if part != now and grams:
+                    yield from _cut(total(now, grams, counts))
+                    grams, counts = [], []
+                now = part
+                grams.append(gram)
+                counts.append(n)
+        if grams:
+            yield from _cut(total(now, grams, counts))
 
-    counted = docs.select("text", F.col("lang").cast("string")).mapInArrow(count, "gram long, n long")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("gram")
+    counted = docs.select("text", F.col("lang").cast("string")).mapInArrow(count, "part long, grams binary, counts binary")
+    return counted.repartition("part").sortWithinPartitions("part").mapInArrow(add, "gram long")
 
 
 def merged(stripes: DataFrame, least: int) -> DataFrame:
@@ -305,7 +330,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
 
     Stripes pattern: each prefix keys a stripe, the words that follow it with their counts. Tasks count stripes of blocks of text; stripes of
     one prefix are merged element by element. Very common words have stripes of many words, these are cut by the hash of the next
-    word. The stripe of the empty prefix, all words, is counted first; then short hashes of the phrases of frequent words are, so that
+    word. The stripe of the empty prefix, all words, is counted first; then the hashes of the phrases of frequent words are, so that
     stripes hold what may be a candidate only: a part of a candidate is as frequent as it is. From the merged stripes come the
     candidates, the total of a prefix, its element in the stripe of the prefix before it, and for each phrase the most frequent one-word
     extension: a longer candidate that subsumes a phrase lies within such an extension, which is as frequent or more.
@@ -322,8 +347,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     # Fewer than 1 / WIDE rows.
     common = frequent.filter(F.col("n") > WIDE * all_words).select("lang", "word").collect()
     wide = set(_phrase_hash([r.lang for r in common], [r.word for r in common]).tolist())
-    single = seen_filter(word_hashes(frequent))
-    grams = seen_filter(written(frequent_hashes(docs, single, least), "frequent"))
+    short = IN_PART + (max(FEWEST_PARTS, all_words // PART_WORDS) - 1).bit_length()
+    single = seen_filter(word_hashes(frequent, short), short)
+    grams = seen_filter(written(frequent_hashes(docs, single, least, short), "frequent"), short)
     candidates = written(merged(stripes(docs, single, grams, wide), least).select(
         "lang", "prefix", "word", F.concat_ws(" ", "prefix", "word").alias("phrase"), F.expr("words + 1").alias("m"), F.col("n").alias("a")), "candidates")
     counts = frequent.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).union(

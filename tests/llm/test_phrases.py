@@ -61,11 +61,11 @@ def rows_of(spark, texts, least=30, top=2000):
     return sorted(got)
 
 
-@pytest.mark.parametrize("seed,least,top", [(1, 30, 2000), (2, 3, 40), (3, 1, 10_000)])
+@pytest.mark.parametrize("seed,least,top", [(1, 30, 2000), (2, 3, 40), (3, 1, 10_000), (4, 300, 2000)])
 def test_equal_to_plain_counts(spark, seed, least, top):
     texts = spoken(seed, 250)
     want = plain_collocations(texts, least, top)
-    assert rows_of(spark, texts, least, top) == sorted(want) and len(want) > 20
+    assert rows_of(spark, texts, least, top) == sorted(want) and (want or least > 100)
 
 
 def test_odd_documents(spark):
@@ -108,9 +108,9 @@ def test_equal_hashes_are_told_apart(monkeypatch):
 
 def test_filter_holds_what_it_was_given(spark):
     given = [("en", f"w{i} x") for i in range(3000)]
-    seen = phrases.seen_filter(phrases.word_hashes(spark.createDataFrame(given, "lang string, word string")))
+    seen = phrases.seen_filter(phrases.word_hashes(spark.createDataFrame(given, "lang string, word string"), 40), 40)
     assert isinstance(seen, Seen) and seen.has(phrases._phrase_hash(*map(list, zip(*given)))).all()
-    assert phrases.seen_filter(spark.range(0).withColumnRenamed("id", "gram")).size >= 1 << 16
+    assert phrases.seen_filter(spark.range(0).withColumnRenamed("id", "gram"), 38).size >= 1 << 16
     other = phrases._phrase_hash(["en"] * 3000, [f"y{i} z" for i in range(3000)])
     assert seen.has(other).mean() < 0.2
 
