@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 1000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ROW = "__row"
 
 
