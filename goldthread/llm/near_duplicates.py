@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldthread.llm.common import ROW, bound_batches, slices, text_of, unused, with_rows, written
+from goldthread.llm.common import ROW, bound_batches, shared_path, slices, text_of, unused, with_rows, written
 from goldthread.llm.components import components
+from goldthread.llm.phrases import seen_filter
 from goldthread.llm.words import Words, divided, mix, shingles_of, words_of
 
 SIMILAR, BANDS, DRAWS = 0.8, 16, 4
@@ -25,6 +29,8 @@ SMALL, MOST_TURNS, REACH = 12, 4, 4
 WORTH = 0.05
 #: Documents of a bucket that are chained, or settled, together; beyond, groups and pairs of groups are.
 GROUP = 4096
+#: Candidate texts per bucket of their table.
+PLACED_ROWS = 4096
 #: Bins in which the shingles of a text are added up for a bound on its similarity, and how many of a coarser bound.
 BINS, COARSE = 512, 64
 _SEED = mix(np.arange(4096, dtype=np.uint64) + np.uint64(0xC0FFEE))
@@ -226,6 +232,39 @@ def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter("y IS NOT NULL AND x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _likely(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``node, text`` of the rows that are among ``members`` (``node``) and of few others: a filter of bounded size, no shuffle."""
+    shared = rows.sparkSession.sparkContext.broadcast(seen_filter(members.select(F.col("node").alias("gram")), 64))
+
+    def let_through(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.has(batch.column("node").to_numpy().astype(np.uint64))))
+
+    return rows.select(F.col(ROW).alias("node"), "text").mapInArrow(let_through, "node long, text string")
+
+
+@contextmanager
+def placed(texts: DataFrame, rows: int) -> Iterator[DataFrame]:
+    """``texts``, some ``rows``, as a table bucketed by ``node`` for as long as the block lasts: joins on ``node`` do not shuffle it.
+
+    The files are in the shared folder.
+    """
+    spark = texts.sparkSession
+    parts, name = max(1, math.ceil(rows / PLACED_ROWS)), f"placed_{uuid.uuid4().hex}"
+    texts.repartition(parts, "node").write.bucketBy(parts, "node").option("path", shared_path(spark, "candidates")).saveAsTable(name, format="parquet")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` with ``text_a`` and ``text_b``, from ``placed`` texts: pairs are shuffled, once with a text."""
+    for c in "ab":
+        pairs = pairs.join(texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")), c)
+    return pairs
+
+
 def _grouped(turn: int):
     """The group of a member in its bucket, of about ``GROUP`` members at the most; another one in each bucket and turn."""
     return F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / GROUP))
@@ -342,12 +381,18 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
     banded = nodes.select("node", "weight", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = written(banded.join(sizes, "band"), "buckets")
-    members = buckets.select("node").distinct()
-    texts = written(rows.select(F.col(ROW).alias("node"), "text").join(members, "node", "left_semi"), "candidates")
+    members = written(buckets.select("node").distinct(), "members")
+    with placed(_likely(rows, members).join(members, "node", "left_semi"), members.count()) as texts:
+        joined = _joined(buckets, texts, weights, similar)
+    owners = signed.select(ROW, "doc_id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left")
+    return owners.join(joined, "node", "left").select(
+        ROW, "doc_id", F.coalesce("component", "node", ROW).alias("component"))
 
+
+def _joined(buckets: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
+    """``node, component`` of the members of buckets that have a link; ``texts`` are read here only."""
     def compared(pairs: DataFrame) -> DataFrame:
-        sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-        return written(similarities(pairs.join(sides[0], "a").join(sides[1], "b"), weights), "compared")
+        return written(similarities(with_texts(pairs, texts), weights), "compared")
 
     seen = compared(_distinct_pairs(_neighbours(buckets, "weight")))
     def links() -> DataFrame:
@@ -378,9 +423,7 @@ def near_duplicate_classes(rows: DataFrame, similar: float = SIMILAR) -> DataFra
         seen = seen.union(more)
         if not more.filter(F.col("similarity") >= similar).isEmpty():
             joined = links()
-    owners = signed.select(ROW, "doc_id", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left")
-    return owners.join(joined, "node", "left").select(
-        ROW, "doc_id", F.coalesce("component", "node", ROW).alias("component"))
+    return joined
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:

@@ -177,6 +177,28 @@ def test_groups_of_a_hot_bucket_are_dealt_anew(spark, monkeypatch):
     assert len(met) > 400  # groups that stay allow about 100, and 15 heads in each turn
 
 
+def test_texts_of_candidates_are_shuffled_once(spark, monkeypatch):
+    rows = stable(spark, spark.createDataFrame([(i, f"text {i}") for i in range(2000)], "__row long, text string"))
+    members = stable(spark, spark.createDataFrame([(i,) for i in range(0, 2000, 50)], "node long"))
+    likely = near_duplicates._likely(rows, members)
+    assert {r.node for r in members.collect()} <= {r.node for r in likely.collect()} and likely.count() < 100
+    assert "Exchange" not in likely._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(near_duplicates, "PLACED_ROWS", 10)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with near_duplicates.placed(likely.join(members, "node", "left_semi"), 40) as texts:
+            joined = near_duplicates.with_texts(spark.createDataFrame([(0, 50), (50, 1950)], "a long, b long"), texts)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            # The pairs by each side, no text on its own.
+            assert plan.count("Exchange hashpartitioning") == 2 and plan.count("hashpartitioning(b") == 1
+            assert {(r.a, r.text_a, r.b, r.text_b) for r in joined.collect()} == {(0, "text 0", 50, "text 50"), (50, "text 50", 1950, "text 1950")}
+            assert texts.count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("placed_")]
+
+
 def test_weighted_similarity_and_draws():
     """Sets draw the same element as often as they are alike, and common shingles weigh less."""
     random = np.random.default_rng(0)
