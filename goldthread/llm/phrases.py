@@ -25,6 +25,8 @@ PART_WORDS, FEWEST_PARTS, IN_PART = 1 << 20, 64, 32
 FILTER_BITS, FILTER_LEAST, FILTER_MOST, FILTER_PARTS = 12, 16, 29, 16
 #: Words of more than this share of all words have their stripes cut into ``PARTS``; there are fewer than ``1 / WIDE`` of them.
 WIDE, PARTS = 0.001, 32
+#: Words of text per part of the packed stripes, bounds of the number of parts, and rows that are unpacked together.
+PACKED_WORDS, PACKED_LEAST, PACKED_MOST, UNPACKED_ROWS = 1 << 22, 32, 1024, 5000
 _STOP = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
@@ -161,6 +163,38 @@ def _stripes(tokens: Tokens, words: int, at: np.ndarray, wide: set) -> pa.Record
 
 
 _STRIPE = "lang string, words int, prefix string, part int, stripe array<struct<word:string,n:bigint>>"
+_STRIPE_SCHEMA = pa.schema([
+    ("lang", pa.string()), ("words", pa.int32()), ("prefix", pa.string()), ("part", pa.int32()),
+    ("stripe", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))])
+
+
+def _packed(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """Stripes in one compressed value for each part of the hashes of their prefixes."""
+    prefix = batch.column("prefix")
+    at = np.frombuffer(prefix.buffers()[1], np.int32)[prefix.offset:prefix.offset + len(prefix) + 1].astype(np.int64)
+    own = mix(Hashed(np.frombuffer(prefix.buffers()[2], np.uint8)).of(at[:-1], at[1:]) ^ batch.column("part").to_numpy().astype(np.uint64)) % np.uint64(parts)
+    order = np.argsort(own, kind="stable")
+    own, batch = own[order].astype(np.int64), batch.take(pa.array(order))
+    starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    raw = [batch.slice(a, b - a).serialize() for a, b in zip(starts, np.append(starts[1:], len(own)))]
+    codec = pa.Codec("zstd", 3)
+    return pa.RecordBatch.from_pydict({
+        "packed": pa.array(own[starts]), "size": pa.array([x.size for x in raw], pa.int64()),
+        "rows": pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())})
+
+
+def _unpacked(batches) -> Iterator[pa.RecordBatch]:
+    """The stripes of ``_packed``, some thousand rows at a time."""
+    codec, held, rows = pa.Codec("zstd"), [], 0
+    for batch in batches:
+        for size, packed in zip(batch.column("size").to_pylist(), batch.column("rows")):
+            held.append(pa.ipc.read_record_batch(codec.decompress(packed.as_buffer(), size), _STRIPE_SCHEMA))
+            rows += held[-1].num_rows
+            if rows >= UNPACKED_ROWS:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _blocks(batches) -> Iterator[Tokens]:
@@ -298,26 +332,34 @@ def frequent_hashes(docs: DataFrame, words: Seen, least: int, short: int) -> Dat
     return counted.repartition("part").sortWithinPartitions("part").mapInArrow(add, "gram long")
 
 
-def merged(stripes: DataFrame, least: int) -> DataFrame:
-    """Stripes merged element by element: ``lang, words, prefix, word, n`` of what occurs ``least`` times."""
-    return (stripes.repartition("lang", "prefix", "part").select("lang", "words", "prefix", "part", F.inline("stripe"))
+def merged(packed: DataFrame, least: int) -> DataFrame:
+    """Stripes merged element by element: ``lang, words, prefix, word, n`` of what occurs ``least`` times.
+
+    Stripes are shuffled as they are packed, and added up within a task; then only different elements are shuffled.
+    """
+    stripes = packed.repartition("packed").select("size", "rows").mapInArrow(_unpacked, _STRIPE)
+    return (stripes.select("lang", "words", "prefix", "part", F.inline("stripe"))
             .groupBy("lang", "prefix", "part", "word").agg(F.first("words").alias("words"), F.sum("n").alias("n")).filter(F.col("n") >= least)
             .select("lang", "words", "prefix", "word", "n"))
 
 
-def stripes(docs: DataFrame, words: Seen, grams: Seen, wide: set) -> DataFrame:
-    """The stripes of prefixes of one to three words, with those next words that make a frequent phrase."""
+def stripes(docs: DataFrame, words: Seen, grams: Seen, wide: set, parts: int) -> DataFrame:
+    """The stripes of prefixes of one to three words, with those next words that make a frequent phrase, packed in so many parts."""
     shared = docs.sparkSession.sparkContext.broadcast((words, grams, wide))
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         single, longer, common = shared.value
         for tokens in _blocks(batches):
             ok = tokens.frequent(single)
+            made = []
             for m in range(1, LONGEST):
                 at = tokens.phrases(ok, m + 1)
-                yield from _cut(_stripes(tokens, m, at[longer.has(tokens.hashes(at, m + 1))], common))
+                made.append(_stripes(tokens, m, at[longer.has(tokens.hashes(at, m + 1))], common))
+            made = [batch for batch in made if batch is not None]
+            if made:
+                yield _packed(pa.Table.from_batches(made).combine_chunks().to_batches()[0], parts)
 
-    return docs.select("text", F.col("lang").cast("string")).mapInArrow(count, _STRIPE)
+    return docs.select("text", F.col("lang").cast("string")).mapInArrow(count, "packed long, size long, rows binary")
 
 
 def _score():
@@ -350,7 +392,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     short = IN_PART + (max(FEWEST_PARTS, all_words // PART_WORDS) - 1).bit_length()
     single = seen_filter(word_hashes(frequent, short), short)
     grams = seen_filter(written(frequent_hashes(docs, single, least, short), "frequent"), short)
-    candidates = written(merged(stripes(docs, single, grams, wide), least).select(
+    parts = min(PACKED_MOST, max(PACKED_LEAST, all_words // PACKED_WORDS))
+    candidates = written(merged(stripes(docs, single, grams, wide, parts), least).select(
         "lang", "prefix", "word", F.concat_ws(" ", "prefix", "word").alias("phrase"), F.expr("words + 1").alias("m"), F.col("n").alias("a")), "candidates")
     counts = frequent.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).union(
         candidates.select("lang", "phrase", F.col("a").alias("f")))

@@ -99,6 +99,27 @@ def test_blocks_and_cut_stripes(monkeypatch):
     assert counts == want
 
 
+def test_stripes_are_packed_small():
+    texts = spoken(3, 400)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([r[0] for r in texts], pa.string()), "lang": pa.array([r[1] for r in texts], pa.string())})
+    plain, packed = [], []
+    for tokens in phrases._blocks([batch]):
+        for m in range(1, phrases.LONGEST):
+            made = phrases._stripes(tokens, m, np.flatnonzero(tokens.whole(m + 1)), set())
+            plain.append(made)
+            packed.append(phrases._packed(made, 4))
+    key = lambda r: (r["lang"], r["prefix"], r["part"])
+    rows = sorted((r for b in phrases._unpacked(packed) for r in b.to_pylist()), key=key)
+    assert rows == sorted((r for b in plain for r in b.to_pylist()), key=key) and len(rows) > 100
+    # A prefix is in the same part wherever it was packed.
+    owner = {}
+    for batch in packed:
+        for row in batch.to_pylist():
+            for made in phrases._unpacked([pa.RecordBatch.from_pylist([row])]):
+                assert all(owner.setdefault((r["prefix"], r["part"]), row["packed"]) == row["packed"] for r in made.to_pylist())
+    assert sum(len(x) for b in packed for x in b.column("rows").to_pylist()) < 0.5 * sum(b.nbytes for b in plain)
+
+
 def test_equal_hashes_are_told_apart(monkeypatch):
     tokens = Tokens(pa.array(["a b a c b a"], pa.large_string()), ["en"])
     monkeypatch.setattr(Tokens, "hashes", lambda self, at, words: np.zeros(len(at), np.uint64))
