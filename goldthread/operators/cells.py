@@ -167,17 +167,44 @@ def enrich_by_key(
 ) -> DataFrame:
     """Events with the documents of their row; an event without a row is dropped.
 
-    Keys are looked up once, however many events have them: of a bucketed cell table only the folders of the
-    keys are opened, their cells are cut down to the keys (broadcast with ``broadcast_rows`` if they are counted to be
-    that few), and every row is reduced to its newest cells. A key with more than one part in ``spread`` of the events gets a
-    copy of its documents for each such part, over which its events are dealt: a key with a third of the events is joined in
-    ``spread / 3`` tasks, and the documents of all other keys are laid out once. There are fewer than ``spread`` such keys.
+    Keys are looked up once, however many events have them; see ``documents_of_keys`` and ``join_by_key``.
+    """
+    counts = key_counts(events, key)
+    documents = documents_of_keys(cells, counts, key, families, broadcast_rows)
+    return join_by_key(events, documents, counts, key, spread)
+
+
+def key_counts(events: DataFrame, key: str) -> DataFrame:
+    """One row ``row_key, n`` per key of the events. It is read several times: keep it where counting is dear."""
+    return events.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("row_key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def documents_of_keys(
+    cells: DataFrame,
+    counts: DataFrame,
+    key: str,
+    families: Sequence[str] = ("profiles",),
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """The documents of the counted keys, one row per key that has cells.
+
+    Of a bucketed cell table only the folders of the keys are opened, the cells are cut down to the keys (broadcast with
+    ``broadcast_rows`` if they are counted to be that few), and every row is reduced to its newest cells.
+    """
+    wanted = cells_by_keys(cells, counts.select("row_key"), broadcast_rows)
+    return row_documents(wanted, families).withColumnRenamed("row_key", key)
+
+
+def join_by_key(events: DataFrame, documents: DataFrame, counts: DataFrame, key: str, spread: int = 200) -> DataFrame:
+    """Events with the one row that ``documents`` has of their key; an event without one is dropped.
+
+    A key with more than one part in ``spread`` of the events gets a copy of its documents for each such part, over which its
+    events are dealt: a key with a third of the events is joined in ``spread / 3`` tasks, and the documents of all other keys
+    are laid out once. There are fewer than ``spread`` such keys.
     """
-    counts = events.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("row_key")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("n")).scalar()
     hot = F.broadcast(counts.select(F.col("row_key").alias(key), F.ceil(F.col("n") * spread / total).cast("int").alias(COPIES))
                       .filter(F.col(COPIES) > 1))
-    documents = row_documents(cells_by_keys(cells, counts.select("row_key"), broadcast_rows), families).withColumnRenamed("row_key", key)
     copies = F.coalesce(F.col(COPIES), F.lit(1))
     dealt = events.join(hot, key, "left").withColumn(SPREAD, F.pmod(F.xxhash64(*_hashable(events)), copies).cast("int")).drop(COPIES)
     laid = documents.join(hot, key, "left").withColumn(SPREAD, F.explode(F.sequence(F.lit(0), copies - 1))).drop(COPIES)

@@ -7,7 +7,7 @@ the data never meet it at run time.
 from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,10 +119,11 @@ def map_by_column(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, k
 class Shapes:
     """Retrieved columns of one table under both names, from documents that are parsed once.
 
-    ``flat`` has one column per distinct path; keep it where both shapes are read.
+    ``flat`` has one column per distinct path, which ``paths`` tells; keep it where both shapes are read.
     """
 
     flat: DataFrame
+    paths: dict[str, list[str]]
     segments: dict[str, str]
     columns: dict[str, str]
     keep: tuple[str, ...]
@@ -133,6 +134,11 @@ class Shapes:
     def by_column(self) -> DataFrame:
         return self._named(self.columns)
 
+    def joined(self, flat: DataFrame, keep: Sequence[str]) -> Shapes:
+        """The shapes of rows that were joined with those of ``flat``; paths that begin with a column in ``keep`` are read there."""
+        own = {name: path if path[0] in keep else [name] for name, path in self.paths.items()}
+        return replace(self, flat=extract_paths(flat, own, keep=keep, parse_embedded=False), keep=tuple(keep))
+
     def _named(self, names: dict[str, str]) -> DataFrame:
         return self.flat.select(*self.keep, *[F.col(source).alias(name) for name, source in names.items()])
 
@@ -140,11 +146,11 @@ class Shapes:
 def map_shapes(df: DataFrame, mapping: Iterable[MappingRow], table: str, *, keep: Sequence[str] = ()) -> Shapes:
     """What ``map_by_segment`` and ``map_by_column`` give, from one pass over the documents."""
     rows = _retrieved(mapping, table)
-    paths = {tuple(strict_path(row.path)): None for row in rows}
-    source = {path: f"__path_{i}" for i, path in enumerate(paths)}
-    flat = extract_paths(df, {name: list(path) for path, name in source.items()}, keep=keep, parse_embedded=False)
+    source = {path: f"__path_{i}" for i, path in enumerate(dict.fromkeys(tuple(strict_path(row.path)) for row in rows))}
+    paths = {name: list(path) for path, name in source.items()}
+    flat = extract_paths(df, paths, keep=keep, parse_embedded=False)
     return Shapes(
-        flat, {row_path[-1]: source[row_path] for row_path in (tuple(strict_path(r.path)) for r in rows)},
+        flat, paths, {row_path[-1]: source[row_path] for row_path in (tuple(strict_path(r.path)) for r in rows)},
         {r.dest: source[tuple(strict_path(r.path))] for r in rows}, tuple(keep))
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from goldthread.functions.calendar import PARTITIONS, WINDOW_MONTH
-from goldthread.functions.extract import with_json_value
-from goldthread.operators.cells import enrich_by_key, has_text
+from goldthread.functions.extract import extract_paths, with_json_value
+from goldthread.operators.cells import documents_of_keys, has_text, join_by_key, key_counts
 from goldthread.operators.mapping import MappingRow, Shapes, map_shapes
 from goldthread.operators.normalize import Formats, fill_columns, ignore_unknown, normalize_to_schema
-from goldthread.operators.sizing import BROADCAST_ROWS
+from goldthread.operators.sizing import BROADCAST_ROWS, semi_join
 from goldthread.sources.sinks import dead_letter_lines
 from goldthread.streaming.messages import KEY_PATH, with_event_key
 from goldthread.streaming.refresh import MappingRefresh
@@ -28,6 +28,7 @@ TABLE_COLUMNS = (
 )
 REQUIRED_COLUMN = "memberId"
 PASSED_ON = ("message_id", "publish_time")
+KEY, REQUIRED = "persona_id", "__required"
 
 
 @dataclass(frozen=True)
@@ -56,13 +57,15 @@ class RealtimeJob:
     spread: int = 200
 
 
-def look_up(messages: DataFrame, cells: DataFrame, job: RealtimeJob) -> DataFrame:
-    """Messages with the documents of their row, without rows that lack a member id."""
-    keyed = messages.filter(F.col("persona_id") != "").select(*PASSED_ON, "persona_id")
-    found = enrich_by_key(keyed, cells, "persona_id", job.families, job.broadcast_rows, job.spread)
+def look_up(counts: DataFrame, cells: DataFrame, mapping: Sequence[MappingRow], job: RealtimeJob) -> Shapes:
+    """The mapped values of the counted keys' rows, one row per key, without rows that lack a member id.
+
+    A document is parsed once here, however many messages ask for it.
+    """
+    found = documents_of_keys(cells, counts, KEY, job.families, job.broadcast_rows)
     family, *below = job.member_id
-    return has_text(
-        with_json_value(found, "__member", F.col(family), below, scalar=False), F.col("__member")).drop("__member")
+    with_member = has_text(with_json_value(found, "__member", F.col(family), below, scalar=False), F.col("__member"))
+    return map_shapes(with_member.drop("__member"), mapping, job.mapped_table, keep=[KEY])
 
 
 def table_rows(shapes: Shapes, job: RealtimeJob) -> DataFrame:
@@ -88,12 +91,17 @@ def run_batch(
 ) -> None:
     """Process one micro-batch and write both sinks; a replay replaces what the first try wrote.
 
-    The documents found are parsed once, for the paths of both shapes; what is kept are the parsed values.
+    The documents found are parsed once per key, for the paths of both shapes. What is kept are the parsed values of the keys;
+    they are joined with the messages for each sink.
     """
-    keyed = with_event_key(messages, "persona_id", job.key_path).persist()
-    shapes = map_shapes(look_up(keyed, cells, job), mapping, job.mapped_table, keep=PASSED_ON)
-    shapes.flat.persist()
+    keyed = with_event_key(messages, KEY, job.key_path).persist()
+    asking = keyed.filter(F.col(KEY) != "").select(*PASSED_ON, KEY)
+    counts = key_counts(asking, KEY).persist()
+    kept = [keyed, counts]
     try:
+        of_keys = look_up(counts, cells, mapping, job)
+        kept.append(of_keys.flat.persist())
+        shapes = of_keys.joined(join_by_key(asking, of_keys.flat, counts, KEY, job.spread), PASSED_ON)
         rows = table_rows(shapes, job)
         checked = job.required if job.required in rows.columns else None
         accepted = rows.filter(F.col(checked).isNotNull()) if checked else rows
@@ -101,24 +109,39 @@ def run_batch(
         windowed = with_window_partitions(file_rows(shapes, mapping, job), "publish_time", job.window, job.month)
         write_batch(windowed, job.files_path, batch_id, PARTITIONS, drop=PASSED_ON)
         if job.dead_letter_path:
-            refused = (rows.filter(F.col(checked).isNull()) if checked else rows.limit(0)).select("message_id")
+            refused = refused_messages(keyed, of_keys, checked, job) if checked else keyed.limit(0)
             write_batch(dead_letter_lines(dead_letters(keyed, refused)), job.dead_letter_path, batch_id)
     finally:
-        shapes.flat.unpersist()
-        keyed.unpersist()
+        for frame in reversed(kept):
+            frame.unpersist()
+
+
+def refused_messages(keyed: DataFrame, of_keys: Shapes, required: str, job: RealtimeJob) -> DataFrame:
+    """Messages whose row lacks the required column.
+
+    Whether it does is a matter of the key, unless the column is read from the message itself, so the messages are cut down
+    by the keys of such rows.
+    """
+    source = of_keys.segments.get(required)
+    path = [required] if required in PASSED_ON else of_keys.paths.get(source)
+    of_message = path is not None and path[0] in PASSED_ON
+    lacking = of_keys.flat if path is None or of_message else of_keys.flat.filter(F.col(source).isNull())
+    refused = semi_join(keyed, lacking.select(KEY), KEY, job.broadcast_rows)
+    if not of_message:
+        return refused
+    read = extract_paths(refused, {REQUIRED: path}, keep=refused.columns, parse_embedded=False, filtered=[REQUIRED])
+    return read.filter(F.col(REQUIRED).isNull()).drop(REQUIRED)
 
 
 def dead_letters(keyed: DataFrame, refused: DataFrame) -> DataFrame:
-    """Messages without a usable key, and those whose row lacks the required column, whole and with the reason.
+    """Messages without a usable key, and those that are ``refused``, whole and with the reason.
 
     Payload, key and attributes are kept, so a message can be sent again.
     """
-    no_key = F.col("persona_id").isNull() | (F.col("persona_id") == "")
-    without = keyed.filter(no_key).withColumn("error", F.lit("no key in the message"))
-    rejected = keyed.filter(~no_key).join(refused, "message_id", "left_semi").withColumn(
-        "error", F.lit("a required column is null"))
+    without = keyed.filter(F.col(KEY).isNull() | (F.col(KEY) == "")).withColumn("error", F.lit("no key in the message"))
+    rejected = refused.withColumn("error", F.lit("a required column is null"))
     return without.unionByName(rejected).select(
-        "message_id", "publish_time", "persona_id", "data", "attributes", "error",
+        "message_id", "publish_time", KEY, "data", "attributes", "error",
         F.lit("processing_error").alias("error_type"))
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldthread.operators.cells import key_counts
+from goldthread.operators.mapping import MappingRow
 from goldthread.operators.sizing import fits
 from goldthread.plans.batch import BatchJob, backfill, incremental, run_since_mark
 from goldthread.session import shared_dir
 from goldthread.sources.state import newer_than_mark, newest_value, read_mark, save_mark
 from goldthread.streaming.messages import MESSAGE_SCHEMA, deduplicate, event_keys, file_messages, from_queue_records
-from goldthread.streaming.realtime import RealtimeJob, run_batch, start_realtime
+from goldthread.streaming.realtime import RealtimeJob, look_up, run_batch, start_realtime
 from goldthread.streaming.refresh import MappingRefresh
 from goldthread.streaming.sinks import start_window_files
 
@@ -201,6 +204,55 @@ def test_realtime_fixed_file_schema_and_required_column(spark):
     assert spark.read.parquet(job.dead_letter_path).filter("value LIKE '%required%'").count() == 1
 
 
+def test_realtime_documents_are_parsed_once_per_key(spark):
+    """Many messages ask for two rows: the documents are turned into values before the messages meet them."""
+    job = realtime_tables(spark)
+    rows = MappingRefresh(lambda: mapping(spark)).current()
+    docs = cells(spark, {"k1": '{"memberId": "1", "email": "e"}', "k2": '{"memberId": "2"}', "k3": '{"memberId": " "}'})
+    keyed = event_keys(spark.createDataFrame([message(f"k{i % 4}", i, NOW) for i in range(400)], MESSAGE_SCHEMA))
+    found = look_up(key_counts(keyed, "persona_id"), docs, rows, job)
+    assert sorted(r.persona_id for r in found.flat.collect()) == ["k1", "k2"]
+    joined = found.joined(keyed.join(found.flat, "persona_id"), ["message_id"])
+    assert joined.flat.count() == 200
+    assert {tuple(r) for r in joined.by_segment().select("memberId", "email").collect()} == {("1", "e"), ("2", None)}
+
+
+def test_realtime_a_written_message_is_no_dead_letter(spark):
+    """Two messages of one id with different keys, of which one row lacks the required column."""
+    base = realtime_tables(spark)
+    job = RealtimeJob(base.table_path, base.files_path, "ms_member", base.dead_letter_path,
+                      table_columns=("email", "memberId"), required="email")
+    docs = cells(spark, {"k1": '{"memberId": "1", "email": "e"}', "k2": '{"memberId": "2"}'})
+    batch = spark.createDataFrame([message("k1", 1, NOW), message("k2", 1, NOW), message("k2", 2, NOW), message("", 3, NOW, "{}")],
+                                  MESSAGE_SCHEMA)
+    run_batch(batch, 0, docs, MappingRefresh(lambda: mapping(spark)).current(), job)
+    assert [r.email for r in spark.read.parquet(job.table_path).collect()] == ["e"]
+    dead = [json.loads(r.value) for r in spark.read.parquet(job.dead_letter_path).select("value").collect()]
+    assert sorted((d["message_id"], d.get("persona_id"), d["error"]) for d in dead if d["message_id"] != "m3") == [
+        ("m1", "k2", "a required column is null"), ("m2", "k2", "a required column is null")]
+    assert [d["error"] for d in dead if d["message_id"] == "m3"] == ["no key in the message"]
+
+
+@pytest.mark.parametrize("required, refused", [("message_id", 0), ("publish_time", 1), ("stamp", 1), ("nowhere", 2), ("memberId", 0)])
+def test_realtime_paths_of_the_message(spark, required, refused):
+    """A column that is read from the message, and required ones from there, from the document and from nowhere."""
+    base = realtime_tables(spark)
+    job = RealtimeJob(base.table_path, base.files_path, "ms_member", base.dead_letter_path,
+                      table_columns=("persona_id", "memberId", "stamp", "nowhere"), required=required)
+    rows = [MappingRow(dest, path, True, True, "ms_member") for dest, path in (
+        ("member", "profiles.memberId"), ("key", "persona_id"), ("stamped", "message_id.stamp"))]
+    docs = cells(spark, {"k1": '{"memberId": "1"}'})
+    batch = spark.createDataFrame([message("k1", 1, NOW), message("k1", 2, None)], MESSAGE_SCHEMA)
+    batch = batch.withColumn("message_id", F.when(F.col("message_id") == "m1", '{"stamp": "s"}').otherwise("m2"))
+    run_batch(batch, 0, docs, rows, job)
+    files = spark.read.parquet(job.files_path).select("member", "key", "stamped").collect()
+    assert [tuple(r) for r in files] == [("1", "k1", "s")]  # a message without a time has no window
+    table = spark.read.schema("persona_id string, memberId string, stamp string").parquet(job.table_path)
+    assert sorted(r.stamp or "" for r in table.collect()) == ["", "s"][refused:] if required != "nowhere" else table.count() == 0
+    dead = spark.read.schema("value string").parquet(job.dead_letter_path)
+    assert dead.filter("value LIKE '%required%'").count() == refused
+
+
 def test_mapping_refresh_keeps_the_last_good_rows(spark):
     now, reads = [0.0], []
 
